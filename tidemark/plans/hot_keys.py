@@ -1,0 +1,85 @@
+"""Joins whose left side may hold a large share of its rows under one key."""
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.plans.sizes import fits_broadcast
+
+#: Keys beyond this many are each below 1/10,000 of the rows: no need to split them.
+MAX_HOT_KEYS = 10_000
+
+#: A key with more rows than this is spread over several tasks.
+ROWS_PER_TASK = 5_000_000
+
+
+def hot_keys(
+    rows: DataFrame, key_cols: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """The keys with more than ``rows_per_task`` rows and the splits each needs.
+
+    Reads the key columns only and counts before the shuffle.  The result has at
+    most ``MAX_HOT_KEYS`` rows whatever the input, so it may be broadcast.
+    """
+    return (
+        rows.groupBy(*key_cols)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > rows_per_task)
+        .orderBy(F.desc("_n"), *key_cols)
+        .limit(MAX_HOT_KEYS)
+        .select(*key_cols, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_splits"))
+    )
+
+
+def join_spreading_hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    key_cols: Sequence[str],
+    how: str,
+    condition=None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Equi join on ``key_cols`` that no hot key of ``left`` can stall.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  ``condition``
+    is a further predicate over columns of both sides, which therefore must not
+    share names other than the keys.
+
+    A small right side is broadcast by Spark and nothing is shuffled.  Otherwise
+    the rows of every hot key are split over as many tasks as they need, and the
+    right rows of that key (and only those) are copied to each of them.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how!r} keeps right rows; copies would be counted twice")
+    key_cols = list(key_cols)
+    if not fits_broadcast(right):
+        hot = F.broadcast(hot_keys(left, key_cols, rows_per_task))
+        # A hash over the row, so a task that is run again sends its rows to the
+        # same places; the partition number spreads copies of one row as well.
+        plain = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
+        spread = F.xxhash64(F.spark_partition_id(), *plain)
+        left = left.join(hot, key_cols, "left").withColumn(
+            "_salt", F.pmod(spread, F.coalesce(F.col("_splits"), F.lit(1))).cast("int")
+        ).drop("_splits")
+        right = right.join(hot, key_cols, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
+        ).drop("_splits")
+        on = [*key_cols, "_salt"]
+    else:
+        on = key_cols
+
+    if condition is None:
+        joined = left.join(right, on, how)
+    else:
+        # A predicate beside the equality needs explicit columns on both sides.
+        renamed = right.select(
+            *[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns]
+        )
+        equal = [F.col(c) == F.col(f"_right_{c}") for c in on]
+        everything = condition
+        for test in equal:
+            everything = everything & test
+        joined = left.join(renamed, everything, how).drop(*[f"_right_{c}" for c in on])
+    return joined.drop("_salt")
