@@ -25,10 +25,10 @@ def narrow_to_keys(table: DataFrame, keys: DataFrame, key_cols: Sequence[str]) -
 
     A left join cannot broadcast its left side, so looking up a few keys would
     shuffle the whole table.  When the keys are small they are sent to the table
-    instead and only the rows found travel.  When they are not, the table is
-    returned as it is and the later join shuffles both sides once.
+    instead and only the rows found travel.  When they are not, or when the table
+    itself can be broadcast, it is returned as it is and the later join does it all.
     """
-    if not fits_broadcast(keys):
+    if fits_broadcast(table) or not fits_broadcast(keys):
         return table
     wanted = F.broadcast(keys.select(*key_cols))
     return table.join(wanted, list(key_cols), "left_semi")

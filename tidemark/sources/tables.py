@@ -61,10 +61,12 @@ def read_payload_table(
     return decode_payloads(table, data_col, mode)
 
 
-def write_sorted(df: DataFrame, path: str, key_cols: Sequence[str] = KEY_COLS) -> None:
+def write_sorted(
+    df: DataFrame, path: str, key_cols: Sequence[str] = KEY_COLS, mode: str = "errorifexists"
+) -> None:
     """Write a table ordered by key.
 
     Every file holds its own range of keys, so a lookup of a key, a prefix or a
     range skips all other files by their statistics.
     """
-    df.orderBy(*key_cols).write.parquet(path)
+    df.orderBy(*key_cols).write.mode(mode).parquet(path)

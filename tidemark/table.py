@@ -1,15 +1,17 @@
 """A progress table on shared storage, kept as snapshots and batches of events.
 
+    <path>/batch/<writer>/batch_id=<n>/      events as they came
     <path>/snapshot/version=<n>/             last event per key, ordered by key
-    <path>/batch/<writer>/batch_id=<n>/      events since, as they came
+    <path>/folded/version=<n>                names of the batches in that snapshot
 
-A reader takes the newest complete snapshot and all complete batches and keeps the
-last event of every key.  Events carry their order (``seq``), so it makes no
-difference in which batch one is or whether it is also in the snapshot already:
-a batch written twice, or read after it was folded in, changes nothing.
-Deletes stay in the snapshot as events and are left out on reading.
+A reader takes the newest complete snapshot and the batches that are not in it yet
+and keeps the last event of every key.  Events carry their order (``seq``), so it
+makes no difference in which batch one is: a batch written twice, or read although
+a snapshot has it, changes nothing.  Deletes stay in the snapshot as events, to
+win over saves that come in late, and are left out on reading.
 """
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import operators as ops
+from tidemark.functions import moment
+from tidemark.plans import latest_rows, narrow_to_keys
 from tidemark.schema import DELETE, KEY_COLS, PROGRESS_LOG, SAVE
 from tidemark.sources.tables import write_sorted
 
@@ -44,85 +48,143 @@ class ProgressTable:
 
     def read(self) -> DataFrame:
         """The current row of every key."""
-        return self.events().where(F.col("op") != DELETE).drop("op")
+        return self._current(self._stored())
 
     def load(self, keys: DataFrame) -> DataFrame:
         """The current row of every key asked for; nulls for keys without one."""
-        return ops.load_many(self.read(), keys, self.key_cols)
+        # Cut down before, not after, the last event of every key is looked for.
+        found = self._current(narrow_to_keys(self._stored(), keys, self.key_cols))
+        asked = keys.select(*self.key_cols)
+        return asked.join(found, self.key_cols, "left").select(*found.columns)
 
     def load_key(self, **key) -> DataFrame:
         """The current row of one key, if any; the key filter reaches the files."""
-        stored = ops.by_key(self._stored(), **key)
-        last = ops.latest_by_arrival(stored, self.key_cols)
-        return last.where(F.col("op") != DELETE).drop("op")
+        return self._current(ops.by_key(self._stored(), **key))
 
     def exists(self, keys: DataFrame) -> DataFrame:
         """The keys that have a row.  Of the stored columns only key, order and kind are read."""
         stored = self._stored().select(*self.key_cols, "op", "seq")
-        last = ops.latest_by_arrival(stored, self.key_cols)
-        return ops.existing(last.where(F.col("op") != DELETE), keys, self.key_cols)
+        found = self._current(narrow_to_keys(stored, keys, self.key_cols))
+        return keys.join(found.select(*self.key_cols), self.key_cols, "left_semi")
 
     def list_group(self, column: str, value) -> DataFrame:
-        """The current rows of one pipeline, or of one value of another key column."""
-        if column not in self.key_cols:
-            return ops.by_group(self.read(), column, value)
-        stored = ops.by_group(self._stored(), column, value)
-        last = ops.latest_by_arrival(stored, self.key_cols)
-        return last.where(F.col("op") != DELETE).drop("op")
+        """The current rows of one pipeline, or of one value of another column."""
+        if column in self.key_cols:
+            return self._current(ops.by_group(self._stored(), column, value))
+        return ops.by_group(self.read(), column, value)
 
     # -- writing ---------------------------------------------------------
 
-    def save(self, rows: DataFrame, batch_id: int, writer: str = "batch") -> None:
+    def save(
+        self, rows: DataFrame, batch_id: int | str | None = None, writer: str = "batch"
+    ) -> None:
         """Add saves.  Rows without ``op`` are saves; rows with it are taken as they are."""
         if "op" not in rows.columns:
             rows = rows.withColumn("op", F.lit(SAVE))
         self.append(rows, batch_id, writer)
 
-    def delete(self, keys: DataFrame, batch_id: int, as_of, writer: str = "batch") -> None:
+    def delete(
+        self, keys: DataFrame, as_of, batch_id: int | str | None = None, writer: str = "batch"
+    ) -> None:
         """Delete keys.  ``keys`` needs ``seq``, the place of the deletes in the order."""
-        filled = {
-            "op": F.lit(DELETE), "offset_json": F.lit("null"),
-            "updated_at": F.lit(as_of).cast("timestamp"),
-        }
-        self.append(
-            keys.select(*self.key_cols, "seq", *[c.alias(n) for n, c in filled.items()]),
-            batch_id, writer,
+        events = keys.select(
+            *self.key_cols,
+            "seq",
+            F.lit(DELETE).alias("op"),
+            F.lit("null").alias("offset_json"),
+            moment(as_of).alias("updated_at"),
         )
+        self.append(events, batch_id, writer)
+
+    def append(
+        self, events: DataFrame, batch_id: int | str | None = None, writer: str = "batch"
+    ) -> None:
+        """Write one batch of events.
 
-    def append(self, events: DataFrame, batch_id: int, writer: str = "batch") -> None:
-        """Write one batch of events.  The same batch again replaces itself."""
+        Give a ``batch_id`` only where a batch may have to be written again: the same
+        number means the same events, and replaces them.
+        """
         columns = [
             F.col(f.name).cast(f.dataType).alias(f.name)
             if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in self.schema
         ]
-        target = f"{self.path}/batch/{writer}/batch_id={int(batch_id)}"
+        name = uuid.uuid4().hex if batch_id is None else batch_id
+        target = f"{self.path}/batch/{writer}/batch_id={name}"
         events.select(*columns).write.mode("overwrite").parquet(target)
 
-    def compact(self) -> None:
+    def update_offset(
+        self, changes: DataFrame, as_of, batch_id: int | str | None = None, writer: str = "batch"
+    ) -> None:
+        """Change the offsets of keys that have a row.
+
+        ``changes`` has the key, the offset and ``seq``; keys without a row are ignored.
+        """
+        last = latest_rows(changes, self.key_cols, ["seq"])
+        stored = narrow_to_keys(self._stored(), last, self.key_cols)
+        old = self._current(stored).drop("seq").join(
+            last.select(*self.key_cols, "seq"), self.key_cols
+        )
+        self.save(ops.update_offset(old, last, as_of, self.key_cols), batch_id, writer)
+
+    def clear(
+        self,
+        as_of,
+        seq: int,
+        pipeline_id: str | None = None,
+        batch_id: int | str | None = None,
+        writer: str = "batch",
+    ) -> None:
+        """Delete every key, or those of one pipeline, at place ``seq`` of the order."""
+        rows = self.read() if pipeline_id is None else self.list_group("pipeline_id", pipeline_id)
+        keys = rows.select(*self.key_cols).withColumn("seq", F.lit(seq))
+        self.delete(keys, as_of, batch_id, writer)
+
+    def compact(self, drop_deletes_before=None) -> None:
         """Write a new snapshot from all there is; later readers need fewer files.
 
-        Batches folded in are not removed: readers may be using them.  See
-        :meth:`remove_folded`.
+        Deletes older than ``drop_deletes_before`` are forgotten: give a time before
+        which no event can still come in.
         """
         newest = self._newest_snapshot()
         version = 0 if newest is None else newest + 1
-        write_sorted(self.events(), f"{self.path}/snapshot/version={version}", self.key_cols)
-
-    def remove_folded(self, batches: Sequence[str]) -> None:
-        """Remove batches (paths from :meth:`batches`) that a snapshot has taken in.
-
-        Call it with a list taken before :meth:`compact`, when no reader that
-        started earlier is left.
+        folded = [p.removeprefix(f"{self.path}/batch/") for p in self._all_batches()]
+        rows = self.events()
+        if drop_deletes_before is not None:
+            old = (F.col("op") == DELETE) & (F.col("updated_at") < moment(drop_deletes_before))
+            rows = rows.where(~old)
+        # The list is there before the snapshot counts as complete.
+        self._write_text(f"{self.path}/folded/version={version}", "\n".join(folded))
+        write_sorted(rows, f"{self.path}/snapshot/version={version}", self.key_cols, "overwrite")
+
+    def vacuum(self) -> None:
+        """Remove what the newest snapshot has replaced.
+
+        Call it when no reader that started before the last :meth:`compact` is left.
         """
-        for path in batches:
-            if not path.startswith(f"{self.path}/batch/"):
-                raise ValueError(f"not a batch of this table: {path}")
-            location = self._hadoop_path(path)
-            self._file_system(location).delete(location, True)
+        newest = self._newest_snapshot()
+        if newest is None:
+            return
+        for batch in self._folded(newest):
+            self._delete(f"{self.path}/batch/{batch}")
+        for name in self._children(f"{self.path}/snapshot"):
+            if int(name.split("=")[1]) < newest:
+                self._delete(f"{self.path}/snapshot/{name}")
 
     def batches(self) -> list[str]:
-        """Paths of the complete batches."""
+        """Paths of the complete batches that are not in the newest snapshot."""
+        newest = self._newest_snapshot()
+        folded = set() if newest is None else set(self._folded(newest))
+        root = f"{self.path}/batch/"
+        return [p for p in self._all_batches() if p.removeprefix(root) not in folded]
+
+    # -- storage ---------------------------------------------------------
+
+    def _current(self, stored: DataFrame) -> DataFrame:
+        last = ops.latest_by_arrival(stored, self.key_cols)
+        return last.where(F.col("op") != DELETE).drop("op")
+
+    def _all_batches(self) -> list[str]:
         root = f"{self.path}/batch"
         return [
             f"{root}/{writer}/{batch}"
@@ -131,8 +193,6 @@ class ProgressTable:
             if self._complete(f"{root}/{writer}/{batch}")
         ]
 
-    # -- storage ---------------------------------------------------------
-
     def _stored(self) -> DataFrame:
         newest = self._newest_snapshot()
         paths = self.batches()
@@ -167,3 +227,24 @@ class ProgressTable:
     def _complete(self, path: str) -> bool:
         marker = self._hadoop_path(f"{path}/_SUCCESS")
         return self._file_system(marker).exists(marker)
+
+    def _folded(self, version: int) -> list[str]:
+        location = self._hadoop_path(f"{self.path}/folded/version={version}")
+        stream = self._file_system(location).open(location)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return text.split("\n") if text else []
+
+    def _write_text(self, path: str, text: str) -> None:
+        location = self._hadoop_path(path)
+        stream = self._file_system(location).create(location, True)
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+
+    def _delete(self, path: str) -> None:
+        location = self._hadoop_path(path)
+        self._file_system(location).delete(location, True)

@@ -10,6 +10,7 @@ from tidemark.table import ProgressTable
 from tidemark.workload.logs import (
     EV_LOG,
     EV_STATE,
+    HALF,
     HALVES,
     STATE_PART,
     event_log,
@@ -101,8 +102,8 @@ WHERE s.m = 1 AND s.op = 'save' AND NOT EXISTS (
 def _(spark, sf_dir):
     table = ProgressTable(spark, scratch_path(spark, "progress"))
     log = event_log(spark, sf_dir)
-    table.append(log.where(F.col("updated_at") < "2024-01-16"), 0)
-    table.save(second_half(spark, sf_dir), 1)
+    table.append(log.where(F.col("updated_at") < F.lit(HALF).cast("timestamp")))
+    table.save(second_half(spark, sf_dir))
     table.compact()
-    table.delete(second_half(spark, sf_dir, "delete"), 2, as_of="2024-02-01")
+    table.delete(second_half(spark, sf_dir, "delete"), "2024-02-01")
     return table.read().select("pipeline_id", "stream_id", "offset_num", "seq")
