@@ -1,0 +1,162 @@
+import pytest
+
+from tidemark import operators as ops
+from tidemark.functions import prefix_end
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    ("layout", "prefix", "suffix", "expected"),
+    [
+        ("colon", "ck", "", "ck:pipe A:s/1"),
+        ("colon", None, "", "pipe A:s/1"),
+        ("colon_joined", "checkpoint:", "", "checkpoint:pipe A:s/1"),
+        ("double_colon", None, "", "pipe A::s/1"),
+        ("path", "checkpoints/", ".json", "checkpoints/pipe A/s/1.json"),
+        ("path", "checkpoints", "", "checkpoints/pipe A/s/1"),
+        ("path", "/ck//", ".ion.json", "/ck/pipe A/s/1.ion.json"),
+        ("dot", "kv", "", "kv.pipe A.s/1"),
+        ("underscore", "checkpoint", "", "checkpoint_pipe A_s/1"),
+        ("double_underscore", None, "", "pipe A__s/1"),
+        ("record", "cp", "", "cp:pipe_A__s/1"),
+        ("file_name", None, ".json", "pipe A_s_1.json"),
+        ("document", "pre", "", "pre__pipe A__s_1"),
+        ("document", None, "", "pipe A__s_1"),
+    ],
+)
+def test_layouts(spark, layout, prefix, suffix, expected):
+    row = spark.createDataFrame([("pipe A", "s/1")], "pipeline_id string, stream_id string")
+    assert ops.with_key(row, layout, prefix, suffix=suffix).first().key == expected
+
+
+def test_layout_errors_and_single_column_keys(spark):
+    row = spark.createDataFrame([("s/1",)], "stream_id string")
+    assert ops.with_key(row, "dot", "q", ["stream_id"]).first().key == "q.s/1"
+    with pytest.raises(ValueError):
+        ops.with_key(row, "nope", key_cols=["stream_id"])
+    with pytest.raises(ValueError):
+        ops.with_key(row, "double_colon", "p", ["stream_id"])
+
+
+def test_split_key(spark):
+    rows = spark.createDataFrame([("ck/a/b.json",), ("x.json",), ("ck/é",)], "key string")
+    got = [r.key_tail for r in ops.split_key(rows, "ck/", ".json").collect()]
+    assert got == ["a/b", "x", "é"]
+
+
+def test_rekey_report_counts_source_keys_once(spark, rows_of):
+    rows = spark.createDataFrame(
+        [("a/b", "c"), ("a_b", "c"), ("a/b", "c"), ("a", "b/c"), ("x", "y")],
+        "pipeline_id string, stream_id string",
+    )
+    assert rows_of(ops.rekey_report(rows, "file_name")) == [("a_b_c", 3)]
+    colon = spark.createDataFrame([("a:b", "c"), ("a", "b:c")], rows.schema)
+    assert rows_of(ops.rekey_report(colon, "colon")) == [("a:b:c", 2)]
+    assert rows_of(ops.rekey_report(rows, "double_colon")) == []
+
+
+def test_stable_id_is_md5(spark):
+    import hashlib
+
+    row = ops.with_stable_id(spark.createDataFrame([("ckpt:p:s",)], "key string")).first()
+    assert row.stable_id == hashlib.md5(b"ckpt:p:s").hexdigest()
+
+
+@pytest.fixture
+def keyed(spark):
+    keys = ["p:a", "p:ab", "p;a", "p:", "p", "P:a", "p:100%", "p:1000", "q:a_b", "q:axb", "p:[x]", "é:1", "p:\U0001f600"]
+    return spark.createDataFrame([(k,) for k in keys], "key string")
+
+
+def keys_of(df):
+    return sorted(r.key for r in df.collect())
+
+
+def test_prefix_is_literal(keyed):
+    assert keys_of(ops.by_prefix(keyed, "p:1")) == ["p:100%", "p:1000"]
+    assert keys_of(ops.by_prefix(keyed, "p:100%")) == ["p:100%"]
+    assert keys_of(ops.by_prefix(keyed, "p:*")) == []
+
+
+@pytest.mark.parametrize("prefix", ["p:", "p:a", "p", "é", "p:\U0001f600", "zz"])
+def test_range_up_to_the_prefix_end_is_the_prefix(keyed, prefix):
+    assert keys_of(ops.by_key_range(keyed, prefix, prefix_end(prefix))) == keys_of(
+        ops.by_prefix(keyed, prefix)
+    )
+
+
+def test_prefix_end_edges():
+    assert prefix_end("") is None
+    assert prefix_end("a\U0010ffff") == "b"
+    assert prefix_end("\U0010ffff") is None
+    assert prefix_end("\ud7ff") == "\ue000"
+
+
+def test_like_and_contains(keyed):
+    assert keys_of(ops.by_pattern(keyed, "q:a_b")) == ["q:a_b", "q:axb"]
+    assert keys_of(ops.by_pattern(keyed, r"q:a\_b")) == ["q:a_b"]
+    assert keys_of(ops.by_pattern(keyed, r"%100\%")) == ["p:100%"]
+    assert keys_of(ops.by_pattern(keyed, "_b", "contains")) == ["q:a_b"]
+    with pytest.raises(ValueError):
+        ops.by_pattern(keyed, "x", "regex")
+
+
+@pytest.mark.parametrize(
+    ("pattern", "expected"),
+    [
+        ("p:*", ["p:", "p:100%", "p:1000", "p:[x]", "p:a", "p:ab", "p:\U0001f600"]),
+        ("p:?", ["p:a", "p:\U0001f600"]),
+        ("p:100%", ["p:100%"]),
+        ("q:a_b", ["q:a_b"]),
+        ("[pq]:a", ["p:a"]),
+        ("[^p]:a*", ["P:a", "q:a_b", "q:axb"]),
+        ("[a-q]:ab", ["p:ab"]),
+        (r"p:\[x]", ["p:[x]"]),
+        ("*", None),
+    ],
+)
+def test_glob(keyed, pattern, expected):
+    assert keys_of(ops.by_pattern(keyed, pattern, "glob")) == sorted(expected or keys_of(keyed))
+
+
+def test_payload_field(spark):
+    rows = spark.createDataFrame(
+        [('{"pipeline_id":"p","a.b":"x"}',), ('{"pipeline_id":"q"}',), ("broken",)], "data string"
+    )
+    assert ops.by_payload_field(rows, "pipeline_id", "p").count() == 1
+    assert ops.by_payload_field(rows, "a.b", "x").count() == 1
+
+
+def test_by_key_and_group(spark, rows_of):
+    table = spark.createDataFrame(
+        [("pipe1", "stream1", 10), ("pipe1", "stream2", 20), ("pipe2", "stream1", 99)],
+        "pipeline_id string, stream_id string, offset_num long",
+    )
+    found = ops.by_key(table, pipeline_id="pipe2", stream_id="stream1")
+    assert rows_of(found, "offset_num") == [(99,)]
+    assert ops.by_key(table, pipeline_id="pipe2", stream_id="stream2").count() == 0
+    assert rows_of(ops.by_group(table, "pipeline_id", "pipe1"), "offset_num") == [(10,), (20,)]
+    with pytest.raises(ValueError):
+        ops.by_key(table)
+
+
+def test_predicates_reach_the_scan(spark, path):
+    spark.range(100).selectExpr(
+        "concat('p:', id) AS key", "'p' AS pipeline_id", "timestamp_seconds(id) AS expires_at"
+    ).write.parquet(path)
+    table = spark.read.parquet(path)
+    for filtered, pushed in [
+        (ops.by_prefix(table, "p:1"), "StringStartsWith(key,p:1)"),
+        (ops.by_pattern(table, "p:1%"), "StringStartsWith(key,p:1)"),
+        (ops.by_pattern(table, "p:1*", "glob"), "StringStartsWith(key,p:1)"),
+        (ops.by_pattern(table, "1", "contains"), "StringContains(key,1)"),
+        (ops.by_key_range(table, "p:1", "p:2"), "GreaterThanOrEqual(key,p:1), LessThan(key,p:2)"),
+        (ops.by_group(table, "pipeline_id", "p"), "EqualTo(pipeline_id,p)"),
+        (ops.live(table, "1970-01-01 00:00:30"), "Or(IsNull(expires_at),GreaterThan(expires_at,"),
+    ]:
+        plan = filtered._jdf.queryExecution().executedPlan()
+        text = plan.toString() + str(plan.verboseStringWithOperatorId())
+        assert pushed in text, text
