@@ -26,8 +26,10 @@ def ttl_state(
 
     Output rows have the key, ``offset_num``, ``expires_at`` and ``state``: ``live``
     when a save sets or refreshes a key, ``expired`` when its time is over.  Time is
-    that of the events, so a run over the same events gives the same rows; of saves
-    of one key the latest counts.  State of expired keys is removed.
+    that of the events: a key is over once events ``delay`` later than its end have
+    come.  Of the saves of one key the latest counts.  Saves that come in late are
+    not dropped; one whose time is over already is reported live and expired at once.
+    State of expired keys is removed.
 
     Needs the RocksDB state store.  Every Arrow batch is cut to the last save of each
     key before the shuffle, so a hot key sends one row per batch.
@@ -43,7 +45,13 @@ def ttl_state(
         for rows in batches:
             yield rows.loc[rows.groupby(key_cols, dropna=False)["saved_at"].idxmax()]
 
-    reduced = wanted.mapInPandas(last_in_batch, wanted.schema).withWatermark("saved_at", delay)
+    # Without the time column behind it, the watermark moves the clock but does not
+    # filter: a save later than others is still the last one of its key.
+    reduced = (
+        wanted.mapInPandas(last_in_batch, wanted.schema)
+        .withWatermark("saved_at", delay)
+        .select(*key_cols, "offset_num", F.unix_micros("saved_at").alias("saved_us"))
+    )
     keys = [wanted.schema[c] for c in key_cols]
     output = T.StructType(
         keys
@@ -74,10 +82,9 @@ class _Expiring(StatefulProcessor):
         old = self.last.get() if self.last.exists() else None
         offset, saved = (old[0], old[1]) if old else (None, None)
         for batch in rows:
-            newest = batch.loc[batch["saved_at"].idxmax()]
-            us = newest["saved_at"].value // 1000
-            if saved is None or us >= saved:
-                offset, saved = int(newest["offset_num"]), us
+            newest = batch.loc[batch["saved_us"].idxmax()]
+            if saved is None or newest["saved_us"] >= saved:
+                offset, saved = int(newest["offset_num"]), int(newest["saved_us"])
         if old is not None:
             self.handle.deleteTimer(old[2])
         # Timers count milliseconds; rounded up, none goes off early.
