@@ -55,23 +55,19 @@ def decode_payloads(
         raise ValueError(f"unknown mode {mode!r}; one of ('permissive', 'failfast')")
     text = F.decode(data, "UTF-8") if dict(df.dtypes)[data] == "binary" else F.col(data)
     schema = ", ".join([_PAYLOAD_FIELDS, *[f"`{name}` STRING" for name in extra]])
-    parsed = df.withColumn(
-        "_p", F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    )
+    # Spark repeats an expression in a filter placed above it; behind a generator the
+    # payload is parsed once.
+    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    parsed = df.select(*[F.col(c) for c in df.columns], F.explode(F.array(record)).alias("_p"))
 
     # A variant keeps a string apart from a number, but sorts the fields of objects
     # and trims fractions; for those the text of the payload is taken.
-    kind = F.schema_of_variant("_p.offset")
-    as_written = kind.startswith("OBJECT") | kind.startswith("ARRAY") | kind.isin("DOUBLE", "FLOAT")
-    as_written = as_written | kind.startswith("DECIMAL")
-    offset = F.when(as_written, F.get_json_object(text, "$.offset")).otherwise(
-        F.to_json("_p.offset")
-    )
-    kept = [c for c in df.columns if c != data]
+    as_written = F.schema_of_variant("_p.offset").rlike("^(OBJECT|ARRAY|DOUBLE|FLOAT|DECIMAL)")
     fields = {
         "stream_id": F.col("_p.stream_id"),
-        "offset_json": offset,
-        "offset_num": integral_offset(offset),
+        "offset_json": F.when(as_written, F.get_json_object(text, "$.offset")).otherwise(
+            F.to_json("_p.offset")
+        ),
         "metadata": metadata_on_read("_p.metadata", "empty_object"),
         "created_at": parse_time("_p.created_at", "iso"),
         "updated_at": parse_time("_p.updated_at", "iso"),
@@ -86,17 +82,18 @@ def decode_payloads(
         | fields["updated_at"].isNull()
         | (F.col("_p.created_at").isNotNull() & fields["created_at"].isNull())
     )
-    good_columns = [F.col(c) for c in kept if c not in fields]
-    good_columns += [column.alias(name) for name, column in fields.items()]
+    kept = [c for c in df.columns if c != data and c not in fields and c != "offset_num"]
+
+    def typed(rows: DataFrame) -> DataFrame:
+        columns = [F.col(c) for c in kept] + [c.alias(name) for name, c in fields.items()]
+        offset_num = integral_offset("offset_json").alias("offset_num")
+        return rows.select(*columns).select(*kept, *fields, offset_num)
+
     if mode == "failfast":
-        checked = parsed.withColumn(
-            "_p",
-            F.when(
-                unreadable, F.raise_error(F.concat(F.lit("unreadable payload: "), F.coalesce(text, F.lit("null"))))
-            ).otherwise(F.col("_p")),
-        )
-        return checked.select(*good_columns), df.limit(0)
-    return parsed.where(~unreadable).select(*good_columns), parsed.where(unreadable).select(*df.columns)
+        refusal = F.concat(F.lit("unreadable payload: "), F.coalesce(text, F.lit("null")))
+        checked = F.when(unreadable, F.raise_error(refusal)).otherwise(F.col("_p"))
+        return typed(parsed.withColumn("_p", checked)), df.limit(0)
+    return typed(parsed.where(~unreadable)), parsed.where(unreadable).select(*df.columns)
 
 
 def normalise_offsets(df: DataFrame, kind: str = "json", column: str = "offset") -> DataFrame:
