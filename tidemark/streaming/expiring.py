@@ -3,7 +3,7 @@
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -54,56 +54,61 @@ def ttl_state(
     )
     keys = [wanted.schema[c] for c in key_cols]
     output = T.StructType(
-        keys
+        [reduced.schema[c] for c in key_cols]
         + [
             T.StructField("offset_num", T.LongType()),
-            T.StructField("expires_at", T.TimestampType()),
+            T.StructField("expires_us", T.LongType()),
             T.StructField("state", T.StringType()),
         ]
     )
-    return reduced.groupBy(*key_cols).transformWithStateInPandas(
+    states = reduced.groupBy(*key_cols).transformWithState(
         statefulProcessor=_Expiring(key_cols, int(ttl_seconds)),
         outputStructType=output,
         outputMode="update",
         timeMode="EventTime",
     )
+    return states.select(
+        *key_cols, "offset_num", F.timestamp_micros("expires_us").alias("expires_at"), "state"
+    )
 
 
 class _Expiring(StatefulProcessor):
+    """State of a key: its offset, when it was saved, and when its timer goes off.
+
+    A key has one timer.  A save leaves it alone; when it goes off and the key has been
+    refreshed, it is set again to the new end.
+    """
+
     def __init__(self, key_cols: list[str], ttl_seconds: int):
-        self.key_cols = key_cols
-        self.ttl_ms = ttl_seconds * 1000
+        self.ttl_us = ttl_seconds * 1_000_000
+        self.row = Row(*key_cols, "offset_num", "expires_us", "state")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "offset_num LONG, saved_us LONG, timer_ms LONG")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = self.last.get() if self.last.exists() else None
-        offset, saved = (old[0], old[1]) if old else (None, None)
-        for batch in rows:
-            newest = batch.loc[batch["saved_us"].idxmax()]
-            if saved is None or newest["saved_us"] >= saved:
-                offset, saved = int(newest["offset_num"]), int(newest["saved_us"])
-        if old is not None:
-            self.handle.deleteTimer(old[2])
-        # Timers count milliseconds; rounded up, none goes off early.
-        timer = -(-saved // 1000) + self.ttl_ms
-        self.last.update((offset, saved, timer))
-        self.handle.registerTimer(timer)
-        yield self._row(key, offset, saved, LIVE)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        offset, saved, _ = self.last.get()
+        self.last = handle.getValueState("last", "offset LONG, saved_us LONG")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        old = self.last.get()
+        newest = max(rows, key=lambda row: row.saved_us)
+        offset, saved = newest.offset_num, newest.saved_us
+        if old is not None and old[1] > saved:
+            offset, saved = old[0], old[1]
+        self.last.update((offset, saved))
+        if old is None:
+            self.handle.registerTimer(self._end_ms(saved))
+        yield self.row(*key, offset, saved + self.ttl_us, LIVE)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        offset, saved = self.last.get()
+        if self._end_ms(saved) > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(self._end_ms(saved))
+            return
         self.last.clear()
-        yield self._row(key, offset, saved, EXPIRED)
+        yield self.row(*key, offset, saved + self.ttl_us, EXPIRED)
 
     def close(self) -> None:
         pass
 
-    def _row(self, key, offset: int, saved: int, state: str) -> pd.DataFrame:
-        row = dict(zip(self.key_cols, key))
-        row["offset_num"] = offset
-        row["expires_at"] = pd.Timestamp(saved + self.ttl_ms * 1000, unit="us")
-        row["state"] = state
-        return pd.DataFrame([row])
+    def _end_ms(self, saved_us: int) -> int:
+        # Timers count milliseconds; rounded up, none goes off early.
+        return -(-(saved_us + self.ttl_us) // 1000)
