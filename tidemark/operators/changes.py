@@ -7,7 +7,7 @@ one by ``seq`` counts.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import moment
@@ -25,11 +25,18 @@ def upsert(
 ) -> DataFrame:
     """Put whole rows: a changed key's old row is gone, columns not given are null.
 
-    Small changes are broadcast and the table is not shuffled.
+    ``table`` has one row per key (else see :func:`replace_all`).  Small changes are
+    broadcast and the table is not shuffled; large ones are joined in one pass.
     """
+    key_cols = list(key_cols)
     final = _last_change(changes, key_cols, seq, table.columns)
-    kept = table.join(final.select(*key_cols), list(key_cols), "left_anti")
-    return kept.unionByName(final, allowMissingColumns=True).select(*table.columns)
+    if fits_broadcast(final):
+        kept = table.join(final.select(*key_cols), key_cols, "left_anti")
+        return kept.unionByName(final, allowMissingColumns=True).select(*table.columns)
+    cols = [c for c in table.columns if c not in key_cols]
+    return table.join(_marked(final, key_cols, cols), key_cols, "full").select(
+        *[c if c in key_cols else _changed_or_old(c) for c in table.columns]
+    )
 
 
 def merge_columns(
@@ -45,20 +52,17 @@ def merge_columns(
     the other columns.
     """
     key_cols, cols = list(key_cols), list(cols)
+    unknown = [c for c in cols if c not in changes.columns or c not in table.columns]
+    if unknown:
+        raise ValueError(f"columns {unknown} are not in both the table and the changes")
     final = _last_change(changes, key_cols, seq, [*key_cols, *cols])
-    new = final.select(
-        *key_cols, *[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_changed")
-    )
-    merged = [
-        F.when(F.col("_changed"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-        if c in cols else F.col(c)
-        for c in table.columns
-    ]
+    new = _marked(final, key_cols, cols)
+    merged = [_changed_or_old(c) if c in cols else F.col(c) for c in table.columns]
     if not fits_broadcast(final):
         return table.join(new, key_cols, "full").select(*merged)
     # A full join cannot be broadcast.  With few changes the table stays where it
     # is: old rows by a left join, new keys by what their lookup does not find.
-    updated = table.join(F.broadcast(new), key_cols, "left").select(*merged)
+    updated = table.join(new, key_cols, "left").select(*merged)
     known = narrow_to_keys(table.select(*key_cols), final, key_cols)
     added = final.join(known, key_cols, "left_anti")
     return updated.unionByName(added, allowMissingColumns=True).select(*table.columns)
@@ -129,19 +133,13 @@ def update_offset(
     key_cols = list(key_cols)
     offsets = [c for c in ("offset_json", "offset_num") if c in table.columns]
     final = _last_change(changes, key_cols, seq, [*key_cols, *offsets])
-    new = final.select(
-        *key_cols, *[F.col(c).alias(f"_new_{c}") for c in offsets], F.lit(True).alias("_changed")
-    )
-    changed = F.col("_changed")
-    columns = []
-    for name in table.columns:
-        if name in offsets:
-            columns.append(F.when(changed, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name))
-        elif name == "updated_at":
-            now = moment(as_of).cast(table.schema[name].dataType)
-            columns.append(F.when(changed, now).otherwise(F.col(name)).alias(name))
-        else:
-            columns.append(F.col(name))
+    new = _marked(final, key_cols, offsets)
+    columns = [_changed_or_old(c) if c in offsets else F.col(c) for c in table.columns]
+    if "updated_at" in table.columns:
+        now = moment(as_of).cast(table.schema["updated_at"].dataType)
+        columns[table.columns.index("updated_at")] = (
+            F.when(F.col("_changed"), now).otherwise(F.col("updated_at")).alias("updated_at")
+        )
     return table.join(new, key_cols, "left").select(*columns)
 
 
@@ -182,3 +180,16 @@ def _last_change(
         return changes.select(*wanted)
     rows = changes.select(*wanted, *([] if seq in wanted else [seq]))
     return latest_rows(rows, key_cols, [seq]).select(*wanted)
+
+
+def _marked(changes: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The changes with ``cols`` under other names (null where they lack one) and a mark."""
+    values = [
+        (F.col(c) if c in changes.columns else F.lit(None)).alias(f"_new_{c}") for c in cols
+    ]
+    return changes.select(*key_cols, *values, F.lit(True).alias("_changed"))
+
+
+def _changed_or_old(column: str) -> Column:
+    # Not coalesce: a null in the changes replaces the old value.
+    return F.when(F.col("_changed"), F.col(f"_new_{column}")).otherwise(F.col(column)).alias(column)

@@ -3,7 +3,6 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -30,5 +29,4 @@ def narrow_to_keys(table: DataFrame, keys: DataFrame, key_cols: Sequence[str]) -
     """
     if fits_broadcast(table) or not fits_broadcast(keys):
         return table
-    wanted = F.broadcast(keys.select(*key_cols))
-    return table.join(wanted, list(key_cols), "left_semi")
+    return table.join(keys.select(*key_cols), list(key_cols), "left_semi")

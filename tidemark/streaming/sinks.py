@@ -69,6 +69,8 @@ def track(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if process is not None:
+            # Read once for both uses; a lost part is read again from the source.
+            batch = batch.persist()
             process(batch, batch_id)
         furthest = batch.groupBy(*table.key_cols).agg(
             F.max(offset_col).alias("offset_num"), F.max(time_col).alias("updated_at")
@@ -80,6 +82,8 @@ def track(
             batch_id,
             _writer_name(batch),
         )
+        if process is not None:
+            batch.unpersist()
 
     return stream_to(stream, apply, checkpoint)
 
@@ -91,6 +95,8 @@ def resume_stream(
 
     A stream-static join.  Restarts of the query itself are covered by its own
     checkpoint; this is for a new query that goes on where an earlier reader stopped.
+    Beside a table too large to broadcast, use ``resume`` on each batch instead: it
+    splits hot streams.
     """
     read_up_to = table.select(*key_cols, F.col("offset_num").alias("_read_up_to"))
     joined = stream.join(read_up_to, list(key_cols), "left")
