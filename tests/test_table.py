@@ -102,3 +102,26 @@ def test_unfinished_writes_are_not_read(spark, table, path):
     assert state(table) == [("p", "a", 1)]
     table.compact()
     assert state(table) == [("p", "a", 1)]
+
+
+def test_a_compacted_table_is_read_without_a_shuffle(spark, table):
+    table.save(saves(spark, *[("p", f"s{i}", i, i) for i in range(200)]))
+    table.compact()
+
+    def plan():
+        return table.read()._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in plan()
+    table.save(saves(spark, ("p", "s7", 1000, 1000), ("p", "s8", 0, 1), ("p", "new", 5, 1001)))
+    # Rows of untouched keys pass through a broadcast join.
+    assert "LeftAnti" in plan()
+    got = dict((s, o) for _, s, o in state(table))
+    assert len(got) == 201 and (got["s7"], got["s8"], got["new"]) == (1000, 8, 5)
+
+
+def test_large_batches_are_merged_by_a_shuffle(spark, table, no_broadcast):
+    table.save(saves(spark, *[("p", f"s{i}", i, i) for i in range(50)]))
+    table.compact()
+    table.save(saves(spark, ("p", "s7", 1000, 1000), ("p", "s8", 0, 1)))
+    got = dict((s, o) for _, s, o in state(table))
+    assert len(got) == 50 and (got["s7"], got["s8"]) == (1000, 8)

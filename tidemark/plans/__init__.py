@@ -4,7 +4,7 @@ from tidemark.plans.hot_keys import hot_keys, join_spreading_hot_keys
 from tidemark.plans.latest import latest_rows, newest_rows
 from tidemark.plans.positions import with_position
 from tidemark.plans.scratch import scratch_path, shared_dir
-from tidemark.plans.session import configure, local_session
+from tidemark.plans.session import configure, local_session, stored_bytes
 from tidemark.plans.sizes import fits_broadcast, narrow_to_keys
 
 __all__ = [
@@ -18,5 +18,6 @@ __all__ = [
     "newest_rows",
     "scratch_path",
     "shared_dir",
+    "stored_bytes",
     "with_position",
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.plans import latest_rows
-from tidemark.schema import KEY_COLS, SAVE
+from tidemark.schema import KEY_COLS
 from tidemark.table import ProgressTable
 
 
@@ -67,22 +67,25 @@ def track(
     again cannot move one back.
     """
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        if process is not None:
-            # Read once for both uses; a lost part is read again from the source.
-            batch = batch.persist()
-            process(batch, batch_id)
+    def move_offsets(batch: DataFrame, batch_id: int) -> None:
         furthest = batch.groupBy(*table.key_cols).agg(
             F.max(offset_col).alias("offset_num"), F.max(time_col).alias("updated_at")
         )
-        table.save(
-            furthest.withColumn("offset_json", F.col("offset_num").cast("string"))
-            .withColumn("seq", F.col("offset_num"))
-            .withColumn("op", F.lit(SAVE)),
-            batch_id,
-            _writer_name(batch),
+        saves = furthest.withColumns(
+            {"offset_json": F.col("offset_num").cast("string"), "seq": F.col("offset_num")}
         )
-        if process is not None:
+        table.save(saves, batch_id, _writer_name(batch))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if process is None:
+            move_offsets(batch, batch_id)
+            return
+        # Read once for both uses; a part that is lost is read again from the source.
+        batch.persist()
+        try:
+            process(batch, batch_id)
+            move_offsets(batch, batch_id)
+        finally:
             batch.unpersist()
 
     return stream_to(stream, apply, checkpoint)

@@ -12,7 +12,7 @@ win over saves that come in late, and are left out on reading.
 """
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,12 @@ from pyspark.sql import types as T
 
 from tidemark import operators as ops
 from tidemark.functions import moment
-from tidemark.plans import latest_rows, narrow_to_keys
+from tidemark.plans import fits_broadcast, latest_rows, narrow_to_keys
 from tidemark.schema import DELETE, KEY_COLS, PROGRESS_LOG, SAVE
 from tidemark.sources.tables import write_sorted
 
+Narrowing = Callable[[DataFrame], DataFrame]
+
 
 class ProgressTable:
     """Saves, deletes and lookups in bulk.  One process writes at a time."""
@@ -44,33 +46,34 @@ class ProgressTable:
 
     def events(self) -> DataFrame:
         """The last event of every key, deletes included."""
-        return ops.latest_by_arrival(self._stored(), self.key_cols)
+        return self._last_events()
 
     def read(self) -> DataFrame:
         """The current row of every key."""
-        return self._current(self._stored())
+        return self._current()
 
     def load(self, keys: DataFrame) -> DataFrame:
         """The current row of every key asked for; nulls for keys without one."""
-        # Cut down before, not after, the last event of every key is looked for.
-        found = self._current(narrow_to_keys(self._stored(), keys, self.key_cols))
+        found = self._current(lambda rows: narrow_to_keys(rows, keys, self.key_cols))
         asked = keys.select(*self.key_cols)
         return asked.join(found, self.key_cols, "left").select(*found.columns)
 
     def load_key(self, **key) -> DataFrame:
         """The current row of one key, if any; the key filter reaches the files."""
-        return self._current(ops.by_key(self._stored(), **key))
+        return self._current(lambda rows: ops.by_key(rows, **key))
 
     def exists(self, keys: DataFrame) -> DataFrame:
         """The keys that have a row.  Of the stored columns only key, order and kind are read."""
-        stored = self._stored().select(*self.key_cols, "op", "seq")
-        found = self._current(narrow_to_keys(stored, keys, self.key_cols))
+        needed = [*self.key_cols, "op", "seq"]
+        found = self._current(
+            lambda rows: narrow_to_keys(rows.select(*needed), keys, self.key_cols)
+        )
         return keys.join(found.select(*self.key_cols), self.key_cols, "left_semi")
 
     def list_group(self, column: str, value) -> DataFrame:
         """The current rows of one pipeline, or of one value of another column."""
         if column in self.key_cols:
-            return self._current(ops.by_group(self._stored(), column, value))
+            return self._current(lambda rows: ops.by_group(rows, column, value))
         return ops.by_group(self.read(), column, value)
 
     # -- writing ---------------------------------------------------------
@@ -121,10 +124,8 @@ class ProgressTable:
         ``changes`` has the key, the offset and ``seq``; keys without a row are ignored.
         """
         last = latest_rows(changes, self.key_cols, ["seq"])
-        stored = narrow_to_keys(self._stored(), last, self.key_cols)
-        old = self._current(stored).drop("seq").join(
-            last.select(*self.key_cols, "seq"), self.key_cols
-        )
+        known = self._current(lambda rows: narrow_to_keys(rows, last, self.key_cols))
+        old = known.drop("seq").join(last.select(*self.key_cols, "seq"), self.key_cols)
         self.save(ops.update_offset(old, last, as_of, self.key_cols), batch_id, writer)
 
     def clear(
@@ -180,9 +181,31 @@ class ProgressTable:
 
     # -- storage ---------------------------------------------------------
 
-    def _current(self, stored: DataFrame) -> DataFrame:
-        last = ops.latest_by_arrival(stored, self.key_cols)
-        return last.where(F.col("op") != DELETE).drop("op")
+    def _current(self, narrow: Narrowing = lambda rows: rows) -> DataFrame:
+        return self._last_events(narrow).where(F.col("op") != DELETE).drop("op")
+
+    def _last_events(self, narrow: Narrowing = lambda rows: rows) -> DataFrame:
+        """The last event of every key.  ``narrow`` keeps all or no events of a key.
+
+        The snapshot has one event per key already.  Beside small batches only its rows
+        of the keys in them are compared; the others are read and passed on.
+        """
+        version, paths = self._newest_snapshot(), self.batches()
+        if version is None and not paths:
+            return narrow(self.spark.createDataFrame([], self.schema))
+        reader = self.spark.read.schema(self.schema)
+        if version is None:
+            return latest_rows(narrow(reader.parquet(*paths)), self.key_cols, ["seq"])
+        snapshot = narrow(reader.parquet(f"{self.path}/snapshot/version={version}"))
+        if not paths:
+            return snapshot
+        recent = latest_rows(narrow(reader.parquet(*paths)), self.key_cols, ["seq"])
+        if not fits_broadcast(recent):
+            return latest_rows(snapshot.unionByName(recent), self.key_cols, ["seq"])
+        touched = recent.select(*self.key_cols)
+        compared = snapshot.join(touched, self.key_cols, "left_semi").unionByName(recent)
+        untouched = snapshot.join(touched, self.key_cols, "left_anti")
+        return untouched.unionByName(latest_rows(compared, self.key_cols, ["seq"]))
 
     def _all_batches(self) -> list[str]:
         root = f"{self.path}/batch"
@@ -193,15 +216,6 @@ class ProgressTable:
             if self._complete(f"{root}/{writer}/{batch}")
         ]
 
-    def _stored(self) -> DataFrame:
-        newest = self._newest_snapshot()
-        paths = self.batches()
-        if newest is not None:
-            paths.append(f"{self.path}/snapshot/version={newest}")
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
     def _newest_snapshot(self) -> int | None:
         root = f"{self.path}/snapshot"
         versions = [

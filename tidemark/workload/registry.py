@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans import configure
+from tidemark.plans import configure, stored_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _wall_clock(build(configure(spark), sf_dir))
+            configure(spark, stored_bytes(spark, sf_dir))
+            return _wall_clock(build(spark, sf_dir))
 
         if name in _queries:
             raise ValueError(f"query {name!r} is registered twice")
