@@ -85,6 +85,14 @@ def test_spread_join_equals_plain_join(spark, rows_of, no_broadcast, how):
     assert rows_of(spread) == rows_of(left.join(right, ["k"], how))
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti", "left_semi"])
+def test_rows_without_a_key_match_nothing(spark, rows_of, no_broadcast, how):
+    left = spark.range(90).selectExpr("IF(id % 3 = 0, NULL, id % 4) AS k", "id AS v")
+    right = spark.createDataFrame([(1,), (None,)], "k long")
+    spread = join_spreading_hot_keys(left, right, ["k"], how, rows_per_task=5)
+    assert rows_of(spread) == rows_of(left.join(right, ["k"], how))
+
+
 def test_hot_rows_land_in_many_tasks(spark, no_broadcast):
     from pyspark.sql import functions as F
 

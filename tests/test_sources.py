@@ -112,6 +112,13 @@ def test_ensure_table_creates_once(spark, tmp_path):
         sources.ensure_table(spark, "other", ["nope"])
 
 
+def test_ensure_table_by_path(spark, path):
+    table = sources.ensure_table(spark, path, ["stream_id"])
+    assert table.count() == 0 and "expires_at" in table.columns
+    spark.createDataFrame([("p", "s")], "pipeline_id string, stream_id string").write.mode("append").parquet(path)
+    assert sources.ensure_table(spark, path).count() == 1
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, no_broadcast):
     for name in ("bucketed_a", "bucketed_b"):
         sources.ensure_table(spark, name, buckets=4)

@@ -125,3 +125,11 @@ def test_large_batches_are_merged_by_a_shuffle(spark, table, no_broadcast):
     table.save(saves(spark, ("p", "s7", 1000, 1000), ("p", "s8", 0, 1)))
     got = dict((s, o) for _, s, o in state(table))
     assert len(got) == 50 and (got["s7"], got["s8"]) == (1000, 8)
+
+
+def test_resume_from_a_table(spark, table, rows_of):
+    table.save(saves(spark, ("p", "a", 3, 1)))
+    source = spark.createDataFrame(
+        [("p", "a", 3), ("p", "a", 4), ("p", "b", 0)], "pipeline_id string, stream_id string, at long"
+    )
+    assert rows_of(table.resume(source, "at"), "stream_id", "at") == [("a", 4), ("b", 0)]

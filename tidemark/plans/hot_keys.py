@@ -1,6 +1,8 @@
 """Joins whose left side may hold a large share of its rows under one key."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +62,11 @@ def join_spreading_hot_keys(
         # same places; the partition number spreads copies of one row as well.
         plain = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
         spread = F.xxhash64(F.spark_partition_id(), *plain)
+        # Rows without a key match nothing, so they may go anywhere.
+        no_key = reduce(or_, [F.col(c).isNull() for c in key_cols])
+        ways = F.when(no_key, MAX_HOT_KEYS).otherwise(F.coalesce(F.col("_splits"), F.lit(1)))
         left = left.join(hot, key_cols, "left").withColumn(
-            "_salt", F.pmod(spread, F.coalesce(F.col("_splits"), F.lit(1))).cast("int")
+            "_salt", F.pmod(spread, ways).cast("int")
         ).drop("_splits")
         right = right.join(hot, key_cols, "left").withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
@@ -78,8 +83,5 @@ def join_spreading_hot_keys(
             *[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns]
         )
         equal = [F.col(c) == F.col(f"_right_{c}") for c in on]
-        everything = condition
-        for test in equal:
-            everything = everything & test
-        joined = left.join(renamed, everything, how).drop(*[f"_right_{c}" for c in on])
+        joined = left.join(renamed, reduce(and_, equal, condition), how).drop(*[f"_right_{c}" for c in on])
     return joined.drop("_salt")

@@ -35,13 +35,23 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on whatever storage it names."""
+    fs, location = _storage(spark, path)
+    return fs.exists(location)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under ``path``."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    """Size of the files under ``path``; 0 if there is nothing."""
+    fs, location = _storage(spark, path)
     return int(fs.getContentSummary(location).getLength()) if fs.exists(location) else 0
 
 
+def _storage(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     """A session on this machine, for tests and the bench."""
     builder = (

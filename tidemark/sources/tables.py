@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.codec import decode_payloads
+from tidemark.plans import path_exists
 from tidemark.schema import KEY_COLS, PROGRESS, PROGRESS_LOG
 
 
@@ -17,9 +18,11 @@ def ensure_table(
     buckets: int | None = None,
     location: str | None = None,
 ) -> DataFrame:
-    """Create a catalog table if there is none of that name, and return it.
+    """Create a table if there is none yet, and return it.
 
-    With ``location`` its files are there, otherwise in the warehouse.
+    ``name`` is a name in the catalog or, with a slash in it, the path of a Parquet
+    table.  With ``location`` the files of a catalog table are there, otherwise in the
+    warehouse.
 
     With ``buckets`` it is bucketed and sorted by its key, so that joins of two
     such tables need no shuffle.  Spark does not enforce keys: check them with
@@ -28,6 +31,10 @@ def ensure_table(
     unknown = [c for c in key_cols if c not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"key columns {unknown} are not in the schema")
+    if "/" in name:
+        if not path_exists(spark, name):
+            spark.createDataFrame([], schema).write.parquet(name)
+        return spark.read.schema(schema).parquet(name)
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
         for f in schema

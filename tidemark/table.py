@@ -9,6 +9,8 @@ and keeps the last event of every key.  Events carry their order (``seq``), so i
 makes no difference in which batch one is: a batch written twice, or read although
 a snapshot has it, changes nothing.  Deletes stay in the snapshot as events, to
 win over saves that come in late, and are left out on reading.
+
+A batch or snapshot counts once Spark has put its ``_SUCCESS`` file there.
 """
 
 import uuid
@@ -76,6 +78,12 @@ class ProgressTable:
             return self._current(lambda rows: ops.by_group(rows, column, value))
         return ops.by_group(self.read(), column, value)
 
+    def resume(self, source: DataFrame, offset_col: str) -> DataFrame:
+        """The records of ``source`` after the offsets in this table; see ``ops.resume``."""
+        needed = [*self.key_cols, "offset_json", "offset_num", "op", "seq"]
+        offsets = self._current(lambda rows: rows.select(*needed))
+        return ops.resume(source, offsets, offset_col, self.key_cols)
+
     # -- writing ---------------------------------------------------------
 
     def save(
