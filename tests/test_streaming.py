@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import ProgressTable, streaming
 from tidemark import operators as ops
 from tidemark.plans import scratch_path
-from tidemark.workload.streams import rocksdb_state, run_to_end
+from tidemark.workload.streams import run_to_end, state_settings
 
 EVENT = "pipeline_id string, stream_id string, offset_json string, offset_num long, updated_at timestamp, op string, seq long"
 
@@ -162,7 +162,7 @@ def test_state_expires_after_the_last_save(spark, tmp_path, path, state):
             f"(unix_seconds(expires_at) - {start}) DIV 60 AS until",
         ).write.mode("overwrite").parquet(f"{path}/{batch_id}")
 
-    with rocksdb_state(spark):
+    with state_settings(spark, source):
         for n in range(4):
             # One more folder each time; the query goes on from its checkpoint.
             run_to_end(streaming.stream_to(

@@ -62,7 +62,7 @@ def ttl_state(
         ]
     )
     states = reduced.groupBy(*key_cols).transformWithState(
-        statefulProcessor=_Expiring(key_cols, int(ttl_seconds)),
+        statefulProcessor=_expiring(key_cols, int(ttl_seconds)),
         outputStructType=output,
         outputMode="update",
         timeMode="EventTime",
@@ -72,43 +72,50 @@ def ttl_state(
     )
 
 
-class _Expiring(StatefulProcessor):
-    """State of a key: its offset, when it was saved, and when its timer goes off.
+def _expiring(key_cols: list[str], ttl_seconds: int) -> StatefulProcessor:
+    """The processor behind :func:`ttl_state`.
 
-    A key has one timer.  A save leaves it alone; when it goes off and the key has been
-    refreshed, it is set again to the new end.
+    A class made in here travels to the workers as it is, so they need not have this
+    package.
     """
+    ttl_us = ttl_seconds * 1_000_000
+    row = Row(*key_cols, "offset_num", "expires_us", "state")
 
-    def __init__(self, key_cols: list[str], ttl_seconds: int):
-        self.ttl_us = ttl_seconds * 1_000_000
-        self.row = Row(*key_cols, "offset_num", "expires_us", "state")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "offset LONG, saved_us LONG")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self.last.get()
-        newest = max(rows, key=lambda row: row.saved_us)
-        offset, saved = newest.offset_num, newest.saved_us
-        if old is not None and old[1] > saved:
-            offset, saved = old[0], old[1]
-        self.last.update((offset, saved))
-        if old is None:
-            self.handle.registerTimer(self._end_ms(saved))
-        yield self.row(*key, offset, saved + self.ttl_us, LIVE)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        offset, saved = self.last.get()
-        if self._end_ms(saved) > timerValues.getCurrentWatermarkInMs():
-            self.handle.registerTimer(self._end_ms(saved))
-            return
-        self.last.clear()
-        yield self.row(*key, offset, saved + self.ttl_us, EXPIRED)
-
-    def close(self) -> None:
-        pass
-
-    def _end_ms(self, saved_us: int) -> int:
+    def end_ms(saved_us: int) -> int:
         # Timers count milliseconds; rounded up, none goes off early.
-        return -(-(saved_us + self.ttl_us) // 1000)
+        return -(-(saved_us + ttl_us) // 1000)
+
+    class Expiring(StatefulProcessor):
+        """State of a key: its offset and when it was saved.
+
+        A key has one timer.  A save leaves it alone; when it goes off and the key has
+        been refreshed, it is set again to the new end.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "offset LONG, saved_us LONG")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            old = self.last.get()
+            newest = max(rows, key=lambda r: r.saved_us)
+            offset, saved = newest.offset_num, newest.saved_us
+            if old is not None and old[1] > saved:
+                offset, saved = old[0], old[1]
+            self.last.update((offset, saved))
+            if old is None:
+                self.handle.registerTimer(end_ms(saved))
+            yield row(*key, offset, saved + ttl_us, LIVE)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            offset, saved = self.last.get()
+            if end_ms(saved) > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(end_ms(saved))
+                return
+            self.last.clear()
+            yield row(*key, offset, saved + ttl_us, EXPIRED)
+
+        def close(self) -> None:
+            pass
+
+    return Expiring()
