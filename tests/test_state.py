@@ -77,7 +77,7 @@ def test_keep_last_n_with_one_hot_key(spark):
     everything = {}
     for r in events.collect():
         everything.setdefault(r.key, []).append(r.seq)
-    for n in (1, 3, 1000, 1001, 5000):
+    for n in (1, 16, 17, 1000, 1001, 5000):
         got = {}
         for r in newest_rows(events, ["key"], ["seq"], n).collect():
             got.setdefault(r.key, []).append(r.seq)
@@ -88,8 +88,12 @@ def test_keep_last_n_with_one_hot_key(spark):
 
 def test_short_lists_are_cut_before_the_shuffle(spark):
     log = spark.createDataFrame(random_log(1), SCHEMA)
-    plan = ops.keep_last_n(log, n=2)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    for n, shuffles in ((2, 1), (200, 2), (2000, 3)):
+        plan = ops.keep_last_n(log, n=n)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == shuffles
+        if n <= 1000:
+            assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+            assert plan.rindex("Final") < plan.rindex("Exchange") < plan.rindex("Partial")
 
 
 def test_counts_streams_and_subkeys(spark, rows_of):

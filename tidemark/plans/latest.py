@@ -15,8 +15,10 @@ _FIXED_WIDTH = (
 #: shuffle by itself (default of ``spark.sql.optimizer.windowGroupLimitThreshold``).
 _GROUP_LIMIT = 1000
 
-#: Shares into which a key is gathered between the first cut of a long list
-#: (within each task's rows) and the last one (the whole key).
+#: Up to this many, what all tasks together leave of a hot key is little for one reducer.
+_SHORT_LIST = 16
+
+#: Shares of the input partitions among which longer lists are cut before the last step.
 _SHARES = 512
 
 
@@ -55,19 +57,20 @@ def newest_rows(
 ) -> DataFrame:
     """The ``n`` rows of every key with the greatest ``order_cols``.
 
-    Spark turns a small ``row_number() <= n`` into a per-task limit before the
-    shuffle.  Beyond its threshold the cut is made in steps, so that no task gets
-    a whole hot key: among the rows of a key in one input partition, then among
-    those of a share of the partitions, then among what is left of the key.
+    Spark turns ``row_number() <= n`` into a limit within each task before the shuffle,
+    so of a hot key ``n`` rows per task meet in one reducer.  Longer lists are first cut
+    among shares of the tasks.  Beyond Spark's threshold for its own limit, they are
+    before that cut among the rows of a key in one input partition.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     key_cols = list(key_cols)
     newest_first = [F.col(c).desc() for c in order_cols]
-    if n > _GROUP_LIMIT:
+    if n > _SHORT_LIST:
         # Stable when a task is run again, unlike a random number.
         rows = rows.withColumn("_share", F.spark_partition_id())
-        rows = _first_n(rows, [*key_cols, "_share"], newest_first, n)
+        if n > _GROUP_LIMIT:
+            rows = _first_n(rows, [*key_cols, "_share"], newest_first, n)
         rows = rows.withColumn("_share", F.col("_share") % _SHARES)
         rows = _first_n(rows, [*key_cols, "_share"], newest_first, n).drop("_share")
     return _first_n(rows, key_cols, newest_first, n)
