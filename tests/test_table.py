@@ -133,3 +133,13 @@ def test_resume_from_a_table(spark, table, rows_of):
         [("p", "a", 3), ("p", "a", 4), ("p", "b", 0)], "pipeline_id string, stream_id string, at long"
     )
     assert rows_of(table.resume(source, "at"), "stream_id", "at") == [("a", 4), ("b", 0)]
+
+
+def test_events_need_a_key_and_an_order(spark, table, rows_of):
+    rows = saves(spark, ("p", "a", 3, 1))
+    with pytest.raises(ValueError, match="seq"):
+        table.save(rows.drop("seq"))
+    with pytest.raises(ValueError, match="op"):
+        table.append(rows)
+    table.save(rows.drop("offset_json"))
+    assert rows_of(table.read(), "offset_json", "offset_num") == [("3", 3)]

@@ -51,5 +51,7 @@ def by_payload_field(df: DataFrame, field: str, value: str, data: str | Column =
     Every payload is read.  Keep keys as columns and use :func:`by_group` instead
     where there is a choice.
     """
+    if "'" in field:
+        raise ValueError(f"field name {field!r} has a quote in it")
     column = F.col(data) if isinstance(data, str) else data
     return df.where(F.get_json_object(column, f"$['{field}']") == value)

@@ -23,7 +23,7 @@ _SHARES = 512
 
 
 def latest_rows(rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """One row per key: the one with the greatest ``order_cols``.
+    """One row per key: the one with the greatest ``order_cols``, which are not null.
 
     An aggregate, not a window: each task reduces its rows to one per key before
     anything is shuffled, so a hot key costs its reducer one row per task.

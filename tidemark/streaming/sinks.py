@@ -35,7 +35,7 @@ def stream_append(
 def stream_upsert(
     stream: DataFrame, table: ProgressTable, checkpoint: str, compact_every: int | None = None
 ) -> DataStreamWriter:
-    """Apply a stream of saves and deletes to a table.
+    """Apply a stream of saves and deletes (or, without ``op``, of saves) to a table.
 
     A micro-batch is cut to the last event per key and written beside the earlier
     ones: the cost is that of the batch, not of the table.  Its place is named after
@@ -45,7 +45,7 @@ def stream_upsert(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = latest_rows(batch, table.key_cols, ["seq"])
-        table.append(last, batch_id, _writer_name(batch))
+        table.save(last, batch_id, _writer_name(batch))
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 
@@ -71,10 +71,9 @@ def track(
         furthest = batch.groupBy(*table.key_cols).agg(
             F.max(offset_col).alias("offset_num"), F.max(time_col).alias("updated_at")
         )
-        saves = furthest.withColumns(
-            {"offset_json": F.col("offset_num").cast("string"), "seq": F.col("offset_num")}
+        table.save(
+            furthest.withColumn("seq", F.col("offset_num")), batch_id, _writer_name(batch)
         )
-        table.save(saves, batch_id, _writer_name(batch))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if process is None:

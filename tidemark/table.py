@@ -113,8 +113,14 @@ class ProgressTable:
         """Write one batch of events.
 
         Give a ``batch_id`` only where a batch may have to be written again: the same
-        number means the same events, and replaces them.
+        number means the same events, and replaces them.  Columns that are left out are
+        null, except for the text of an offset given as a number.
         """
+        lacking = [c for c in [*self.key_cols, "op", "seq"] if c not in events.columns]
+        if lacking:
+            raise ValueError(f"events lack the columns {lacking}")
+        if "offset_json" not in events.columns and "offset_num" in events.columns:
+            events = events.withColumn("offset_json", F.col("offset_num").cast("string"))
         columns = [
             F.col(f.name).cast(f.dataType).alias(f.name)
             if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name)
