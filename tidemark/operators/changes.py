@@ -14,7 +14,7 @@ from tidemark.functions import moment
 from tidemark.operators.state import latest_by_arrival
 from tidemark.plans import fits_broadcast, join_spreading_hot_keys, latest_rows, narrow_to_keys
 from tidemark.plans.hot_keys import ROWS_PER_TASK
-from tidemark.schema import DELETE, KEY_COLS
+from tidemark.schema import DELETE, KEY_COLS, SAVE
 
 
 def upsert(
@@ -164,8 +164,14 @@ def replace_all(
 def compact_log(
     log: DataFrame, key_cols: Sequence[str] = KEY_COLS, seq: str = "seq", op: str = "op"
 ) -> DataFrame:
-    """The last event of every key, without the keys whose last event is a delete."""
-    return latest_by_arrival(log, key_cols, seq).where(F.col(op) != DELETE)
+    """The last event of every key, without the keys whose last event is a delete.
+
+    Select the columns you need before calling: with fixed-width columns beside key
+    and ``op``, Spark aggregates by hash instead of sorting.
+    """
+    # A flag travels through the aggregate in place of the text; what is left are saves.
+    last = latest_by_arrival(log.withColumn(op, F.col(op) == DELETE), key_cols, seq)
+    return last.where(~F.col(op)).withColumn(op, F.lit(SAVE))
 
 
 def _last_change(

@@ -196,7 +196,11 @@ class ProgressTable:
     # -- storage ---------------------------------------------------------
 
     def _current(self, narrow: Narrowing = lambda rows: rows) -> DataFrame:
-        return self._last_events(narrow).where(F.col("op") != DELETE).drop("op")
+        # A flag instead of the text, so that narrow rows are aggregated by hash.
+        def flagged(rows: DataFrame) -> DataFrame:
+            return narrow(rows).withColumn("op", F.col("op") == DELETE)
+
+        return self._last_events(flagged).where(~F.col("op")).drop("op")
 
     def _last_events(self, narrow: Narrowing = lambda rows: rows) -> DataFrame:
         """The last event of every key.  ``narrow`` keeps all or no events of a key.

@@ -121,8 +121,6 @@ SELECT pipeline_id, stream_id, offset_num, updated_at FROM (
 def _(spark, sf_dir):
     # Fixed-width columns only: a hash aggregate.
     log = event_log(spark, sf_dir).select(
-        "pipeline_id", "stream_id", "offset_num", "updated_at", "seq",
-        (F.col("op") == "delete").alias("gone"),
+        "pipeline_id", "stream_id", "offset_num", "updated_at", "op", "seq"
     )
-    last = ops.latest_by_arrival(log)
-    return last.where(~F.col("gone")).drop("gone", "seq")
+    return ops.compact_log(log).drop("op", "seq")
