@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontamination import contamination
 from tidemark.llm.packing import pack_examples
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
@@ -63,15 +64,72 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_WORDS_SQL = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')"""
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS words FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS words FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(13, len(words)) AS n, words[i:i + least(13, len(words)) - 1] AS run
+      FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - 12) + 1)) AS i
+            FROM b WHERE len(words) > 0)),
+lengths AS (SELECT DISTINCT n FROM w),
+runs AS (SELECT r, i, n, words[i:i + n - 1] AS run
+         FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
+               FROM d, lengths WHERE len(words) >= n)),
+hits AS (SELECT r, i, n, item_id FROM runs JOIN w USING (n, run)),
+hit AS (SELECT r, count(DISTINCT at) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+           FROM documents),
+runs AS (SELECT r, i, words[i:i + 34] AS run
+         FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d WHERE len(words) >= 35)),
+twice AS (SELECT run FROM runs GROUP BY run HAVING count(*) > 1),
+gone AS (SELECT r, list(DISTINCT at) AS gone
+         FROM (SELECT r, unnest(range(i, i + 35)) AS at FROM runs JOIN twice USING (run)) GROUP BY r),
+flagged AS (SELECT r, w.at, w.word, g.at IS NOT NULL AS dropped
+            FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM d) w
+            LEFT JOIN (SELECT r, unnest(gone) AS at FROM gone) g USING (r, at)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY at) FILTER (WHERE NOT dropped) AS kept,
+                count(*) FILTER (WHERE dropped) AS n_removed FROM flagged GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_packing": packing,
         "op6_substring_dedup": substring_dedup,
         "op7_simhash": simhash,
         "op8_sharding": sharding,
+        "op9_decontamination": decontamination,
         "op10_token_counts": counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_substring_dedup": SUBSTRING_SQL, "op9_decontamination": DECONTAMINATION_SQL}
