@@ -92,8 +92,8 @@ runs AS (SELECT r, i, n, words[i:i + n - 1] AS run
          FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
                FROM d, lengths WHERE len(words) >= n)),
 hits AS (SELECT r, i, n, item_id FROM runs JOIN w USING (n, run)),
-hit AS (SELECT r, count(DISTINCT at) AS n_hit
-        FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hits) GROUP BY r),
+hit AS (SELECT r, count(DISTINCT pos) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
           FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
@@ -108,12 +108,12 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id,
 runs AS (SELECT r, i, words[i:i + 34] AS run
          FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d WHERE len(words) >= 35)),
 twice AS (SELECT run FROM runs GROUP BY run HAVING count(*) > 1),
-gone AS (SELECT r, list(DISTINCT at) AS gone
-         FROM (SELECT r, unnest(range(i, i + 35)) AS at FROM runs JOIN twice USING (run)) GROUP BY r),
-flagged AS (SELECT r, w.at, w.word, g.at IS NOT NULL AS dropped
-            FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM d) w
-            LEFT JOIN (SELECT r, unnest(gone) AS at FROM gone) g USING (r, at)),
-kept AS (SELECT r, string_agg(word, ' ' ORDER BY at) FILTER (WHERE NOT dropped) AS kept,
+gone AS (SELECT r, list(DISTINCT pos) AS gone
+         FROM (SELECT r, unnest(range(i, i + 35)) AS pos FROM runs JOIN twice USING (run)) GROUP BY r),
+flagged AS (SELECT r, w.pos, w.word, g.pos IS NOT NULL AS dropped
+            FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d) w
+            LEFT JOIN (SELECT r, unnest(gone) AS pos FROM gone) g USING (r, pos)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT dropped) AS kept,
                 count(*) FILTER (WHERE dropped) AS n_removed FROM flagged GROUP BY r)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
