@@ -21,7 +21,7 @@ os.environ.setdefault("RAYON_NUM_THREADS", "1")
 import regex
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 150_000
+from tidemark.llm.recent import Recent
 
 #: Unicode white space; it differs from ``str.split`` by U+001C to U+001F.
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -34,6 +34,8 @@ _PLAIN = re.compile("[!-~¡§«°·»¿À-ÖØ-öø-ÿ]*")
 
 #: The tokenizer's own pattern and its special strings.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The same for lower-case plain text.
+_PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 _SPECIAL = re.compile(r"<\|startoftext\|>|<\|endoftext\|>")
 _END = "</w>"
 
@@ -49,25 +51,6 @@ def _byte_characters() -> list[str]:
 _BYTE = _byte_characters()
 
 
-class Recent(dict):
-    """A cache of two generations: when the young one is full it becomes the old one."""
-
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
-        super().__init__()
-        self._make, self._entries, self._old = make, entries, {}
-
-    def __missing__(self, key):
-        value = self._old.get(key)
-        if value is None:
-            value = self._make(key)
-        if len(self) >= self._entries:
-            self._old = dict(self)
-            self.clear()
-        if isinstance(key, int) or len(key) <= 64:
-            self[key] = value
-        return value
-
-
 def chunks_of(text: str) -> list[str]:
     return _CHUNK.findall(text) if _ODD.search(text) else text.split()
 
@@ -87,7 +70,7 @@ class Ids:
 
     def _of_chunk(self, chunk: str) -> bytes:
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join(map(self._piece.__getitem__, _PIECE.findall(chunk.lower())))
+            return b"".join(map(self._piece.__getitem__, _PLAIN_PIECE.findall(chunk.lower())))
         ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 

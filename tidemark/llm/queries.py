@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.packing import pack_examples
+from tidemark.llm.quality import fit_quality, held_out, score_quality
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
 from tidemark.llm.substring_dedup import remove_repeats
@@ -15,6 +16,9 @@ from tidemark.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Scores from here on count as label 1.
+THRESHOLD = 0.7
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -64,6 +68,18 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learnt from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out())
+    return score_quality(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -79,7 +95,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS_SQL = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')"""
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
 
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS words FROM documents),
@@ -103,7 +119,7 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
 SUBSTRING_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
-                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
            FROM documents),
 runs AS (SELECT r, i, words[i:i + 34] AS run
          FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d WHERE len(words) >= 35)),
@@ -123,6 +139,7 @@ FROM d LEFT JOIN kept USING (r)"""
 def queries() -> dict[str, Query]:
     return {
         "op3_packing": packing,
+        "op5_quality": quality,
         "op6_substring_dedup": substring_dedup,
         "op7_simhash": simhash,
         "op8_sharding": sharding,
