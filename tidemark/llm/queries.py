@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import toxicity as toxic
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.packing import pack_examples
 from tidemark.llm.quality import fit_quality, held_out, score_quality
@@ -68,6 +69,18 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learnt from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxic.fit_toxicity(docs, table(spark, sf_dir, "labels"), ~toxic.held_out())
+    return toxic.score_toxicity(docs, model).select(
+        "doc_id",
+        toxic.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels are learnt from rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -138,6 +151,7 @@ FROM d LEFT JOIN kept USING (r)"""
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": toxicity,
         "op3_packing": packing,
         "op5_quality": quality,
         "op6_substring_dedup": substring_dedup,
