@@ -5,6 +5,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's setting for dropping the shuffle files of a query when it has ended.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset, as in tests, one beside
     the warehouse, which is shared as well."""
@@ -24,7 +28,18 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once and read back: cuts the lineage and survives lost executors.
+
+    The shuffle files of the job are freed as soon as the table is there.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shipping import ship
+from tidemark.llm.storage import written
 from tidemark.llm.words import text_buffers, text_slices, window_hashes, word_bounds, word_hashes
 
 WINDOW = 35
@@ -150,7 +151,8 @@ def remove_repeats(
 
     Repeats are counted before the shuffle (one row per hash and task), so a passage found in
     a third of all texts costs no more than others; joins on hashes have one row per hash on
-    one side. Texts are shuffled once, by their own key, and used twice.
+    one side. What each length leaves, positions only, is a table in the shared folder; the
+    shuffles before it are freed.
     """
     if window < 2:
         raise ValueError("window must be at least 2 words")
@@ -166,13 +168,13 @@ def remove_repeats(
         _anchors(window), "run long, k1 long, k2 long, at int"
     )
     repeated = anchors.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
-    alive = _lists(anchors.join(repeated, "run", "left_semi"))
+    alive = written(_lists(anchors.join(repeated, "run", "left_semi")), "runs")
 
     windows = keyed.join(alive, ["k1", "k2"]).select("row", "k1", "k2", "text", "places").mapInArrow(
         _windows(window), "ha long, hb long, k1 long, k2 long, at int"
     )
     twice = windows.groupBy("ha", "hb").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ha", "hb")
-    starts = _lists(windows.join(twice, ["ha", "hb"], "left_semi"))
+    starts = written(_lists(windows.join(twice, ["ha", "hb"], "left_semi")), "windows")
 
     kind = keyed.schema["row"].dataType.simpleString()
     found = keyed.join(starts, ["k1", "k2"], "left").select("row", "k1", "k2", "text", "places").mapInArrow(
