@@ -14,6 +14,7 @@ from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.url_filter import host_of, judge_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,81 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by a dated list.
+
+    The table has neither fetch times nor a list, so both are derived from its rows: a page's
+    time from its id; for a part of the hosts an entry that blocks them, one that lifts the
+    block later, one that allows a folder meanwhile, and a block of every third site.
+    """
+    pages = table(spark, sf_dir, "pages")
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    minutes = F.pmod(F.col("page_id") * 7919, F.lit(525600))
+    fetched = (start + F.make_dt_interval(mins=minutes)).alias("fetched")
+    captures = pages.select("page_id", "url", fetched)
+    # One row per host, whatever the number of its pages.
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    code = F.md5("host")
+    day = F.ascii(F.substring(code, 2, 1)) * 2
+    since = lambda days: start + F.make_dt_interval(days=days)
+    listed = hosts.where(F.substring(code, 1, 1) < "8")
+    sites = hosts.select(F.regexp_extract("host", r"[^.]+\.[^.]+$", 0).alias("host")).where("host <> ''").distinct()
+    entries = (
+        listed.select(F.col("host").alias("rule"), F.lit("block").alias("action"), since(day).alias("since"))
+        .unionByName(
+            listed.where(F.substring(code, 3, 1) < "8").select(
+                F.col("host").alias("rule"), F.lit("allow").alias("action"), since(day + 60).alias("since")
+            )
+        )
+        .unionByName(
+            listed.select(
+                F.concat("host", F.lit("/en/")).alias("rule"), F.lit("allow").alias("action"), since(day + 30).alias("since")
+            )
+        )
+        .unionByName(
+            sites.where(F.substring(code, 1, 1) < "5").select(
+                F.col("host").alias("rule"), F.lit("block").alias("action"), since(F.lit(200)).alias("since")
+            )
+        )
+    )
+    return judge_captures(captures, entries)
+
+
+URL_SQL = r"""
+WITH captures AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes((page_id * 7919) % 525600) AS fetched,
+        rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+        regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages),
+hosts AS (SELECT DISTINCT host, md5(host) AS code FROM captures WHERE host <> ''),
+sites AS (SELECT DISTINCT regexp_extract(host, '[^.]+\.[^.]+$') AS host FROM hosts),
+listed AS (SELECT host, code, ascii(code[2]) * 2 AS day FROM hosts WHERE code[1] < '8'),
+entries AS (
+    SELECT host AS rule, 'block' AS action, TIMESTAMP '2024-01-01' + to_days(day) AS since FROM listed
+    UNION ALL SELECT host, 'allow', TIMESTAMP '2024-01-01' + to_days(day + 60) FROM listed WHERE code[3] < '8'
+    UNION ALL SELECT host || '/en/', 'allow', TIMESTAMP '2024-01-01' + to_days(day + 30) FROM listed
+    UNION ALL SELECT host, 'block', TIMESTAMP '2024-01-01' + to_days(200) FROM sites
+              WHERE host <> '' AND md5(host)[1] < '5'),
+one AS (SELECT rule, since, max(action) AS action FROM entries GROUP BY rule, since),
+intervals AS (SELECT rule, action, since AS valid_from,
+                     lead(since) OVER (PARTITION BY rule ORDER BY since) AS valid_to FROM one),
+labels AS (SELECT *, string_split(host, '.') AS names, string_split(path[2:], '/') AS steps FROM captures WHERE host <> ''),
+keys AS (SELECT DISTINCT page_id, url, fetched, key FROM (
+    SELECT page_id, url, fetched, unnest(list_concat(
+        list_transform(range(1, len(names) + 1), lambda i: array_to_string(names[i:], '.')),
+        CASE WHEN len(steps) > 1 THEN list_transform(range(1, len(steps)),
+            lambda i: host || '/' || array_to_string(steps[1:i], '/') || '/') ELSE [] END,
+        CASE WHEN length(path) > 1 THEN [host || path] ELSE [] END)) AS key FROM labels)),
+active AS (SELECT page_id, k.url, fetched, rule, action FROM keys k JOIN intervals i
+           ON i.rule = k.key AND valid_from <= fetched AND (valid_to IS NULL OR fetched < valid_to)),
+best AS (SELECT page_id, url, fetched, count(*) AS n_active,
+                arg_max(rule, (contains(rule, '/')::INT, length(rule))) AS rule,
+                arg_max(action, (contains(rule, '/')::INT, length(rule))) AS action
+         FROM active GROUP BY page_id, url, fetched)
+SELECT c.page_id, c.fetched, c.host, CAST(coalesce(n_active, 0) AS BIGINT) AS n_active, rule, action,
+       coalesce(action = 'block', false) AS blocked
+FROM captures c LEFT JOIN best b ON b.page_id = c.page_id AND b.url = c.url AND b.fetched = c.fetched"""
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learnt from rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -153,6 +229,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity,
         "op3_packing": packing,
+        "op4_url_filters": url_filters,
         "op5_quality": quality,
         "op6_substring_dedup": substring_dedup,
         "op7_simhash": simhash,
@@ -163,4 +240,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": SUBSTRING_SQL, "op9_decontamination": DECONTAMINATION_SQL}
+    return {"op4_url_filters": URL_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op9_decontamination": DECONTAMINATION_SQL}
