@@ -76,7 +76,7 @@ def benchmark_hits(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``_k1, _k2, at, length, item``: every occurrence of a window of an item in a text.
+    """``_k1, _k2, n_words, at, length, item``: every occurrence of a window of an item in a text.
 
     ``_k1`` and ``_k2`` are the hashes of the text's id and of the text.
     """
@@ -89,7 +89,7 @@ def benchmark_hits(
         F.xxhash64(id_col).alias("_k1"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_k2"),
         words_of(F.col(text_col)).alias("words"),
-    )
+    ).withColumn("n_words", F.size("words"))
 
     long = items.where(F.size("words") >= span)
     wanted = (
@@ -97,7 +97,7 @@ def benchmark_hits(
         .select("item", "mark", *_same(F.col("words"), F.col("at"), span))
         .distinct()
     )
-    marked = texts.select("_k1", "_k2", "words", _fingerprints(F.col("words"), span, gram).alias("marks"))
+    marked = texts.select("_k1", "_k2", "n_words", "words", _fingerprints(F.col("words"), span, gram).alias("marks"))
     if not small:
         # Only texts that share a fingerprint are looked at window by window.
         kept = marked.select("_k1", "_k2", F.explode(F.array_distinct("marks")).alias("mark"))
@@ -105,31 +105,53 @@ def benchmark_hits(
         marked = marked.join(shared.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_semi")
     # Outer, because before a plain generator Spark filters by the array's size and so computes
     # the array twice; the join drops the empty row.
-    windows = marked.select("_k1", "_k2", "words", F.posexplode_outer("marks").alias("at", "mark"))
+    windows = marked.select("_k1", "_k2", "n_words", "words", F.posexplode_outer("marks").alias("at", "mark"))
     if small:
         found = windows.join(
             beside(wanted.withColumnsRenamed({"_ha": "_wa", "_hb": "_wb"})), "mark"
-        ).select("_k1", "_k2", "at", "item", "_wa", "_wb", *_same(F.col("words"), F.col("at"), span))
+        ).select("_k1", "_k2", "n_words", "at", "item", "_wa", "_wb", *_same(F.col("words"), F.col("at"), span))
         found = found.where("_ha = _wa and _hb = _wb")
     else:
-        own = windows.select("_k1", "_k2", "at", "mark", *_same(F.col("words"), F.col("at"), span))
+        own = windows.select("_k1", "_k2", "n_words", "at", "mark", *_same(F.col("words"), F.col("at"), span))
         found = own.join(wanted, ["mark", "_ha", "_hb"])
-    hits = found.select("_k1", "_k2", "at", F.lit(span).alias("length"), "item")
+    hits = found.select("_k1", "_k2", "n_words", "at", F.lit(span).alias("length"), "item")
 
     # Items shorter than a window are windows of their own length: one pass for each length.
     short = items.where(F.size("words").between(1, span - 1)).select("item", "words", F.size("words").alias("n"))
     for row in short.select("n").distinct().orderBy("n").collect():
         whole = short.where(F.col("n") == row.n).select("item", *_same(F.col("words"), F.lit(0), row.n)).distinct()
         runs = (
-            texts.select("_k1", "_k2", "words", F.posexplode("words").alias("at", "word"))
-            .where(F.col("at") + row.n <= F.size("words"))
-            .select("_k1", "_k2", "at", *_same(F.col("words"), F.col("at"), row.n))
+            texts.select("_k1", "_k2", "n_words", "words", F.posexplode("words").alias("at", "word"))
+            .where(F.col("at") + row.n <= F.col("n_words"))
+            .select("_k1", "_k2", "n_words", "at", *_same(F.col("words"), F.col("at"), row.n))
         )
         found = runs.join(beside(whole), ["_ha", "_hb"])
-        hits = hits.unionByName(found.select("_k1", "_k2", "at", F.lit(row.n).alias("length"), "item"))
+        hits = hits.unionByName(found.select("_k1", "_k2", "n_words", "at", F.lit(row.n).alias("length"), "item"))
     return hits
 
 
+def _counted(hits: DataFrame) -> DataFrame:
+    """``_k1, _k2, n_hit, items, contaminated`` of each text with hits."""
+    by_text = hits.groupBy("_k1", "_k2").agg(
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.collect_set(F.struct("at", "length"))).alias("runs"),
+        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"),
+    )
+    # Sorted by start: each run adds what reaches beyond the runs before it.
+    end = F.col("runs").getItem(0)["at"]
+    covered = F.aggregate(
+        "runs",
+        F.struct(F.lit(0).alias("n"), end.alias("end")),
+        lambda a, r: F.struct(
+            (a["n"] + F.greatest(F.lit(0), r["at"] + r["length"] - F.greatest(a["end"], r["at"]))).alias("n"),
+            F.greatest(a["end"], r["at"] + r["length"]).alias("end"),
+        ),
+        lambda a: a["n"],
+    )
+    counted = by_text.select("_k1", "_k2", "n_words", covered.cast("long").alias("n_hit"), "items")
+    return counted.select("_k1", "_k2", "n_hit", "items", (F.col("n_hit") * 20 >= F.col("n_words")).alias("contaminated"))
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -153,22 +175,7 @@ def contamination(
     by shuffles of fingerprints instead.
     """
     hits = benchmark_hits(docs, benchmark, span, gram, id_col, text_col, item_col, item_text_col)
-    by_text = hits.groupBy("_k1", "_k2").agg(
-        F.array_sort(F.collect_set(F.struct("at", "length"))).alias("runs"),
-        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"),
-    )
-    # Sorted by start: each run adds what reaches beyond the runs before it.
-    end = F.col("runs").getItem(0)["at"]
-    covered = F.aggregate(
-        "runs",
-        F.struct(F.lit(0).alias("n"), end.alias("end")),
-        lambda a, r: F.struct(
-            (a["n"] + F.greatest(F.lit(0), r["at"] + r["length"] - F.greatest(a["end"], r["at"]))).alias("n"),
-            F.greatest(a["end"], r["at"] + r["length"]).alias("end"),
-        ),
-        lambda a: a["n"],
-    )
-    counted = by_text.select("_k1", "_k2", covered.cast("long").alias("n_hit"), "items")
+    counted = _counted(hits)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("_id"),
@@ -176,23 +183,22 @@ def contamination(
         F.xxhash64(text).alias("_k2"),
         F.regexp_count(text, F.lit(_WORD)).cast("long").alias("n_words"),
     )
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.join(counted, ["_k1", "_k2"], "left").select(
         F.col("_id").alias(id_col),
         "n_words",
-        n_hit.alias("n_hit"),
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+        F.coalesce("contaminated", F.lit(False)).alias("contaminated"),
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated; columns stay."""
-    found = contamination(docs.withColumn("_key", F.struct(id_col, text_col)), benchmark, id_col="_key", text_col=text_col)
-    dirty = found.where("contaminated").select(
-        F.col("_key")[id_col].alias("_id"), F.xxhash64(F.coalesce(F.col("_key")[text_col], F.lit(""))).alias("_h")
-    ).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_h")
+    hits = benchmark_hits(docs, benchmark, id_col=id_col, text_col=text_col)
+    dirty = _counted(hits).where("contaminated").select("_k1", "_k2")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.xxhash64(id_col).alias("_k1"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_k2"),
     )
-    return docs.join(dirty, same, "left_anti")
+    return keyed.join(dirty, ["_k1", "_k2"], "left_anti").select("_row.*")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity as toxic
 from tidemark.llm.decontamination import contamination
+from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_examples
 from tidemark.llm.quality import fit_quality, held_out, score_quality
 from tidemark.llm.sharding import shard_documents
@@ -70,6 +71,25 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every vector at a cosine of 0.95 or more."""
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (SELECT vec_id, e FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+          ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
+       v.vec_id = component_id AS kept
+FROM v LEFT JOIN n USING (vec_id) LEFT JOIN root USING (vec_id)"""
+
+
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by a dated list.
 
@@ -228,6 +248,7 @@ FROM d LEFT JOIN kept USING (r)"""
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity,
+        "op2_embedding_neardup": embedding_neardup,
         "op3_packing": packing,
         "op4_url_filters": url_filters,
         "op5_quality": quality,
@@ -240,4 +261,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": URL_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op9_decontamination": DECONTAMINATION_SQL}
+    return {
+        "op2_embedding_neardup": EMBEDDING_SQL,
+        "op4_url_filters": URL_SQL,
+        "op6_substring_dedup": SUBSTRING_SQL,
+        "op9_decontamination": DECONTAMINATION_SQL,
+    }
