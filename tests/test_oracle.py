@@ -6,6 +6,7 @@ import pytest
 from oracle import connect, spark_rows, sql_rows
 
 import __spark_entry__ as driver
+from tidemark.workload import all_queries, all_sql
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,17 +18,19 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    df = driver.queries()[name](spark, SF_DIR)
+    df = all_queries()[name](spark, SF_DIR)
     got = spark_rows(df)
-    expected, names = sql_rows(con, driver.oracle_sql()[name])
+    expected, names = sql_rows(con, all_sql()[name])
     assert sorted(df.columns) == names
     assert got == expected
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
