@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 
@@ -129,12 +130,12 @@ def test_delete_history_by_key_and_time(spark, joins):
     )
     gone = spark.createDataFrame([("hot",), ("unknown",)], "stream_id string")
     start, stop = dt.datetime(1970, 1, 1, 0, 0, 10), dt.datetime(1970, 1, 1, 0, 1)
-    left = ops.delete_history(log, gone, ["stream_id"], start, stop, rows_per_task=9)
+    left = ops.delete_history(log, gone, ["stream_id"], start, stop)
     assert sorted(r.seq for r in left.collect()) == [
         i for i in range(100) if i % 10 >= 7 or not 10 <= i <= 60
     ]
     assert left.columns == log.columns
-    all_gone = ops.delete_history(log, gone, ["stream_id"], rows_per_task=9)
+    all_gone = ops.delete_history(log, gone, ["stream_id"])
     assert sorted(r.seq for r in all_gone.collect()) == [i for i in range(100) if i % 10 >= 7]
 
 
@@ -146,7 +147,7 @@ def test_replace_all_removes_every_copy(spark, joins, rows_of):
     changes = spark.createDataFrame(
         [("hot", 2, 1), ("hot", 3, 2), ("s4", 9, 1)], "stream_id string, offset_num long, seq long"
     )
-    got = ops.replace_all(copies, changes, ["stream_id"], rows_per_task=10)
+    got = ops.replace_all(copies, changes, ["stream_id"])
     kept = copies.where("stream_id NOT IN ('hot', 's4')")
     expected = sorted(rows_of(kept) + [("hot", 3), ("s4", 9)])
     assert rows_of(got) == expected
@@ -163,3 +164,42 @@ def test_tombstones_remove_keys_and_leave_other_groups(spark, rows_of):
         ("etl", "s2", 99), ("other", "s9", 1),
     ]
     assert rows_of(ops.by_group(table, "pipeline_id", "etl"), "stream_id") == [("s2",)]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_one_result_at_every_size(spark, rows_of, threshold):
+    """Repeated and null keys, with sides that Spark broadcasts and sides that it does not."""
+    table = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "y"), (None, 3, "z"), ("b", 4, "w")], "k string, v long, m string"
+    )
+    changes = spark.createDataFrame(
+        [("a", 10, "c", 1), ("a", 11, None, 2), ("new", 13, "d", 1)],
+        "k string, v long, m string, seq long",
+    )
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        put = [(None, 3, "z"), ("a", 11, None), ("b", 4, "w"), ("new", 13, "d")]
+        assert rows_of(ops.upsert(table, changes, ["k"])) == put
+        assert rows_of(ops.replace_all(table, changes, ["k"])) == put
+        assert rows_of(ops.merge_columns(table, changes, ["v"], ["k"])) == [
+            (None, 3, "z"), ("a", 11, "x"), ("a", 11, "y"), ("b", 4, "w"), ("new", 13, None),
+        ]
+        again = ops.merge_columns(ops.merge_columns(table, changes, ["v"], ["k"]), changes, ["v"], ["k"])
+        assert again.count() == 5
+        assert rows_of(ops.delete_keys(table, changes, ["k"])) == [(None, 3, "z"), ("b", 4, "w")]
+        assert rows_of(ops.delete_history(table, changes, ["k"])) == [(None, 3, "z"), ("b", 4, "w")]
+        with pytest.raises(Exception, match="without a key"):
+            ops.upsert(table, table.withColumn("seq", F.lit(1)), ["k"]).collect()
+        asked = changes.select("k").distinct()
+        assert rows_of(ops.delete_report(table, asked, ["k"])) == [
+            ("a", True), ("new", False),
+        ]
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_clear_keeps_rows_without_a_group(spark, rows_of):
+    table = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "g string, v long")
+    assert rows_of(ops.clear(table, "a", "g")) == [(None, 2), ("b", 3)]

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import operators as ops
-from tidemark.plans import fits_broadcast, hot_keys, join_spreading_hot_keys, narrow_to_keys
+from tidemark.plans import fits_broadcast, join_on_keys, narrow_to_keys
 
 
 @pytest.fixture
@@ -53,10 +54,8 @@ def test_resume_is_strictly_after_the_offset(source, table, rows_of):
     assert rows_of(ops.resume(source, table, "at", ["stream_id"])) == expected(source)
 
 
-def test_resume_with_a_hot_stream_split(source, table, rows_of, no_broadcast):
-    resumed = ops.resume(source, table, "at", ["stream_id"], rows_per_task=3)
-    assert "_salt" in resumed._jdf.queryExecution().optimizedPlan().toString()
-    assert rows_of(resumed) == expected(source)
+def test_resume_with_a_large_table(source, table, rows_of, no_broadcast):
+    assert rows_of(ops.resume(source, table, "at", ["stream_id"])) == expected(source)
 
 
 def test_resume_refuses_offsets_without_order(spark, source, table):
@@ -72,44 +71,38 @@ def test_resume_refuses_offsets_without_order(spark, source, table):
         ops.resume(source, table, "stream_id", ["stream_id"])
 
 
-def test_hot_keys_and_their_splits(spark, rows_of):
-    rows = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
-    assert rows_of(hot_keys(rows, ["k"], 100)) == [(-1, 4)]
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(spark, rows_of, no_broadcast, how):
-    left = spark.range(900).selectExpr("IF(id % 3 = 0, 0, id % 40) AS k", "id AS v")
-    right = spark.range(0, 60, 2).selectExpr("id AS k", "id * 10 AS w")
-    spread = join_spreading_hot_keys(left, right, ["k"], how, rows_per_task=25)
-    assert rows_of(spread) == rows_of(left.join(right, ["k"], how))
-
-
-@pytest.mark.parametrize("how", ["left", "left_anti", "left_semi"])
-def test_rows_without_a_key_match_nothing(spark, rows_of, no_broadcast, how):
+def test_keys_with_a_null_match_nothing(spark, rows_of, no_broadcast, how):
     left = spark.range(90).selectExpr("IF(id % 3 = 0, NULL, id % 4) AS k", "id AS v")
-    right = spark.createDataFrame([(1,), (None,)], "k long")
-    spread = join_spreading_hot_keys(left, right, ["k"], how, rows_per_task=5)
-    assert rows_of(spread) == rows_of(left.join(right, ["k"], how))
-
-
-def test_hot_rows_land_in_many_tasks(spark, no_broadcast):
-    from pyspark.sql import functions as F
-
-    left = spark.range(0, 9000, 1, 30).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v")
-    right = spark.range(50).withColumnRenamed("id", "k")
-    joined = join_spreading_hot_keys(left, right, ["k"], "inner", rows_per_task=100)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    right = spark.createDataFrame([(1, 10), (None, 20)], "k long, w long")
+    assert rows_of(join_on_keys(left, right, ["k"], how)) == rows_of(left.join(right, ["k"], how))
+
+
+def test_hot_keys_are_split_whatever_their_number(spark, no_broadcast):
+    # 15,000 keys of 30 rows, all in the same few partitions.
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        tasks = joined.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+        hot = [k for k in range(400_000) if k % 20 == 0][:15_000]
+        keys = spark.createDataFrame([(k,) for k in hot], "k long")
+        placed = keys.where(F.pmod(F.hash("k"), F.lit(40)) < 3)
+        log = placed.join(spark.range(30), how="cross").selectExpr("k", "md5(CAST(id AS STRING)) AS v")
+        table = keys.selectExpr("k", "k AS w")
+        left = ops.delete_history(log, table.where("w < 0"), ["k"])
+        joined = log.join(table, "k", "left")
+        assert joined.count() == log.count() == left.count()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(tasks) == 4 and sum(r["count"] for r in tasks) == 3000
-
-
-def test_right_keeping_joins_are_refused(spark):
-    with pytest.raises(ValueError):
-        join_spreading_hot_keys(spark.range(3), spark.range(3), ["id"], "full")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_size_checks(spark, path, no_broadcast):

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
+from tidemark.workload import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no supplied t
 GATHERS_FEW_ROWS = {"agg3_count_checkpoints", "mut6_clear_all", "srt1_ordered_by_time", "srt1_ordered_orders"}
 
 
-BATCH = sorted(n for n in driver.queries() if not n.startswith(("str", "ext", "src", "table")))
+BATCH = sorted(n for n in all_queries() if not n.startswith(("str", "ext", "src", "table")))
 CASES = [(n, "10MB") for n in BATCH] + [(n, "-1") for n in BATCH if n.startswith(("jn", "mut"))]
 
 
@@ -24,7 +24,7 @@ def test_no_pairwise_joins_and_no_single_partition(spark, name, threshold):
     before = spark.conf.get(conf)
     spark.conf.set(conf, threshold)
     try:
-        plan = driver.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        plan = all_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set(conf, before)
     assert "CartesianProduct" not in plan
@@ -37,23 +37,18 @@ def test_no_pairwise_joins_and_no_single_partition(spark, name, threshold):
 
 
 def test_scans_read_the_columns_they_need(spark):
-    plan = driver.queries()["agg1_latest_by_arrival_lineitem"](spark, SF_DIR)
+    plan = all_queries()["agg1_latest_by_arrival_lineitem"](spark, SF_DIR)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int>" in text
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
 
 
 def test_narrow_compaction_does_not_sort(spark):
-    plan = driver.queries()["mut9_compact_log_narrow"](spark, SF_DIR)
+    plan = all_queries()["mut9_compact_log_narrow"](spark, SF_DIR)
     assert "Sort" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_one_shuffle_per_lookup(spark):
     # The stopped offsets are aggregated (one shuffle); the source itself stays put.
-    plan = driver.queries()["jn4_resume"](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+    plan = all_queries()["jn4_resume"](spark, SF_DIR)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Exchange hashpartitioning") == 1
-
-
-def test_hot_streams_are_split_when_the_table_is_large(spark, no_broadcast):
-    plan = driver.queries()["jn4_resume"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and "TakeOrderedAndProject" in plan

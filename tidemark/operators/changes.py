@@ -2,18 +2,22 @@
 
 Nothing is changed in place: each operator gives the new contents, to be written
 as a new version.  A key may be named several times in ``changes``; the last
-one by ``seq`` counts.
+one by ``seq`` counts.  A change without its key stops the query; a row of the table
+without one is nobody's and stays.
+
+There is one plan for every size.  Spark alone decides whether a side is broadcast.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import moment
 from tidemark.operators.state import latest_by_arrival
-from tidemark.plans import fits_broadcast, join_spreading_hot_keys, latest_rows, narrow_to_keys
-from tidemark.plans.hot_keys import ROWS_PER_TASK
+from tidemark.plans import join_on_keys, latest_rows
 from tidemark.schema import DELETE, KEY_COLS, SAVE
 
 
@@ -25,18 +29,12 @@ def upsert(
 ) -> DataFrame:
     """Put whole rows: a changed key's old row is gone, columns not given are null.
 
-    ``table`` has one row per key (else see :func:`replace_all`).  Small changes are
-    broadcast and the table is not shuffled; large ones are joined in one pass.
+    All old rows of a changed key go, also if the table repeats it.
     """
     key_cols = list(key_cols)
     final = _last_change(changes, key_cols, seq, table.columns)
-    if fits_broadcast(final):
-        kept = table.join(final.select(*key_cols), key_cols, "left_anti")
-        return kept.unionByName(final, allowMissingColumns=True).select(*table.columns)
-    cols = [c for c in table.columns if c not in key_cols]
-    return table.join(_marked(final, key_cols, cols), key_cols, "full").select(
-        *[c if c in key_cols else _changed_or_old(c) for c in table.columns]
-    )
+    kept = join_on_keys(table, _keys_of(changes, key_cols), key_cols, "left_anti")
+    return kept.unionByName(final, allowMissingColumns=True).select(*table.columns)
 
 
 def merge_columns(
@@ -49,22 +47,17 @@ def merge_columns(
     """Put the columns ``cols`` of changed keys; their other columns keep the old value.
 
     A null in the changes replaces the old value.  New keys get a row with nulls in
-    the other columns.
+    the other columns.  Every row of a key that the table repeats is changed.
     """
     key_cols, cols = list(key_cols), list(cols)
     unknown = [c for c in cols if c not in changes.columns or c not in table.columns]
     if unknown:
         raise ValueError(f"columns {unknown} are not in both the table and the changes")
     final = _last_change(changes, key_cols, seq, [*key_cols, *cols])
-    new = _marked(final, key_cols, cols)
     merged = [_changed_or_old(c) if c in cols else F.col(c) for c in table.columns]
-    if not fits_broadcast(final):
-        return table.join(new, key_cols, "full").select(*merged)
-    # A full join cannot be broadcast.  With few changes the table stays where it
-    # is: old rows by a left join, new keys by what their lookup does not find.
-    updated = table.join(new, key_cols, "left").select(*merged)
-    known = narrow_to_keys(table.select(*key_cols), final, key_cols)
-    added = final.join(known, key_cols, "left_anti")
+    updated = join_on_keys(table, _marked(final, key_cols, cols), key_cols, "left").select(*merged)
+    # New keys are what the table's key columns, read alone, do not hold.
+    added = join_on_keys(final, table.select(*key_cols), key_cols, "left_anti")
     return updated.unionByName(added, allowMissingColumns=True).select(*table.columns)
 
 
@@ -72,7 +65,7 @@ def delete_keys(
     table: DataFrame, keys: DataFrame, key_cols: Sequence[str] = KEY_COLS
 ) -> DataFrame:
     """The table without the given keys; keys it does not have change nothing."""
-    return table.join(keys.select(*key_cols), list(key_cols), "left_anti")
+    return join_on_keys(table, keys.select(*key_cols), key_cols, "left_anti")
 
 
 def delete_report(
@@ -80,9 +73,10 @@ def delete_report(
 ) -> DataFrame:
     """For every requested key, whether there was a row to delete."""
     key_cols = list(key_cols)
-    found = narrow_to_keys(table.select(*key_cols), keys, key_cols).distinct()
-    marked = found.withColumn("_found", F.lit(True))
-    return keys.select(*key_cols).join(marked, key_cols, "left").select(
+    # Only what is asked for leaves the table.
+    held = join_on_keys(table.select(*key_cols), keys.select(*key_cols).distinct(), key_cols, "left_semi")
+    marked = held.distinct().withColumn("_found", F.lit(True))
+    return join_on_keys(keys.select(*key_cols), marked, key_cols, "left").select(
         *key_cols, F.col("_found").isNotNull().alias("deleted")
     )
 
@@ -94,12 +88,10 @@ def delete_history(
     start=None,
     stop=None,
     ts: str = "updated_at",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The log without all events of the given keys, from ``start`` up to ``stop``.
 
-    Both ends are included; an end left out is open.  A key with a large part of
-    the log is spread over several tasks.
+    Both ends are included; an end left out is open.
     """
     condition = None
     if start is not None:
@@ -107,16 +99,17 @@ def delete_history(
     if stop is not None:
         until = F.col(ts) <= moment(stop)
         condition = until if condition is None else condition & until
-    return join_spreading_hot_keys(
-        log, keys.select(*key_cols), key_cols, "left_anti", condition, rows_per_task
-    )
+    return join_on_keys(log, keys.select(*key_cols), key_cols, "left_anti", condition)
 
 
-def clear(table: DataFrame, pipeline_id: str | None = None) -> DataFrame:
-    """An empty table, or the table without one pipeline."""
-    if pipeline_id is None:
+def clear(table: DataFrame, value=None, column: str = "pipeline_id") -> DataFrame:
+    """An empty table, or the table without the rows whose ``column`` is ``value``.
+
+    Rows that hold null there are not of that group and stay.
+    """
+    if value is None:
         return table.where(F.lit(False))
-    return table.where(F.col("pipeline_id") != pipeline_id)
+    return table.where(~F.col(column).eqNullSafe(F.lit(value)))
 
 
 def update_offset(
@@ -140,7 +133,7 @@ def update_offset(
         columns[table.columns.index("updated_at")] = (
             F.when(F.col("_changed"), now).otherwise(F.col("updated_at")).alias("updated_at")
         )
-    return table.join(new, key_cols, "left").select(*columns)
+    return join_on_keys(table, new, key_cols, "left").select(*columns)
 
 
 def replace_all(
@@ -148,17 +141,9 @@ def replace_all(
     changes: DataFrame,
     key_cols: Sequence[str] = KEY_COLS,
     seq: str = "seq",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Remove every copy of a changed key from a table that may repeat keys, then put one.
-
-    Copies that make up a large part of the table are spread over several tasks.
-    """
-    final = _last_change(changes, key_cols, seq, table.columns)
-    kept = join_spreading_hot_keys(
-        table, final.select(*key_cols), key_cols, "left_anti", rows_per_task=rows_per_task
-    )
-    return kept.unionByName(final, allowMissingColumns=True).select(*table.columns)
+    """Remove every copy of a changed key from a table that may repeat keys, then put one."""
+    return upsert(table, changes, key_cols, seq)
 
 
 def compact_log(
@@ -181,6 +166,7 @@ def _last_change(
 
     Changes without an arrival number hold each key once already.
     """
+    changes = _with_keys(changes, key_cols)
     wanted = [c for c in columns if c in changes.columns]
     if seq not in changes.columns:
         return changes.select(*wanted)
@@ -188,6 +174,18 @@ def _last_change(
     return latest_rows(rows, key_cols, [seq]).select(*wanted)
 
 
+def _keys_of(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """The keys alone: an aggregate by hash, whatever the other columns are."""
+    return _with_keys(rows, key_cols).select(*key_cols).distinct()
+
+
+def _with_keys(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """The rows as they are, checked to have their keys; a filter, so bucketing stays."""
+    lacking = reduce(or_, [F.col(c).isNull() for c in key_cols])
+    message = F.lit("a change without a key: one of " + ", ".join(key_cols) + " is null")
+    return rows.where(F.when(lacking, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def _marked(changes: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """The changes with ``cols`` under other names (null where they lack one) and a mark."""
     values = [

@@ -1,6 +1,7 @@
 """Lookups of many keys and resuming a source.
 
-Key lists should hold each key once; a key asked for twice is answered twice.
+Key lists should hold each key once; a key asked for twice is answered twice.  A key
+with a null matches nothing.
 """
 
 from collections.abc import Sequence
@@ -9,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans import join_spreading_hot_keys, narrow_to_keys
-from tidemark.plans.hot_keys import ROWS_PER_TASK
+from tidemark.plans import narrow_to_keys
 from tidemark.schema import KEY_COLS
 
 
@@ -44,7 +44,6 @@ def resume(
     table: DataFrame,
     offset_col: str,
     key_cols: Sequence[str] = KEY_COLS,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The source records that come after their stream's offset.
 
@@ -52,21 +51,15 @@ def resume(
     without a row, or with a row that holds no offset, start at the beginning.
     Offsets must be numbers; text has no order and is refused.
 
-    ``table`` has one row per key.  A stream that holds a large part of the source
-    is spread over several tasks.
+    ``table`` has one row per key.  Adaptive execution splits a stream that holds a large
+    part of the source over several tasks.
     """
     if not isinstance(source.schema[offset_col].dataType, T.IntegralType):
         raise TypeError(f"offset column {offset_col!r} is not a whole number and has no order")
     position = [F.col("offset_num").alias("_read_up_to")]
     if "offset_json" in table.columns:
         position.append(F.nullif("offset_json", F.lit("null")).alias("_offset_text"))
-    joined = join_spreading_hot_keys(
-        source,
-        table.select(*key_cols, *position),
-        key_cols,
-        "left",
-        rows_per_task=rows_per_task,
-    )
+    joined = source.join(table.select(*key_cols, *position), list(key_cols), "left")
     from_start = F.lit(True)
     if "offset_json" in table.columns:
         refusal = F.concat(F.lit("no order to resume after offset "), F.col("_offset_text"))

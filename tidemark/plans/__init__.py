@@ -1,24 +1,16 @@
-"""Plan-level helpers: size checks, hot keys, ordered positions, scratch storage."""
+"""Plan-level helpers: size checks, joins on keys, ordered positions, scratch storage."""
 
-from tidemark.plans.hot_keys import hot_keys, join_spreading_hot_keys
+from tidemark.plans.joins import join_on_keys
 from tidemark.plans.latest import latest_rows, newest_rows
 from tidemark.plans.positions import with_position
 from tidemark.plans.scratch import scratch_path, shared_dir
-from tidemark.plans.session import (
-    BYTES_PER_REDUCER,
-    configure,
-    local_session,
-    path_exists,
-    stored_bytes,
-)
+from tidemark.plans.session import configure, local_session, path_exists
 from tidemark.plans.sizes import fits_broadcast, narrow_to_keys
 
 __all__ = [
-    "BYTES_PER_REDUCER",
     "configure",
     "fits_broadcast",
-    "hot_keys",
-    "join_spreading_hot_keys",
+    "join_on_keys",
     "latest_rows",
     "local_session",
     "narrow_to_keys",
@@ -26,6 +18,5 @@ __all__ = [
     "path_exists",
     "scratch_path",
     "shared_dir",
-    "stored_bytes",
     "with_position",
 ]

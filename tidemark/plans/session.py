@@ -13,25 +13,15 @@ RUNTIME_SETTINGS = {
 }
 
 
-#: What one reducer should get, and the most reducers a shuffle is given.
-BYTES_PER_REDUCER = 256 * 1024 * 1024
-MOST_REDUCERS = 20_000
-
-
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else has built.
 
-    With ``input_bytes``, the size of what is to be read, shuffles get enough
-    partitions for it.  The number is only ever raised: adaptive execution merges
-    small partitions but cannot split all of them.
+    The number of shuffle partitions is the caller's: adaptive execution merges small
+    ones, so it may be set for the largest input.
     """
     for name, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
-    if input_bytes is not None:
-        wanted = min(-(-input_bytes // BYTES_PER_REDUCER), MOST_REDUCERS)
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
@@ -41,12 +31,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under ``path``; 0 if there is nothing."""
-    fs, location = _storage(spark, path)
-    return int(fs.getContentSummary(location).getLength()) if fs.exists(location) else 0
-
-
 def _storage(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans import configure, stored_bytes
+from tidemark.plans import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark, stored_bytes(spark, sf_dir))
+            configure(spark)
             return _wall_clock(build(spark, sf_dir))
 
         if name in _queries:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 from tidemark import sources, streaming
-from tidemark.plans import BYTES_PER_REDUCER, scratch_path, stored_bytes
+from tidemark.plans import scratch_path
 from tidemark.table import ProgressTable
 from tidemark.workload.logs import EV_LOG, EV_STATE, as_event_log
 from tidemark.workload.lookups import RESUMED, source, stopped
@@ -27,27 +27,17 @@ def run_to_end(writer) -> None:
 
 
 @contextmanager
-def state_settings(spark, sf_dir):
-    """RocksDB state, in partitions sized by the input.
-
-    Adaptive execution does not merge the partitions of a state, and their number is
-    fixed when the query first runs.
-    """
-    wanted = max(8, stored_bytes(spark, sf_dir) // BYTES_PER_REDUCER)
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.shuffle.partitions":
-            str(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))),
-    }
-    before = {name: spark.conf.get(name) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
+def state_settings(spark):
+    """RocksDB state, which need not fit into the memory of the executors."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(
+        name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        spark.conf.set(name, before)
 
 
 @query("str1_stream_upsert", f"""WITH {EV_STATE}
@@ -104,7 +94,7 @@ def _(spark, sf_dir):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    with state_settings(spark, sf_dir):
+    with state_settings(spark):
         run_to_end(
             streaming.stream_to(live, write, scratch_path(spark, "state")).outputMode("update")
         )
@@ -124,7 +114,7 @@ def _(spark, sf_dir):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    with state_settings(spark, sf_dir):
+    with state_settings(spark):
         log = as_event_log(event_stream(spark, sf_dir))
         state = streaming.ttl_state(log, 172800)
         run_to_end(
