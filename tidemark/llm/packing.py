@@ -54,7 +54,7 @@ class Packer:
             start += self._tokens
         if start < n:
             self._put(example, start, n - start)
-        while len(self._free) <= 2:
+        while len(self._piece) - len(self._free) > POOL:
             self._fill()
 
     def finish(self) -> None:
@@ -67,6 +67,12 @@ class Packer:
         return max(0, start + length - max(start, example[3]))
 
     def _put(self, example, start: int, length: int) -> None:
+        if not self._free:
+            # Pieces that a cut back sequence returns may be more than were taken.
+            more = len(self._piece)
+            self._demand = np.concatenate([self._demand, np.zeros((more, 3))])
+            self._free = list(range(more, 2 * more))
+            self._piece += [None] * more
         at = self._free.pop()
         self._piece[at] = (example, start, length)
         demand = np.array([length, 1, self._of(example, start, length)]) / self._max
