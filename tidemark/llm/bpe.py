@@ -10,6 +10,7 @@ import os
 import re
 import unicodedata
 from array import array
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -108,7 +109,7 @@ class PrefixCounts:
             self._find.add_word(text, (len(text), opened.get(text, -1), closed.get(text, -1)))
         self._find.make_automaton()
         self._fits = Recent(self._compare)
-        self._piece = Recent(self._of_piece)
+        self._piece = Recent(self._steps)
         self._chunk = Recent(self._of_chunk)
 
     def _spine(self, token: str, side: int) -> list[tuple[str, float]]:
@@ -167,18 +168,19 @@ class PrefixCounts:
             raise ValueError(f"the vocabulary has no tokens for {piece!r}")
         return found
 
+    def _steps(self, piece: str) -> bytes:
+        """By how much each character of a piece changes the count."""
+        counts = self._of_piece(piece)
+        if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():
+            # Cut short, a contraction is an apostrophe and letters.
+            mark = self._of_piece("'")[0]
+            counts = [mark, *(mark + n for n in self._of_piece(piece[1:])[:-1]), counts[-1]]
+        return array("i", map(int.__sub__, counts, [0, *counts])).tobytes()
+
     def _ordinary(self, chunk: str) -> list[int]:
         """Counts after every character of a normalised, lower-case chunk."""
-        out, before = [], 0
-        for piece in _PIECE.findall(chunk):
-            inner = self._piece[piece]
-            if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():
-                # Cut short, a contraction is an apostrophe and letters.
-                mark = self._piece["'"][0]
-                inner = [mark, *(mark + n for n in self._piece[piece[1:]][:-1]), inner[-1]]
-            out.extend(before + n for n in inner)
-            before = out[-1]
-        return out
+        steps = array("i", b"".join(map(self._piece.__getitem__, _PIECE.findall(chunk))))
+        return list(accumulate(steps))
 
     def _normalised(self, part: str) -> list[int]:
         """Counts after every character of a part without special strings."""
@@ -221,10 +223,14 @@ class PrefixCounts:
         return out
 
     def _of_chunk(self, chunk: str) -> bytes:
+        """The steps of a chunk and of the white space behind it, which has none."""
         text = chunk.rstrip(_SPACES)
-        counts = self.counts(text)
-        steps = map(int.__sub__, counts, [0, *counts])
-        return array("i", [*steps, *[0] * (len(chunk) - len(text))]).tobytes()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            steps = b"".join(map(self._piece.__getitem__, _PLAIN_PIECE.findall(text.lower())))
+        else:
+            counts = self.counts(text)
+            steps = array("i", map(int.__sub__, counts, [0, *counts])).tobytes()
+        return steps + bytes(4 * (len(chunk) - len(text)))
 
     def encode(self, text: str) -> np.ndarray:
         """Entry ``k`` is the number of tokens of ``text[: k + 1]``."""
