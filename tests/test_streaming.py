@@ -129,57 +129,33 @@ def test_append_and_custom_writer(spark, stream, batch, path, state, rows_of):
     assert seen == [(0, 200), (1, 200), (2, 200)]
 
 
-def test_state_expires_after_the_last_save(spark, tmp_path, path, state):
-    # Minutes at which each stream saves, as they come in; a save lives 30 minutes.
-    # 'z' moves time on; 'late' and 'overdue' come after later saves of others.
-    saves = [
-        ("once", 0, 0), ("refreshed", 0, 0), ("refreshed", 20, 0), ("again", 0, 0), ("z", 0, 0),
-        ("refreshed", 40, 1), ("z", 50, 1),
-        ("again", 60, 2), ("z", 100, 2), ("late", 45, 2), ("overdue", 10, 2), ("refreshed", 35, 2),
-        ("late", 80, 3), ("z", 105, 3),
+def test_state_that_expires(spark, path, state):
+    """Late saves, deletes, ties in time, events without a time; one batch comes twice."""
+    start = 1_700_000_000
+    batches = [
+        [("kept", 1, 0, "save", 1), ("tied", 1, 60, "save", 2), ("gone", 1, 60, "save", 3)],
+        [("tied", 2, 60, "save", 5), ("gone", 2, 90, "delete", 6), ("kept", 9, 30, "save", 4), ("none", 1, None, "save", 7)],
+        [("tied", 7, 300, "save", 4), ("over", 1, -5000, "save", 8), ("gone", 3, 80, "save", 2)],
     ]
-    start = 1704067200
-    source = str(tmp_path / "source")
-    for n in range(4):
+    source, aside = f"{path}/source", []
+    for n, rows in enumerate(batches):
         spark.createDataFrame(
-            [("p", s, m, m) for s, m, part in saves if part == n],
-            "pipeline_id string, stream_id string, offset_num long, m long",
-        ).selectExpr(
-            "pipeline_id", "stream_id", "offset_num",
-            f"timestamp_seconds({start} + m * 60) AS updated_at",
-        ).coalesce(1).write.parquet(f"{source}/{n}")
-
-    def read(n):
-        return (
-            spark.readStream.schema(
-                "pipeline_id string, stream_id string, offset_num long, updated_at timestamp"
-            ).parquet(f"{source}/[0-{n}]")
+            [("p", k, o, None if t is None else start + t, op, seq) for k, o, t, op, seq in rows],
+            "pipeline_id string, stream_id string, offset_num long, t long, op string, seq long",
+        ).withColumn("updated_at", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(f"{source}/{n}")
+    schema = "pipeline_id string, stream_id string, offset_num long, op string, seq long, updated_at timestamp"
+    table = ProgressTable(spark, f"{path}/table")
+    for n in (0, 1, 2, 2):
+        stream = spark.readStream.schema(schema).parquet(f"{source}/[0-{n}]")
+        run_to_end(
+            streaming.ttl_state(
+                stream, table, 1800, state,
+                aside=lambda rows, batch_id: aside.extend(r.stream_id for r in rows.collect()), compact_every=2,
+            )
         )
-
-    def write(rows, batch_id):
-        rows.selectExpr(
-            "stream_id", f"{batch_id} AS b", "state", "offset_num",
-            f"(unix_seconds(expires_at) - {start}) DIV 60 AS until",
-        ).write.mode("overwrite").parquet(f"{path}/{batch_id}")
-
-    with state_settings(spark, source):
-        for n in range(4):
-            # One more folder each time; the query goes on from its checkpoint.
-            run_to_end(streaming.stream_to(
-                streaming.ttl_state(read(n), 1800), write, state
-            ).outputMode("update"))
-    steps = {}
-    rows = spark.read.parquet(f"{path}/*").collect()
-    for r in sorted(rows, key=lambda r: (r.b, r.state == "expired")):
-        steps.setdefault(r.stream_id, []).append((r.state, r.offset_num, r.until))
-    assert steps == {
-        "once": [("live", 0, 30), ("expired", 0, 30)],
-        # The save of minute 35 comes after that of minute 40 and does not count.
-        "refreshed": [("live", 20, 50), ("live", 40, 70), ("live", 40, 70), ("expired", 40, 70)],
-        "again": [("live", 0, 30), ("expired", 0, 30), ("live", 60, 90), ("expired", 60, 90)],
-        "overdue": [("live", 10, 40), ("expired", 10, 40)],
-        "late": [("live", 45, 75), ("expired", 45, 75), ("live", 80, 110)],
-        "z": [
-            ("live", 0, 30), ("live", 50, 80), ("live", 100, 130), ("live", 105, 135),
-        ],
-    }
+    now = F.timestamp_seconds(F.lit(start + 1000))
+    live = streaming.live_state(table, now).select("stream_id", "offset_num", F.unix_seconds("expires_at").alias("e"))
+    assert sorted((r.stream_id, r.offset_num, r.e - start) for r in live.collect()) == [
+        ("kept", 9, 1830), ("tied", 2, 1860),
+    ]
+    assert aside == ["none"]

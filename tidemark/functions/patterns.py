@@ -57,4 +57,5 @@ def _glob_to_regex(pattern: str) -> str:
         else:
             out.append(re.escape(char))
         at += 1
-    return "^" + "".join(out) + "$"
+    # Not a dollar sign, which also matches before a last line break.
+    return "^" + "".join(out) + r"\z"

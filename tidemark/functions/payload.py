@@ -85,8 +85,8 @@ def payload_text(extra: Sequence[str] = (), expiry: str | None = None) -> Column
         return F.coalesce(F.concat(F.lit('"'), text, F.lit('"')), null)
 
     pieces = [
-        F.lit('{"stream_id":'), json_string("stream_id"),
-        F.lit(',"offset":'), F.col("offset_json"),
+        F.lit('{"stream_id":'), F.coalesce(json_string("stream_id"), null),
+        F.lit(',"offset":'), F.coalesce(F.col("offset_json"), null),
         F.lit(',"metadata":'), F.coalesce(F.col("metadata"), F.lit(EMPTY_OBJECT)),
         F.lit(',"created_at":'), quoted(iso_text("created_at")),
         F.lit(',"updated_at":'), quoted(iso_text("updated_at")),

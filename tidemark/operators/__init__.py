@@ -25,7 +25,7 @@ from tidemark.operators.codec import (
     with_copied_column,
     with_payload_column,
 )
-from tidemark.operators.expiry import list_live, live, purge_expired, stamp_expiry
+from tidemark.operators.expiry import list_live, live, mark_expired, purge_expired, stamp_expiry
 from tidemark.operators.filters import (
     by_group,
     by_key,
@@ -80,6 +80,7 @@ __all__ = [
     "normalise_offsets",
     "normalise_times",
     "ordered_list",
+    "mark_expired",
     "purge_expired",
     "rekey_report",
     "replace_all",

@@ -53,7 +53,9 @@ def decode_payloads(
     """
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"unknown mode {mode!r}; one of ('permissive', 'failfast')")
-    text = F.decode(data, "UTF-8") if dict(df.dtypes)[data] == "binary" else F.col(data)
+    # Malformed bytes read as null, so that the row is a bad one.
+    binary = dict(df.dtypes)[data] == "binary"
+    text = F.try_validate_utf8(F.col(data).cast("string")) if binary else F.col(data)
     schema = ", ".join([_PAYLOAD_FIELDS, *[f"`{name}` STRING" for name in extra]])
     # Spark repeats an expression in a filter placed above it; behind a generator the
     # payload is parsed once.

@@ -35,10 +35,19 @@ def live(table: DataFrame, as_of, boundary: str = "expired") -> DataFrame:
     return table.where(_alive(as_of, boundary))
 
 
+def mark_expired(table: DataFrame, as_of, boundary: str = "expired") -> DataFrame:
+    """The table with a column ``expired``: what :func:`purge_expired` takes apart."""
+    return table.withColumn("expired", ~_alive(as_of, boundary))
+
+
 def purge_expired(
     table: DataFrame, as_of, boundary: str = "expired"
 ) -> tuple[DataFrame, DataFrame]:
-    """The table without its expired rows, and those rows: ``(kept, purged)``."""
+    """The table without its expired rows, and those rows: ``(kept, purged)``.
+
+    Writing both computes the table twice; :func:`mark_expired` gives it once, to be
+    written by the flag.
+    """
     alive = _alive(as_of, boundary)
     return table.where(alive), table.where(~alive)
 

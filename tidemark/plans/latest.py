@@ -11,16 +11,6 @@ _FIXED_WIDTH = (
     T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType,
 )
 
-#: Up to this many rows per key Spark cuts each key to its first rows before the
-#: shuffle by itself (default of ``spark.sql.optimizer.windowGroupLimitThreshold``).
-_GROUP_LIMIT = 1000
-
-#: Up to this many, what all tasks together leave of a hot key is little for one reducer.
-_SHORT_LIST = 16
-
-#: Shares of the input partitions among which longer lists are cut before the last step.
-_SHARES = 512
-
 
 def latest_rows(rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_cols``, which are not null.
@@ -28,24 +18,24 @@ def latest_rows(rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[s
     An aggregate, not a window: each task reduces its rows to one per key before
     anything is shuffled, so a hot key costs its reducer one row per task.
 
-    If every other column has a fixed width, each is picked on its own and Spark
-    runs a hash aggregate without sorting; this needs an order that is unique
-    within the key, like an arrival number.  Otherwise the columns travel as one
-    struct.
+    If every other column has a fixed width and the order is one number (or a time and
+    a number, put together into one), each column is picked on its own and Spark runs
+    a hash aggregate without sorting; this needs an order that is unique within the
+    key, like an arrival number.  Otherwise the columns travel as one struct.
     """
     key_cols = list(key_cols)
     others = [c for c in rows.columns if c not in key_cols]
-    order = _ordering(order_cols)
-    narrow = len(order_cols) == 1 and all(
+    order = _ordering(rows, order_cols)
+    narrow = order is not None and all(
         isinstance(rows.schema[c].dataType, _FIXED_WIDTH) for c in others
     )
     if narrow and others:
         picks = [
-            F.max(c).alias(c) if c == order_cols[0] else F.max_by(c, order).alias(c)
+            F.max(c).alias(c) if [c] == list(order_cols) else F.max_by(c, order).alias(c)
             for c in others
         ]
         return rows.groupBy(*key_cols).agg(*picks).select(*rows.columns)
-    last = F.max_by(F.struct(*others), order).alias("_last")
+    last = F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_last")
     found = rows.groupBy(*key_cols).agg(last)
     return found.select(
         *[F.col(c) if c in key_cols else F.col(f"_last.{c}").alias(c) for c in rows.columns]
@@ -57,31 +47,30 @@ def newest_rows(
 ) -> DataFrame:
     """The ``n`` rows of every key with the greatest ``order_cols``.
 
-    Spark turns ``row_number() <= n`` into a limit within each task before the shuffle,
-    so of a hot key ``n`` rows per task meet in one reducer.  Longer lists are first cut
-    among shares of the tasks.  Beyond Spark's threshold for its own limit, they are
-    before that cut among the rows of a key in one input partition.
+    One plan for every ``n``.  Spark turns ``row_number() <= n`` into a limit within each
+    task before the shuffle, up to its own threshold for ``n``; beyond that the rows of a
+    key are sorted together, on disk where memory does not do.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    key_cols = list(key_cols)
-    newest_first = [F.col(c).desc() for c in order_cols]
-    if n > _SHORT_LIST:
-        # Stable when a task is run again, unlike a random number.
-        rows = rows.withColumn("_share", F.spark_partition_id())
-        if n > _GROUP_LIMIT:
-            rows = _first_n(rows, [*key_cols, "_share"], newest_first, n)
-        rows = rows.withColumn("_share", F.col("_share") % _SHARES)
-        rows = _first_n(rows, [*key_cols, "_share"], newest_first, n).drop("_share")
-    return _first_n(rows, key_cols, newest_first, n)
-
-
-def _first_n(rows: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    number = F.row_number().over(
+        Window.partitionBy(*key_cols).orderBy(*[F.col(c).desc() for c in order_cols])
+    )
     return rows.withColumn("_rank", number).where(F.col("_rank") <= n).drop("_rank")
 
 
-def _ordering(order_cols: Sequence[str]) -> Column:
+def _ordering(rows: DataFrame, order_cols: Sequence[str]) -> Column | None:
+    """The order as one number, if it is a number or a time followed by a whole number."""
     if len(order_cols) == 1:
         return F.col(order_cols[0])
-    return F.struct(*order_cols)
+    if len(order_cols) != 2:
+        return None
+    first, second = (rows.schema[c].dataType for c in order_cols)
+    if not isinstance(first, (T.TimestampType, T.TimestampNTZType)):
+        return None
+    if not isinstance(second, T.IntegralType):
+        return None
+    # Microseconds times 2^64 leave room for any whole number and fit into 38 digits.
+    micros = F.unix_micros(F.col(order_cols[0]).cast("timestamp")).cast("decimal(18,0)")
+    scaled = micros * F.lit(str(1 << 64)).cast("decimal(20,0)")
+    return (scaled + F.col(order_cols[1]).cast("decimal(19,0)")).cast("decimal(38,0)")

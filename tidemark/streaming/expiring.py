@@ -1,121 +1,52 @@
 """Keyed state that is gone a while after the last save."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.schema import KEY_COLS
-
-LIVE = "live"
-EXPIRED = "expired"
+from tidemark.operators.expiry import live, stamp_expiry
+from tidemark.plans import latest_rows
+from tidemark.streaming.sinks import _writer_name, stream_to
+from tidemark.table import ProgressTable
 
 
 def ttl_state(
     stream: DataFrame,
+    table: ProgressTable,
     ttl_seconds: int,
-    key_cols: Sequence[str] = KEY_COLS,
-    offset_col: str = "offset_num",
+    checkpoint: str,
     saved_at: str = "updated_at",
-    delay: str = "0 seconds",
-) -> DataFrame:
-    """Current offset per key, dropped ``ttl_seconds`` after its last save.
-
-    Output rows have the key, ``offset_num``, ``expires_at`` and ``state``: ``live``
-    when a save sets or refreshes a key, ``expired`` when its time is over.  Time is
-    that of the events: a key is over once events ``delay`` later than its end have
-    come.  Of the saves of one key the latest counts.  Saves that come in late are
-    not dropped; one whose time is over already is reported live and expired at once.
-    State of expired keys is removed.
-
-    Needs the RocksDB state store.  Every Arrow batch is cut to the last save of each
-    key before the shuffle, so a hot key sends one row per batch.
-    """
-    key_cols = list(key_cols)
-    wanted = stream.select(
-        *key_cols,
-        F.col(offset_col).cast("bigint").alias("offset_num"),
-        F.col(saved_at).cast("timestamp").alias("saved_at"),
-    )
-
-    def last_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.loc[rows.groupby(key_cols, dropna=False)["saved_at"].idxmax()]
-
-    # Without the time column behind it, the watermark moves the clock but does not
-    # filter: a save later than others is still the last one of its key.
-    reduced = (
-        wanted.mapInPandas(last_in_batch, wanted.schema)
-        .withWatermark("saved_at", delay)
-        .select(*key_cols, "offset_num", F.unix_micros("saved_at").alias("saved_us"))
-    )
-    keys = [wanted.schema[c] for c in key_cols]
-    output = T.StructType(
-        [reduced.schema[c] for c in key_cols]
-        + [
-            T.StructField("offset_num", T.LongType()),
-            T.StructField("expires_us", T.LongType()),
-            T.StructField("state", T.StringType()),
-        ]
-    )
-    states = reduced.groupBy(*key_cols).transformWithState(
-        statefulProcessor=_expiring(key_cols, int(ttl_seconds)),
-        outputStructType=output,
-        outputMode="update",
-        timeMode="EventTime",
-    )
-    return states.select(
-        *key_cols, "offset_num", F.timestamp_micros("expires_us").alias("expires_at"), "state"
-    )
-
+    aside: Callable[[DataFrame, int], None] | None = None,
+    compact_every: int | None = None,
+) -> DataStreamWriter:
+    """Keep the last event of every key in ``table``, with the end of its life.
 
-def _expiring(key_cols: list[str], ttl_seconds: int) -> StatefulProcessor:
-    """The processor behind :func:`ttl_state`.
+    A save lives ``ttl_seconds`` from ``saved_at`` on; a delete ends its key at once.  The
+    last event of a key is the one with the highest ``seq``, however late it comes.
+    Read the state with :func:`live_state`.  Events without a time have no end: they are
+    handed to ``aside``, with the batch's number, and without it they fail the batch.
 
-    A class made in here travels to the workers as it is, so they need not have this
-    package.
+    Each micro-batch is an aggregate in the JVM and is written beside the earlier ones.
     """
-    ttl_us = ttl_seconds * 1_000_000
-    row = Row(*key_cols, "offset_num", "expires_us", "state")
-
-    def end_ms(saved_us: int) -> int:
-        # Timers count milliseconds; rounded up, none goes off early.
-        return -(-(saved_us + ttl_us) // 1000)
-
-    class Expiring(StatefulProcessor):
-        """State of a key: its offset and when it was saved.
-
-        A key has one timer.  A save leaves it alone; when it goes off and the key has
-        been refreshed, it is set again to the new end.
-        """
-
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.last = handle.getValueState("last", "offset LONG, saved_us LONG")
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            old = self.last.get()
-            newest = max(rows, key=lambda r: r.saved_us)
-            offset, saved = newest.offset_num, newest.saved_us
-            if old is not None and old[1] > saved:
-                offset, saved = old[0], old[1]
-            self.last.update((offset, saved))
-            if old is None:
-                self.handle.registerTimer(end_ms(saved))
-            yield row(*key, offset, saved + ttl_us, LIVE)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            offset, saved = self.last.get()
-            if end_ms(saved) > timerValues.getCurrentWatermarkInMs():
-                self.handle.registerTimer(end_ms(saved))
-                return
-            self.last.clear()
-            yield row(*key, offset, saved + ttl_us, EXPIRED)
-
-        def close(self) -> None:
-            pass
 
-    return Expiring()
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        timed = batch
+        if aside is not None:
+            aside(batch.where(F.col(saved_at).isNull()), batch_id)
+            timed = batch.where(F.col(saved_at).isNotNull())
+        else:
+            lacks = F.raise_error(F.lit(f"an event without {saved_at}")).cast("boolean")
+            timed = batch.where(F.when(F.col(saved_at).isNull(), lacks).otherwise(F.lit(True)))
+        last = latest_rows(stamp_expiry(timed, ttl_seconds, saved_at=saved_at), table.key_cols, ["seq"])
+        table.save(last, batch_id, _writer_name(batch))
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact()
+
+    return stream_to(stream, apply, checkpoint)
+
+
+def live_state(table: ProgressTable, as_of) -> DataFrame:
+    """The keys that are neither deleted nor over at ``as_of``."""
+    return live(table.read(), as_of)

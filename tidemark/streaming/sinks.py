@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.operators.lookups import resume
 from tidemark.plans import latest_rows
 from tidemark.schema import KEY_COLS
 from tidemark.table import ProgressTable
@@ -97,13 +98,9 @@ def resume_stream(
 
     A stream-static join.  Restarts of the query itself are covered by its own
     checkpoint; this is for a new query that goes on where an earlier reader stopped.
-    Beside a table too large to broadcast, use ``resume`` on each batch instead: it
-    splits hot streams.
+    Offsets without an order are refused, as by ``resume``.
     """
-    read_up_to = table.select(*key_cols, F.col("offset_num").alias("_read_up_to"))
-    joined = stream.join(read_up_to, list(key_cols), "left")
-    unread = F.col("_read_up_to").isNull() | (F.col(offset_col) > F.col("_read_up_to"))
-    return joined.where(unread).select(*stream.columns)
+    return resume(stream, table, offset_col, key_cols)
 
 
 def latest_stream(
@@ -120,4 +117,6 @@ def latest_stream(
 def _writer_name(batch: DataFrame) -> str:
     # The identity of the query is kept in its checkpoint and survives restarts.
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"query-{query}" if query else "stream"
+    if not query:
+        raise RuntimeError("the stream has no query id to name its batches by")
+    return f"query-{query}"

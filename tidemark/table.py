@@ -16,7 +16,7 @@ A batch or snapshot counts once Spark has put its ``_SUCCESS`` file there.
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,9 +113,15 @@ class ProgressTable:
         """Write one batch of events.
 
         Give a ``batch_id`` only where a batch may have to be written again: the same
-        number means the same events, and replaces them.  Columns that are left out are
-        null, except for the text of an offset given as a number.
+        number means the same events, so one that is complete is left as it is.  Columns
+        that are left out are null, except for the text of an offset given as a number.
+
+        Nothing is lost in silence: columns the table does not have are refused, and an
+        event without key, place in the order or a known kind fails the write.
         """
+        unknown = [c for c in events.columns if c not in self.schema.names]
+        if unknown:
+            raise ValueError(f"the table has no columns {unknown}")
         lacking = [c for c in [*self.key_cols, "op", "seq"] if c not in events.columns]
         if lacking:
             raise ValueError(f"events lack the columns {lacking}")
@@ -128,7 +134,10 @@ class ProgressTable:
         ]
         name = uuid.uuid4().hex if batch_id is None else batch_id
         target = f"{self.path}/batch/{writer}/batch_id={name}"
-        events.select(*columns).write.mode("overwrite").parquet(target)
+        if batch_id is not None and self._complete(target):
+            return
+        events.select(*columns).where(self._sound()).write.mode("overwrite").parquet(target)
+        self._mark_complete(target)
 
     def update_offset(
         self, changes: DataFrame, as_of, batch_id: int | str | None = None, writer: str = "batch"
@@ -170,7 +179,9 @@ class ProgressTable:
             rows = rows.where(~old)
         # The list is there before the snapshot counts as complete.
         self._write_text(f"{self.path}/folded/version={version}", "\n".join(folded))
-        write_sorted(rows, f"{self.path}/snapshot/version={version}", self.key_cols, "overwrite")
+        target = f"{self.path}/snapshot/version={version}"
+        write_sorted(rows, target, self.key_cols, "overwrite")
+        self._mark_complete(target)
 
     def vacuum(self) -> None:
         """Remove what the newest snapshot has replaced.
@@ -260,6 +271,22 @@ class ProgressTable:
         marker = self._hadoop_path(f"{path}/_SUCCESS")
         return self._file_system(marker).exists(marker)
 
+    def _mark_complete(self, path: str) -> None:
+        """Put the marker there where Spark is told not to."""
+        if not self._complete(path):
+            self._write_text(f"{path}/_SUCCESS", "")
+
+    def _sound(self) -> Column:
+        """True, or an error that names what an event lacks."""
+        check = F.lit(True)
+        for name in [*self.key_cols, "seq", "op"]:
+            check = F.when(
+                F.col(name).isNull(), F.raise_error(F.lit(f"an event without {name}")).cast("boolean")
+            ).otherwise(check)
+        known = F.col("op").isin(SAVE, DELETE)
+        message = F.concat(F.lit("an event of the unknown kind "), F.col("op"))
+        return F.when(F.col("op").isNotNull() & ~known, F.raise_error(message).cast("boolean")).otherwise(check)
+
     def _folded(self, version: int) -> list[str]:
         location = self._hadoop_path(f"{self.path}/folded/version={version}")
         stream = self._file_system(location).open(location)

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
+from tidemark.plans import scratch_path
+from tidemark.table import ProgressTable
 from tidemark.workload.logs import (
     EV_LOG,
     EV_STATE,
@@ -78,10 +80,19 @@ def _(spark, sf_dir):
 
 
 @query("mut6_clear_all", f"""WITH {EV_STATE}
-SELECT count(*) AS n_left FROM ev_state WHERE false""")
+SELECT pipeline_id, count(*) AS n_before, CAST(0 AS BIGINT) AS n_left FROM ev_state GROUP BY pipeline_id""")
 def _(spark, sf_dir):
-    cleared = ops.clear(ops.compact_log(event_log(spark, sf_dir)))
-    return cleared.agg(F.count(F.lit(1)).alias("n_left"))
+    # What a stored table holds before and after.
+    table = ProgressTable(spark, scratch_path(spark, "progress"))
+    log = event_log(spark, sf_dir)
+    table.append(log)
+    before = ops.count_checkpoints(table.read(), "pipeline_id")
+    last = log.agg(F.max("seq").alias("seq"))
+    table.clear("2024-02-01", seq=last.first().seq + 1)
+    after = ops.count_checkpoints(table.read(), "pipeline_id").withColumnRenamed("n_checkpoints", "n_left")
+    return before.withColumnRenamed("n_checkpoints", "n_before").join(after, "pipeline_id", "left").select(
+        "pipeline_id", "n_before", F.coalesce("n_left", F.lit(0)).cast("bigint").alias("n_left")
+    )
 
 
 @query("mut7_update_offset", f"""WITH {HALVES}

@@ -213,10 +213,14 @@ def _(spark, sf_dir):
 
 
 @query("prj9_rekey_report_urls", """
+WITH urls AS (SELECT url FROM pages UNION ALL SELECT replace(url, '/en/', '_en/') FROM pages)
 SELECT replace(replace(url, ':', '__'), '/', '_') AS key, count(DISTINCT url) AS n_sources
-FROM pages GROUP BY 1 HAVING count(DISTINCT url) > 1""")
+FROM urls GROUP BY 1 HAVING count(DISTINCT url) > 1""")
 def _(spark, sf_dir):
-    return ops.rekey_report(supplied(spark, sf_dir, "pages"), "document", key_cols=["url"])
+    # English pages once more, by an address that differs in one separator.
+    urls = supplied(spark, sf_dir, "pages").select("url")
+    twin = urls.select(F.replace("url", F.lit("/en/"), F.lit("_en/")).alias("url"))
+    return ops.rekey_report(urls.unionByName(twin), "document", key_cols=["url"])
 
 
 @query("prj10_stable_id", """

@@ -1,4 +1,4 @@
-"""TTL queries: every save lives a day, or as long as its user says."""
+"""TTL queries: every save lives a while, or as long as its user says."""
 
 from pyspark.sql import functions as F
 
@@ -6,25 +6,28 @@ from tidemark import operators as ops
 from tidemark.workload.logs import EV_LOG, event_log
 from tidemark.workload.registry import query
 
-AS_OF = "2024-01-15 00:00:00"
+#: After the last event, so that the table is made of all of them.
+AS_OF = "2024-02-01 00:00:00"
+
+#: How long a save counts: twelve days.
+TTL = 12 * 86400
 
 DAY_TABLE = EV_LOG + f""", stamped AS (
     SELECT pipeline_id, stream_id, offset_num, updated_at, op,
-           updated_at + INTERVAL 86400 SECOND AS expires_at,
+           updated_at + INTERVAL {TTL} SECOND AS expires_at,
            row_number() OVER (PARTITION BY pipeline_id, stream_id ORDER BY seq DESC) AS n
-    FROM ev_log WHERE updated_at <= TIMESTAMP '{AS_OF}'),
+    FROM ev_log),
 ttl_table AS (
     SELECT pipeline_id, stream_id, offset_num, updated_at, op, expires_at
-    FROM stamped WHERE n = 1)"""
+    FROM stamped WHERE n = 1 AND op <> 'delete')"""
 
 
 def day_table(spark, sf_dir):
-    """The last event of every key up to ``AS_OF``, which counts for a day."""
-    log = event_log(spark, sf_dir)
-    log = log.where(F.col("updated_at") <= F.lit(AS_OF).cast("timestamp")).select(
+    """The current row of every key, with the end of its life; deleted keys have none."""
+    log = event_log(spark, sf_dir).select(
         "pipeline_id", "stream_id", "offset_num", "updated_at", "op", "seq"
     )
-    return ops.latest_by_arrival(ops.stamp_expiry(log, 86400)).drop("seq")
+    return ops.compact_log(ops.stamp_expiry(log, TTL)).drop("seq")
 
 
 @query("ttl1_stamp_expiry", """

@@ -78,11 +78,11 @@ def _(spark, sf_dir):
     return ops.list_streams(ops.compact_log(_narrow_log(spark, sf_dir)))
 
 
-@query("agg5_list_subkeys", f"""WITH {EV_LOG}
-SELECT DISTINCT pipeline_id AS "partition" FROM ev_log WHERE stream_id = 'user-8'""")
+@query("agg5_list_subkeys", f"""WITH {EV_STATE}
+SELECT DISTINCT pipeline_id AS "partition" FROM ev_state WHERE stream_id = 'user-8'""")
 def _(spark, sf_dir):
-    log = event_log(spark, sf_dir).withColumn("partition", F.col("pipeline_id"))
-    return ops.list_subkeys(log, "user-8")
+    table = ops.compact_log(event_log(spark, sf_dir).select("pipeline_id", "stream_id", "op", "seq"))
+    return ops.list_subkeys(table.withColumn("partition", F.col("pipeline_id")), "user-8")
 
 
 @query("agg5_list_subkeys_from_keys", """
@@ -141,10 +141,11 @@ def _(spark, sf_dir):
 
 
 @query("srt1_ordered_by_key", f"""WITH {EV_STATE}
-SELECT pipeline_id, stream_id, offset_num FROM ev_state ORDER BY pipeline_id, stream_id""")
+SELECT pipeline_id, stream_id, offset_num,
+       row_number() OVER (ORDER BY pipeline_id, stream_id) AS position FROM ev_state""")
 def _(spark, sf_dir):
     table = ops.compact_log(event_log(spark, sf_dir)).select("pipeline_id", "stream_id", "offset_num")
-    return ops.ordered_list(table, ["pipeline_id", "stream_id"])
+    return ops.ordered_list(table, ["pipeline_id", "stream_id"], "position")
 
 
 @query("srt1_ordered_orders", f"""WITH {ORD_LOG}

@@ -13,11 +13,18 @@ from tidemark.workload.lookups import RESUMED, source, stopped
 from tidemark.workload.registry import query
 
 
+#: Micro-batches of each stream.
+FILES = 5
+
+
 def event_stream(spark, sf_dir):
-    # A pattern, because a stream may not be given a single file by name; a folder
-    # of many files under that name is read just as well.
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    # Cut into files by a remainder of the number, so that each micro-batch (one file)
+    # holds events from all over the order.
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = scratch_path(spark, "arrivals")
+    part = F.pmod(F.col("event_id"), F.lit(FILES))
+    events.repartitionByRange(FILES, part).sortWithinPartitions("event_id").write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def run_to_end(writer) -> None:
@@ -101,29 +108,17 @@ def _(spark, sf_dir):
     return ops.latest_by_arrival(spark.read.parquet(path).drop("batch_id"))
 
 
-@query("str5_ttl_state", """
-WITH last AS (
-    SELECT event_type AS pipeline_id, 'user-' || user_id AS stream_id, max(event_id) AS offset_num,
-           max(ts) + INTERVAL 172800 SECOND AS expires_at
-    FROM events GROUP BY event_type, user_id),
-now AS (SELECT max(ts) AS at FROM events)
-SELECT pipeline_id, stream_id, offset_num, expires_at FROM last, now WHERE expires_at > now.at""")
+@query("str5_ttl_state", f"""
+WITH {EV_STATE}, now AS (SELECT max(ts) AS last FROM events)
+SELECT pipeline_id, stream_id, offset_num, updated_at + INTERVAL 172800 SECOND AS expires_at
+FROM ev_state, now WHERE updated_at + INTERVAL 172800 SECOND > now.last""")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "ttl")
-
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    with state_settings(spark):
-        log = as_event_log(event_stream(spark, sf_dir))
-        state = streaming.ttl_state(log, 172800)
-        run_to_end(
-            streaming.stream_to(state, write, scratch_path(spark, "state")).outputMode("update")
-        )
-    # What a key was last: within one batch it expires after it was set.
-    changes = spark.read.parquet(path).withColumn("gone", F.col("state") == streaming.EXPIRED)
-    last = ops.latest_by_version(changes, version="batch_id", seq="gone")
-    return last.where(~F.col("gone")).select("pipeline_id", "stream_id", "offset_num", "expires_at")
+    table = ProgressTable(spark, scratch_path(spark, "progress"))
+    log = as_event_log(event_stream(spark, sf_dir))
+    run_to_end(streaming.ttl_state(log, table, 172800, scratch_path(spark, "state"), compact_every=2))
+    now = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts").cast("timestamp").alias("at"))
+    live = streaming.live_state(table, now.scalar())
+    return live.select("pipeline_id", "stream_id", "offset_num", "expires_at")
 
 
 _CHANGE_EVENTS = f"""WITH {EV_LOG}
