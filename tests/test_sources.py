@@ -169,3 +169,28 @@ def test_jdbc_options():
     assert split["partitionColumn"] == "id" and split["numPartitions"] == "8"
     with pytest.raises(ValueError):
         sources.jdbc_options("u", "t", partition_column="id")
+
+
+def test_names_of_objects_are_taken_as_they_are(spark, path):
+    record = json.dumps({"stream_id": "s", "offset": 1, "created_at": None, "updated_at": T0.isoformat()})
+    names = [("p+1", "a+b c"), ("p 1", "50%"), ("p*", "x*y"), ("p[1]", "z"), ("px", "w")]
+    for pipeline, key in names:
+        os.makedirs(f"{path}/{pipeline}", exist_ok=True)
+        with open(f"{path}/{pipeline}/{key}.json", "w") as out:
+            out.write(record)
+    good, _ = sources.read_checkpoint_files(spark, path, layout="objects")
+    assert columns(good, "pipeline_id", "checkpoint_id") == sorted(names)
+    for pipeline, key in names:
+        one, _ = sources.read_checkpoint_files(spark, path, pipeline, layout="objects")
+        assert columns(one, "checkpoint_id") == [(key,)]
+
+
+def test_all_key_columns_and_expiry_survive(spark, path):
+    rows = spark.createDataFrame(
+        [("p", "s", "0", "1", T0), ("p", "s", "1", "2", None)],
+        "pipeline_id string, stream_id string, partition string, offset_json string, expires_at timestamp",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS metadata", "TIMESTAMP '2024-01-01' AS created_at", "TIMESTAMP '2024-01-01' AS updated_at")
+    sources.write_checkpoint_files(rows, path)
+    good, _ = sources.read_checkpoint_files(spark, path, key_cols=["pipeline_id", "stream_id", "partition"])
+    got = sorted((r.partition, r.offset_json, r.expires_at is None) for r in good.collect())
+    assert got == [("0", "1", False), ("1", "2", True)]

@@ -143,3 +143,44 @@ def test_events_need_a_key_and_an_order(spark, table, rows_of):
         table.append(rows)
     table.save(rows.drop("offset_json"))
     assert rows_of(table.read(), "offset_json", "offset_num") == [("3", 3)]
+
+
+@pytest.mark.parametrize(
+    ("row", "message"),
+    [
+        (("p", "a", 1, "save", None), "without seq"),
+        (("p", None, 1, "save", 1), "without stream_id"),
+        (("p", "a", 1, None, 1), "without op"),
+        (("p", "a", 1, "sav", 1), "unknown kind"),
+    ],
+)
+def test_events_that_would_be_lost_are_refused(spark, table, row, message):
+    events = spark.createDataFrame([row], "pipeline_id string, stream_id string, offset_num long, op string, seq long")
+    with pytest.raises(Exception, match=message):
+        table.append(events)
+    assert state(table) == []
+
+
+def test_unknown_columns_are_refused(spark, table):
+    with pytest.raises(ValueError, match="colour"):
+        table.save(saves(spark, ("p", "a", 1, 1)).selectExpr("*", "'red' AS colour"))
+
+
+def test_tables_do_not_depend_on_success_markers(spark, table):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(name, "false")
+    try:
+        table.save(saves(spark, ("p", "a", 1, 1)))
+        table.compact()
+        table.save(saves(spark, ("p", "a", 2, 2)))
+    finally:
+        conf.unset(name)
+    assert state(table) == [("p", "a", 2)]
+
+
+def test_batches_without_a_query_are_not_named(spark):
+    from tidemark.streaming.sinks import _writer_name
+
+    with pytest.raises(RuntimeError):
+        _writer_name(spark.range(1))

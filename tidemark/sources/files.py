@@ -1,25 +1,44 @@
 """JSON payload files in a tree with one folder per pipeline."""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.codec import decode_payloads, encode_payloads
+from tidemark.schema import KEY_COLS
 
 _PARTITIONED = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("pipeline_id", T.StringType())]
 )
 
 
-def write_checkpoint_files(df: DataFrame, path: str, expiry: str | None = None) -> None:
+#: Key columns that the tree and the payload hold anyway.
+_HELD = ("pipeline_id", "stream_id")
+
+
+def write_checkpoint_files(
+    df: DataFrame,
+    path: str,
+    expiry: str | None = "expires_at",
+    key_cols: Sequence[str] | None = None,
+) -> None:
     """Write a table as JSON lines, one folder ``pipeline_id=…`` per pipeline.
 
+    The payload holds all ``key_cols`` (by default the usual two, and ``partition`` where
+    the table has it) and the column ``expiry``, if there is one.
+
     Pipelines in ``df`` are replaced, others stay.  Rows are gathered by pipeline so
     that a small one is one file; Spark splits a large one over several tasks and
     files by its real size instead of sending it to one writer.
     """
+    if key_cols is None:
+        key_cols = [*KEY_COLS, *[c for c in ("partition",) if c in df.columns]]
+    extra = [c for c in key_cols if c not in _HELD]
     (
-        encode_payloads(df, "data", expiry=expiry)
+        encode_payloads(df, "data", extra, expiry if expiry in df.columns else None)
         .select("data", "pipeline_id")
         .hint("rebalance", "pipeline_id")
         .write.mode("overwrite")
@@ -36,34 +55,45 @@ def read_checkpoint_files(
     layout: str = "partitioned",
     mode: str = "permissive",
     suffix: str = ".json",
+    key_cols: Sequence[str] = KEY_COLS,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of a tree of payload files, all of it or one pipeline: ``(good, bad)``.
 
     ``partitioned`` reads what :func:`write_checkpoint_files` wrote; only the folder
     of the pipeline asked for is scanned.  ``objects`` reads a tree with one JSON
     object per file, ``path/<pipeline>/<key><suffix>``; the pipeline is the name of
-    the folder and the key becomes the column ``checkpoint_id``.
+    the folder and the key becomes the column ``checkpoint_id``.  ``key_cols`` beyond the
+    usual two are taken out of the payload.
     """
+    extra = [c for c in key_cols if c not in _HELD and c != "checkpoint_id"]
     if layout == "partitioned":
         lines = spark.read.schema(_PARTITIONED).text(path)
         if pipeline_id is not None:
             lines = lines.where(F.col("pipeline_id") == pipeline_id)
-        return decode_payloads(lines, "data", mode)
+        return decode_payloads(lines, "data", mode, extra)
     if layout != "objects":
         raise ValueError(f"unknown layout {layout!r}; one of ('partitioned', 'objects')")
 
     # Asking for one pipeline lists its folder only.
-    root = path.rstrip("/") if pipeline_id is None else f"{path.rstrip('/')}/{pipeline_id}"
+    root = path.rstrip("/")
+    if pipeline_id is not None:
+        # A name, not a pattern.
+        root += "/" + re.sub(r"([*?\[\]{}\\])", r"\\\1", pipeline_id)
     objects = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
         .text(root, wholetext=True)
     )
     steps = F.split(F.col("_metadata.file_path"), "/")
-    name = F.url_decode(F.element_at(steps, -1))
+    name = _file_name(F.element_at(steps, -1))
     named = objects.select(
-        F.url_decode(F.element_at(steps, -2)).alias("pipeline_id"),
+        _file_name(F.element_at(steps, -2)).alias("pipeline_id"),
         F.substring(name, F.lit(1), F.length(name) - F.lit(len(suffix))).alias("checkpoint_id"),
         F.col("value").alias("data"),
     )
-    return decode_payloads(named, "data", mode)
+    return decode_payloads(named, "data", mode, extra)
+
+
+def _file_name(step: Column) -> Column:
+    """A step of a path as it was named: percent signs decoded, a plus left alone."""
+    return F.url_decode(F.replace(step, F.lit("+"), F.lit("%2B")))

@@ -42,6 +42,28 @@ def _(spark, sf_dir):
     return good.select(*_FIELDS)
 
 
+@query("src1_read_partitions", """
+SELECT 'user-' || user_id AS stream_id, event_type AS "partition", max(event_id) AS offset_num,
+       max(ts) + INTERVAL 3600 SECOND AS expires_at
+FROM events GROUP BY user_id, event_type""")
+def _(spark, sf_dir):
+    # The grain is stream and partition; expiry travels with the payload.
+    log = event_log(spark, sf_dir).withColumn("partition", F.col("pipeline_id"))
+    keys = ["stream_id", "partition"]
+    last = log.groupBy(*keys).agg(F.max("seq").alias("offset_num"), F.max("updated_at").alias("updated_at"))
+    table = ops.stamp_expiry(last, 3600).select(
+        "*",
+        F.lit("all").alias("pipeline_id"),
+        F.col("offset_num").cast("string").alias("offset_json"),
+        F.lit(None).cast("string").alias("metadata"),
+        F.lit(None).cast("timestamp").alias("created_at"),
+    )
+    path = scratch_path(spark, "files")
+    sources.write_checkpoint_files(table, path, key_cols=keys)
+    good, _ = sources.read_checkpoint_files(spark, path, key_cols=keys)
+    return good.select(*keys, "offset_num", "expires_at")
+
+
 @query("src2_write_checkpoint_files", f"""WITH {HALVES}, {STATE_PART}
 SELECT {_SQL_FIELDS} FROM old WHERE pipeline_id <> 'view'
 UNION ALL SELECT {_SQL_FIELDS} FROM ev_state WHERE pipeline_id = 'view'""")
