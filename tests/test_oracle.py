@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin."""
 
 import os
+import sys
 
 import pytest
 from oracle import connect, spark_rows, sql_rows
@@ -35,3 +36,9 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_queries_without_the_text_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(driver.queries()) == set(all_queries())
+    assert set(driver.oracle_sql()) == set(all_sql())
