@@ -1,38 +1,19 @@
 """Intermediate tables in the folder that the driver and all executors share."""
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from tidemark.plans import scratch_path
 
 #: Spark's setting for dropping the shuffle files of a query when it has ended.
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset, as in tests, one beside
-    the warehouse, which is shared as well."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not named:
-        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
-    return named.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path for an intermediate table; removed when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
-    return path
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back: cuts the lineage and survives lost executors.
 
     The shuffle files of the job are freed as soon as the table is there.
     """
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     before = spark.conf.get(_FREE_SHUFFLES, None)
     spark.conf.set(_FREE_SHUFFLES, "true")
     try:
