@@ -12,23 +12,34 @@ from tidemark.workload.logs import (
     STATE_COLUMNS,
     event_log,
     first_half,
+    late_deletes,
     second_half,
 )
 from tidemark.workload.registry import query
 
 _COLUMNS = ", ".join(STATE_COLUMNS)
-_UPSERTED = f"""WITH {HALVES}
+
+
+def _and_deleted(select: str, tables: str = HALVES) -> str:
+    """The rows of a query without those whose key is deleted in the end."""
+    return f"""WITH {tables}
+SELECT * FROM ({select}) r WHERE NOT EXISTS (
+    SELECT 1 FROM late_gone g WHERE g.pipeline_id = r.pipeline_id AND g.stream_id = r.stream_id)"""
+
+
+_UPSERTED = _and_deleted(f"""
 SELECT {_COLUMNS} FROM old o WHERE NOT EXISTS (
     SELECT 1 FROM late l WHERE l.pipeline_id = o.pipeline_id AND l.stream_id = o.stream_id)
-UNION ALL SELECT {_COLUMNS} FROM late"""
+UNION ALL SELECT {_COLUMNS} FROM late""")
 
 
 @query("mut1_upsert", _UPSERTED)
 def _(spark, sf_dir):
-    return ops.upsert(first_half(spark, sf_dir), second_half(spark, sf_dir))
+    put = ops.upsert(first_half(spark, sf_dir), second_half(spark, sf_dir))
+    return ops.delete_keys(put, late_deletes(spark, sf_dir))
 
 
-@query("mut2_merge_columns", f"""WITH {HALVES}
+@query("mut2_merge_columns", _and_deleted("""
 SELECT coalesce(o.pipeline_id, l.pipeline_id) AS pipeline_id,
        coalesce(o.stream_id, l.stream_id) AS stream_id,
        o.offset_json,
@@ -36,12 +47,13 @@ SELECT coalesce(o.pipeline_id, l.pipeline_id) AS pipeline_id,
        CASE WHEN l.seq IS NULL THEN o.metadata WHEN l.seq % 3 = 0 THEN NULL ELSE l.metadata END
            AS metadata,
        o.updated_at
-FROM old o FULL JOIN late l ON o.pipeline_id = l.pipeline_id AND o.stream_id = l.stream_id""")
+FROM old o FULL JOIN late l ON o.pipeline_id = l.pipeline_id AND o.stream_id = l.stream_id"""))
 def _(spark, sf_dir):
     changes = second_half(spark, sf_dir).withColumn(
         "metadata", F.when(F.col("seq") % 3 != 0, F.col("metadata"))
     )
-    return ops.merge_columns(first_half(spark, sf_dir), changes, ["offset_num", "metadata"])
+    merged = ops.merge_columns(first_half(spark, sf_dir), changes, ["offset_num", "metadata"])
+    return ops.delete_keys(merged, late_deletes(spark, sf_dir))
 
 
 @query("mut3_delete_keys", f"""WITH {HALVES}
@@ -95,27 +107,33 @@ def _(spark, sf_dir):
     )
 
 
-@query("mut7_update_offset", f"""WITH {HALVES}
+@query("mut7_update_offset", _and_deleted("""
 SELECT o.pipeline_id, o.stream_id,
        CASE WHEN l.seq IS NOT NULL THEN l.offset_json ELSE o.offset_json END AS offset_json,
        CASE WHEN l.seq IS NOT NULL THEN l.offset_num ELSE o.offset_num END AS offset_num,
        o.metadata,
        CASE WHEN l.seq IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE o.updated_at END AS updated_at
-FROM old o LEFT JOIN late l ON o.pipeline_id = l.pipeline_id AND o.stream_id = l.stream_id""")
+FROM old o LEFT JOIN late l ON o.pipeline_id = l.pipeline_id AND o.stream_id = l.stream_id"""))
 def _(spark, sf_dir):
-    return ops.update_offset(
+    moved = ops.update_offset(
         first_half(spark, sf_dir), second_half(spark, sf_dir), as_of="2024-02-01"
     )
+    return ops.delete_keys(moved, late_deletes(spark, sf_dir))
 
 
-@query("mut8_replace_all", f"""WITH {HALVES}, copies AS (
-    SELECT * FROM ev_log WHERE updated_at < TIMESTAMP '2024-01-16' AND op = 'save')
+@query("mut8_replace_all", _and_deleted(f"""
 SELECT {_COLUMNS} FROM copies c WHERE NOT EXISTS (
     SELECT 1 FROM late l WHERE l.pipeline_id = c.pipeline_id AND l.stream_id = c.stream_id)
-UNION ALL SELECT {_COLUMNS} FROM late""")
+UNION ALL SELECT {_COLUMNS} FROM late""", f"""{HALVES}, copies AS (
+    SELECT e.* FROM ev_log e JOIN old o ON e.pipeline_id = o.pipeline_id AND e.stream_id = o.stream_id
+    WHERE e.updated_at < TIMESTAMP '2024-01-16' AND e.op = 'save')"""))
 def _(spark, sf_dir):
+    # Every save so far of the keys that are there at half time: a table that repeats keys.
     saves = event_log(spark, sf_dir).where("updated_at < '2024-01-16' AND op = 'save'")
-    return ops.replace_all(saves.select(*STATE_COLUMNS), second_half(spark, sf_dir))
+    known = first_half(spark, sf_dir).select("pipeline_id", "stream_id")
+    copies = saves.join(known, ["pipeline_id", "stream_id"], "left_semi").select(*STATE_COLUMNS)
+    put = ops.replace_all(copies, second_half(spark, sf_dir))
+    return ops.delete_keys(put, late_deletes(spark, sf_dir))
 
 
 @query("mut9_compact_log", f"""WITH {EV_STATE}

@@ -70,6 +70,15 @@ def second_half(spark: SparkSession, sf_dir: str, op: str = "save") -> DataFrame
     return late.select(*STATE_COLUMNS, "seq")
 
 
+def late_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys whose last event from half time on is a delete."""
+    log = event_log(spark, sf_dir).where(F.col("updated_at") >= F.lit(HALF).cast("timestamp"))
+    last = latest_by_arrival(log.select("pipeline_id", "stream_id", F.col("op") == "delete", "seq").toDF(
+        "pipeline_id", "stream_id", "deleted", "seq"
+    ))
+    return last.where("deleted").select("pipeline_id", "stream_id")
+
+
 def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer, and as many keys that nobody has."""
     known = supplied(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
@@ -123,6 +132,10 @@ late AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY pipeline_id, stream_id ORDER BY seq DESC) AS n
         FROM ev_log WHERE updated_at >= TIMESTAMP '{HALF}' AND op = 'save') WHERE n = 1),
+late_gone AS (
+    SELECT pipeline_id, stream_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY pipeline_id, stream_id ORDER BY seq DESC) AS n
+        FROM ev_log WHERE updated_at >= TIMESTAMP '{HALF}') WHERE n = 1 AND op = 'delete'),
 gone AS (
     SELECT DISTINCT pipeline_id, stream_id FROM ev_log
     WHERE updated_at >= TIMESTAMP '{HALF}' AND op = 'delete')"""
