@@ -52,3 +52,17 @@ def test_one_shuffle_per_lookup(spark):
     # The stopped offsets are aggregated (one shuffle); the source itself stays put.
     plan = all_queries()["jn4_resume"](spark, SF_DIR)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Exchange hashpartitioning") == 1
+
+
+def test_versions_are_aggregated_without_a_sort(spark):
+    plan = all_queries()["agg2_latest_by_version_lineitem"](spark, SF_DIR)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in text and text.count("HashAggregate") == 2
+
+
+def test_one_plan_for_every_n(spark):
+    names = [n for n in all_queries() if n.startswith("win1_")]
+    windows = {
+        n: all_queries()[n](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().count("Window [") for n in names
+    }
+    assert set(windows.values()) == {1}
