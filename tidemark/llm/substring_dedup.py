@@ -80,10 +80,11 @@ def _windows(window: int):
                 alive[_places(batch.column(4), first, stop, offsets)] = True
                 at = at[alive[chosen]]
                 row = np.searchsorted(offsets, at, side="right") - 1
-                hashes = [window_hashes(w, window)[at].view(np.int64) for w in words]
+                one, two = (window_hashes(w, window)[at] for w in words)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *map(pa.array, hashes),
+                        pa.array(one.view(np.int64)),
+                        pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(keys[0][first + row]),
                         pa.array(keys[1][first + row]),
                         pa.array((at - offsets[row]).astype(np.int32)),
@@ -101,7 +102,7 @@ def _places(lists: pa.Array, first: int, stop: int, offsets: np.ndarray) -> np.n
     return np.repeat(offsets[:-1], sizes) + part.flatten().to_numpy()
 
 
-def _removed(window: int):
+def _removed(window: int, as_is: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, data, starts, ends, offsets in _slices(batch, 3):
@@ -114,8 +115,10 @@ def _removed(window: int):
                 kept = []
                 low = 0
                 for high, text in zip(offsets[1:].tolist(), batch.column(3).slice(first, stop - first)):
-                    words = (text.as_py() or "").encode().split()
-                    kept.append(b" ".join(compress(words, keep[low:high])).decode())
+                    text, stays = text.as_py() or "", keep[low:high]
+                    if not (as_is and stays.all()):
+                        text = b" ".join(compress(text.encode().split(), stays)).decode()
+                    kept.append(text)
                     low = high
                 n_kept = np.concatenate([[0], np.cumsum(keep)])[offsets]
                 n_words = np.diff(offsets).astype(np.int64)
@@ -138,21 +141,23 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep_columns: tuple[str, ...] = (),
+    as_is: bool = False,
 ) -> DataFrame:
     """``id_col, n_words, n_removed, kept_text`` (and ``keep_columns``) for every row of ``docs``.
 
     A word is a longest run of characters other than ASCII white space. Every word is removed
     that lies in a window of ``window`` words whose word sequence also starts anywhere else, in
     another row, in the same text or in a copy; all occurrences go, the first as well.
-    ``kept_text`` is what is left, joined by one space. Windows are compared by 128-bit hashes.
+    ``kept_text`` is what is left, joined by one space; with ``as_is``, a text of which nothing
+    is removed stays as it is. Windows are compared by 96-bit hashes.
 
     Null texts have no words. Null ids and repeated rows stay (a repeated row repeats its
     windows); other columns are not read. An empty table gives no rows.
 
     Repeats are counted before the shuffle (one row per hash and task), so a passage found in
     a third of all texts costs no more than others; joins on hashes have one row per hash on
-    one side. What each length leaves, positions only, is a table in the shared folder; the
-    shuffles before it are freed.
+    one side. The repeated hashes of each length and the positions that it leaves are tables in
+    the shared folder; the shuffles before them are freed.
     """
     if window < 2:
         raise ValueError("window must be at least 2 words")
@@ -167,18 +172,18 @@ def remove_repeats(
     anchors = keyed.select("k1", "k2", "text").mapInArrow(
         _anchors(window), "run long, k1 long, k2 long, at int"
     )
-    repeated = anchors.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
+    repeated = written(_repeated(anchors, "run"), "repeated")
     alive = written(_lists(anchors.join(repeated, "run", "left_semi")), "runs")
 
     windows = keyed.join(alive, ["k1", "k2"]).select("row", "k1", "k2", "text", "places").mapInArrow(
-        _windows(window), "ha long, hb long, k1 long, k2 long, at int"
+        _windows(window), "ha long, hb int, k1 long, k2 long, at int"
     )
-    twice = windows.groupBy("ha", "hb").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ha", "hb")
+    twice = written(_repeated(windows, "ha", "hb"), "repeated")
     starts = written(_lists(windows.join(twice, ["ha", "hb"], "left_semi")), "windows")
 
     kind = keyed.schema["row"].dataType.simpleString()
     found = keyed.join(starts, ["k1", "k2"], "left").select("row", "k1", "k2", "text", "places").mapInArrow(
-        _removed(window), f"row {kind}, n_words long, n_removed long, kept_text string"
+        _removed(window, as_is), f"row {kind}, n_words long, n_removed long, kept_text string"
     )
     return found.select(
         F.col("row.id").alias(id_col),
@@ -189,6 +194,12 @@ def remove_repeats(
     )
 
 
+def _repeated(rows: DataFrame, *hashes: str) -> DataFrame:
+    """The hashes that occur more than once. Joined as a table of their own: beside an
+    aggregate Spark does not split the partition of a hot hash."""
+    return rows.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*hashes)
+
+
 def _lists(rows: DataFrame) -> DataFrame:
     """The positions of each text; at most one for each of its words."""
     return rows.groupBy("k1", "k2").agg(F.collect_set("at").alias("places"))
