@@ -40,17 +40,19 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is hung under the node's smallest neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+    # A table of its own: beside an aggregate Spark does not split the partition of a node
+    # with many neighbours.
+    least = written(least.select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "least")
     joined = both.join(least, both["a"] == least["n"]).where("b > a")
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are hung under the smallest one."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(least.withColumnRenamed("a", "n"), F.col("a") == F.col("n")).where("b <> m")
+    least = written(links.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")), "least")
+    moved = links.join(least, F.col("a") == F.col("n")).where("b <> m")
     return (
         moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .unionByName(least.select("a", F.col("m").alias("b")))
+        .unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
         .distinct()
     )
