@@ -11,6 +11,8 @@ DataFrame functions only.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import written
+
 #: Parts of a URL.
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -72,10 +74,12 @@ def judge_captures(
     few, one for each instant) travel as one row, so each key of a URL meets one row at most,
     and Spark can split the side that a hot host fills.
     """
-    intervals = (
+    # A table of its own: beside an aggregate Spark does not split the keys of a hot site.
+    intervals = written(
         validity(entries)
         .groupBy("rule")
-        .agg(F.collect_list(F.struct("valid_from", "valid_to", "action")).alias("intervals"))
+        .agg(F.collect_list(F.struct("valid_from", "valid_to", "action")).alias("intervals")),
+        "intervals",
     )
     rows = captures.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched")
