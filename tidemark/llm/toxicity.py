@@ -50,6 +50,9 @@ _EDGE = re.compile(r"^\W+|\W+$")
 #: Words to both sides of a lexicon word in which an address to the reader counts.
 _NEAR = 5
 
+#: Rows that a task hands on at once while it lists the terms of texts.
+_TERMS_AT_ONCE = 50_000
+
 #: Lengths of beginnings of words.
 STEMS = range(3, 9)
 
@@ -151,13 +154,16 @@ def learn_lexicon(rows: DataFrame, entries: int = ENTRIES, least: int = 5) -> Le
     """
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
         for batch in batches:
-            out = []
             for label, text in zip(batch["label"], batch["text"]):
                 words = {plain_word(w)[0] for w in set(text.split())}
                 out += [("word", w, label) for w in words if w]
                 out += [("stem", s, label) for s in {s for w in words for s in beginnings(w)}]
-            yield pd.DataFrame(out, columns=["kind", "term", "label"])
+                if len(out) >= _TERMS_AT_ONCE:
+                    yield pd.DataFrame(out, columns=["kind", "term", "label"])
+                    out = []
+        yield pd.DataFrame(out, columns=["kind", "term", "label"])
 
     ship(rows.sparkSession)
     total = rows.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count(F.lit(1))).first()
