@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.shingle_dedup import node_of, shingle_groups
 from tidemark.llm.shipping import ship
 from tidemark.llm.storage import written
 
@@ -193,13 +194,24 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return joined.select(F.col("_id").alias(id_col), "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None
+) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest id; columns stay.
 
+    Components are those of the fingerprints or, with a ``similarity``, of texts whose sets of
+    five-word shingles have at least that Jaccard similarity (:mod:`shingle_dedup`).
+
     Of rows that repeat an id one stays. A row without an id cannot be named: such rows stay,
     once for each text.
     """
-    groups = simhash_groups(docs, id_col, text_col)
+    if similarity is None:
+        groups = simhash_groups(docs, id_col, text_col)
+    else:
+        texts = docs.select(F.col(id_col).alias("_id"), node_of(text_col).alias("node"))
+        least = written(texts.groupBy("node").agg(F.min("_id").alias("_least")), "least")
+        rooted = least.join(shingle_groups(docs, text_col, similarity), "node", "left")
+        groups = rooted.groupBy(F.coalesce("root", "node")).agg(F.min("_least").alias("component_id"))
     named = groups.select(F.col("component_id").alias("_keep")).distinct()
     kept = docs.join(named, docs[id_col] == named["_keep"], "left_semi").dropDuplicates([id_col])
     nameless = docs.where(F.col(id_col).isNull()).dropDuplicates([text_col])
