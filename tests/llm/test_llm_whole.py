@@ -43,3 +43,12 @@ def test_near_copies_down_to_four_fifths(spark, shard):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
     kept = {r.doc_id for r in keep_one(docs, similarity=0.8).collect()}
     assert kept == set(want)
+
+
+@pytest.mark.parametrize("similarity", [None, 0.8])
+def test_one_row_of_each_group_where_an_id_stands_for_two_texts(spark, similarity):
+    first, second, third = (" ".join(f"{c}{k}" for k in range(50)) for c in "abc")
+    rows = [(1, first), (1, second), (1, second), (2, first), (0, third), (1, third), (3, second)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in keep_one(docs, similarity=similarity).collect())
+    assert kept == [(0, third), (1, first), (1, second)]

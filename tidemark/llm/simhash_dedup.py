@@ -202,17 +202,23 @@ def keep_one(
     Components are those of the fingerprints or, with a ``similarity``, of texts whose sets of
     five-word shingles have at least that Jaccard similarity (:mod:`shingle_dedup`).
 
-    Of rows that repeat an id one stays. A row without an id cannot be named: such rows stay,
-    once for each text.
+    The row is chosen by id and text, so where one id stands for different texts each component
+    still keeps a row. Of rows that repeat both one stays. A row without an id cannot be named:
+    such rows stay, once for each text.
     """
+    texts = docs.select(F.col(id_col).alias("_id"), node_of(text_col).alias("node"))
+    least = written(texts.groupBy("node").agg(F.min("_id").alias("_least")), "least")
     if similarity is None:
-        groups = simhash_groups(docs, id_col, text_col)
+        copies = docs.select(node_of(text_col).alias("node"), F.col(text_col).alias("text"))
+        groups = simhash_groups(copies, "node", "text").select("node", F.col("component_id").alias("root")).distinct()
     else:
-        texts = docs.select(F.col(id_col).alias("_id"), node_of(text_col).alias("node"))
-        least = written(texts.groupBy("node").agg(F.min("_id").alias("_least")), "least")
-        rooted = least.join(shingle_groups(docs, text_col, similarity), "node", "left")
-        groups = rooted.groupBy(F.coalesce("root", "node")).agg(F.min("_least").alias("component_id"))
-    named = groups.select(F.col("component_id").alias("_keep")).distinct()
-    kept = docs.join(named, docs[id_col] == named["_keep"], "left_semi").dropDuplicates([id_col])
+        groups = shingle_groups(docs, text_col, similarity)
+    rooted = least.where("_least is not null").join(groups, "node", "left")
+    first = F.min(F.struct("_least", "node")).alias("first")
+    named = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(first)
+    named = named.select(F.col("first._least").alias("_keep"), F.col("first.node").alias("_node"))
+    marked = docs.withColumn("_text_node", node_of(text_col))
+    chosen = (marked[id_col] == named["_keep"]) & (marked["_text_node"] == named["_node"])
+    kept = marked.join(named, chosen, "left_semi").dropDuplicates([id_col, "_text_node"]).drop("_text_node")
     nameless = docs.where(F.col(id_col).isNull()).dropDuplicates([text_col])
     return kept.unionByName(nameless)
