@@ -5,6 +5,7 @@ import itertools
 import numpy as np
 import pytest
 
+from tidemark.llm import embedding_dedup
 from tidemark.llm.shingle_dedup import node_of, shingle_groups, shingles
 from tidemark.llm.simhash_dedup import keep_one
 
@@ -52,3 +53,22 @@ def test_one_row_of_each_group_where_an_id_stands_for_two_texts(spark, similarit
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted((r.doc_id, r.text) for r in keep_one(docs, similarity=similarity).collect())
     assert kept == [(0, third), (1, first), (1, second)]
+
+
+def test_audit_counts_queries_with_few_links(monkeypatch):
+    """A narrow beam that is blind for all but a large tight group."""
+
+    class Blind:
+        def __init__(self, unit, seed):
+            self.unit = unit
+
+        def within(self, queries, least, width):
+            found = [np.flatnonzero(row) for row in queries @ self.unit.T >= least]
+            return [f if width >= 128 or len(f) > 20 else f[:0] for f in found]
+
+    monkeypatch.setattr(embedding_dedup, "Graph", Blind)
+    draw = np.random.default_rng(2)
+    tight = draw.normal(size=32) + 0.002 * draw.normal(size=(3000, 32))
+    vectors = np.concatenate([tight, draw.normal(size=(30, 32))])
+    n = len(vectors)
+    assert embedding_dedup.Shard(np.arange(n), vectors, np.ones(n, int), 0.95, 0).width >= 128

@@ -22,7 +22,8 @@ from tidemark.llm.storage import written
 SHARDS = 8
 SHARD_NODES = 200_000
 
-#: Queries of an audit, and the share of true links that it has to find.
+#: Queries of an audit by node and by group, and the share of its true links that a query has to
+#: find in the mean of either.
 AUDIT = 256
 RECALL = 0.995
 
@@ -45,21 +46,32 @@ class Shard:
     def _audit(self, seed: int) -> None:
         """Ask for vectors as far from some node as a link may be, where a search is hardest."""
         draw = np.random.default_rng(seed)
-        some = draw.permutation(len(self.ids))[:AUDIT]
-        base = self._unit[some]
+        some = draw.permutation(len(self.ids))[: 4 * AUDIT]
+        near = np.concatenate([self._alike(self._unit[some[k : k + 64]]).sum(axis=1) for k in range(0, len(some), 64)])
+        # As many again by group: a node counts the less, the more nodes it links with.
+        share = 1 / np.maximum(near, 1)
+        grouped = draw.choice(len(some), min(AUDIT, len(some)), replace=False, p=share / share.sum())
+        base = self._unit[np.concatenate([some[:AUDIT], some[grouped]])]
+        by_node = np.arange(len(base)) < min(AUDIT, len(some))
         aside = draw.normal(size=base.shape)
         aside -= (aside * base).sum(axis=1, keepdims=True) * base
         aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-12)
         level = self._least + 1e-3
         asked = level * base + np.sqrt(1 - level**2) * aside
-        truth = asked @ self._unit.T >= self._least
+        truth = np.concatenate([self._alike(asked[k : k + 64]) for k in range(0, len(asked), 64)])
+        total = truth.sum(axis=1)
+        # Each query counts as one, whatever the number of its links.
+        drawn = [d & (total > 0) for d in (by_node, ~by_node)]
         while self.width < len(self.ids):
             found = self._graph.within(asked, self._least, self.width)
-            hits = sum(int(truth[k, f].sum()) for k, f in enumerate(found))
-            if hits >= RECALL * truth.sum():
+            recall = np.array([truth[k, f].sum() for k, f in enumerate(found)]) / np.maximum(total, 1)
+            if all(recall[d].mean() >= RECALL for d in drawn if d.any()):
                 break
             self.width *= 2
 
+    def _alike(self, asked: np.ndarray) -> np.ndarray:
+        return asked @ self._unit.T >= self._least
+
     def links(self, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """For each query its number, how many vectors it links with, and the linked nodes."""
         norms = np.linalg.norm(vectors, axis=1)
