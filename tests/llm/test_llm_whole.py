@@ -5,9 +5,12 @@ import itertools
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import embedding_dedup
 from tidemark.llm.shingle_dedup import node_of, shingle_groups, shingles
 from tidemark.llm.simhash_dedup import keep_one
+from tidemark.llm.url_filter import judge_captures
 
 
 def near_copies(seed=5):
@@ -72,3 +75,12 @@ def test_audit_counts_queries_with_few_links(monkeypatch):
     vectors = np.concatenate([tight, draw.normal(size=(30, 32))])
     n = len(vectors)
     assert embedding_dedup.Shard(np.arange(n), vectors, np.ones(n, int), 0.95, 0).width >= 128
+
+
+def test_path_rules_keep_their_case(spark):
+    day = F.lit("2024-01-10").cast("timestamp_ntz")
+    entries = spark.createDataFrame([("Example.org/Wiki/", "block")], "rule string, action string").withColumn("since", day)
+    urls = [(1, "http://EXAMPLE.org/Wiki/a"), (2, "http://example.org/wiki/a")]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("fetched", day)
+    found = sorted((r.page_id, r.rule, r.blocked) for r in judge_captures(pages, entries).collect())
+    assert found == [(1, "example.org/Wiki/", True), (2, None, False)]

@@ -52,10 +52,12 @@ def validity(entries: DataFrame) -> DataFrame:
 
     ``entries``: ``rule, action, since``. Of entries of one rule and instant the one whose
     action sorts last holds (``block`` over ``allow``); entries with a null rule, action or
-    instant are no entries. The last interval has no end.
+    instant are no entries. Hosts are lower-cased, paths are not. The last interval has no end.
     """
     known = entries.where("rule is not null and action is not null and since is not null")
-    one = known.groupBy(F.lower("rule").alias("rule"), "since").agg(F.max("action").alias("action"))
+    host = F.substring_index("rule", "/", 1)
+    rule = F.concat(F.lower(host), F.col("rule").substr(F.length(host) + 1, F.length("rule")))
+    one = known.groupBy(rule.alias("rule"), "since").agg(F.max("action").alias("action"))
     following = F.lead("since").over(Window.partitionBy("rule").orderBy("since"))
     return one.select("rule", "action", F.col("since").alias("valid_from"), following.alias("valid_to"))
 
@@ -70,31 +72,19 @@ def judge_captures(
     host and no rules; without a fetch time no rule is in force. Null ids and repeated rows
     stay; other columns are not read. Empty tables give no rows, or no rules in force.
 
-    URLs that repeat with their time are judged once. The intervals of a rule (edits of a list:
-    few, one for each instant) travel as one row, so each key of a URL meets one row at most,
-    and Spark can split the side that a hot host fills.
+    URLs that repeat with their time are judged once. The intervals of a rule are rows of
+    their own, of which a key of a URL meets one in force at most, and Spark can split the side
+    that a hot host or a rule with many entries fills.
     """
     # A table of its own: beside an aggregate Spark does not split the keys of a hot site.
-    intervals = written(
-        validity(entries)
-        .groupBy("rule")
-        .agg(F.collect_list(F.struct("valid_from", "valid_to", "action")).alias("intervals")),
-        "intervals",
-    )
+    intervals = written(validity(entries), "intervals")
     rows = captures.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched")
     )
     asked = rows.where("url is not null and fetched is not null").select("url", "fetched").distinct()
     keyed = asked.select("url", "fetched", F.explode(rule_keys(F.col("url"))).alias("rule"))
-    joined = keyed.join(intervals, "rule")
-    holds = F.filter(
-        "intervals",
-        lambda i: (i["valid_from"] <= F.col("fetched"))
-        & (i["valid_to"].isNull() | (F.col("fetched") < i["valid_to"])),
-    )
-    active = joined.select("url", "fetched", "rule", F.get(holds, F.lit(0))["action"].alias("action")).where(
-        "action is not null"
-    )
+    holds = (F.col("valid_from") <= F.col("fetched")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))
+    active = keyed.join(intervals, "rule").where(holds).select("url", "fetched", "rule", "action")
     # The keys of one URL are prefixes or suffixes of each other: none has another's length.
     best = active.groupBy("url", "fetched").agg(
         F.count(F.lit(1)).alias("n_active"),
