@@ -13,6 +13,7 @@ from tidemark.llm.packing import pack_examples
 from tidemark.llm.quality import fit_quality, held_out, score_quality
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
+from tidemark.llm.source_audit import source_divergence
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import host_of, judge_captures
@@ -245,6 +246,41 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0
 FROM d LEFT JOIN kept USING (r)"""
 
 
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the words of every source differ from those of the others of its language."""
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+           FROM documents),
+o AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + v.v) AS p,
+             1 + 1000000000::HUGEINT * (k.n + 1) // (v.total + v.v) AS q
+      FROM g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+           FROM rows)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity,
@@ -257,6 +293,7 @@ def queries() -> dict[str, Query]:
         "op8_sharding": sharding,
         "op9_decontamination": decontamination,
         "op10_token_counts": counts,
+        "op11_source_divergence": divergence,
     }
 
 
@@ -266,4 +303,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filters": URL_SQL,
         "op6_substring_dedup": SUBSTRING_SQL,
         "op9_decontamination": DECONTAMINATION_SQL,
+        "op11_source_divergence": DIVERGENCE_SQL,
     }
