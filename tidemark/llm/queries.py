@@ -3,13 +3,14 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity as toxic
 from tidemark.llm.decontamination import contamination
 from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_examples
+from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.quality import fit_quality, held_out, score_quality
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
@@ -281,6 +282,46 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORD
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
 
 
+def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, after a tenth of them were made periodic."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", planted("text", "doc_id").alias("text")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted(text_col: str, id_col: str) -> Column:
+    """The text, of a tenth of the ids with words from some place on repeated with a period.
+
+    Without an id the text stays as it is.
+    """
+    h = F.crc32(F.col(id_col).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    text = F.col(text_col)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+        source = lambda i: F.when(i < first, i).otherwise(first + (i - first) % period)
+        new = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, source(i)))
+        return F.when(n > 0, F.concat_ws(" ", new)).otherwise(text)
+
+    # The words are cut once, not once for each use.
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated).getItem(0)).otherwise(text)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity,
@@ -294,6 +335,7 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": decontamination,
         "op10_token_counts": counts,
         "op11_source_divergence": divergence,
+        "op12_periodic_runs": periods,
     }
 
 
