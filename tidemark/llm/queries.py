@@ -12,6 +12,7 @@ from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_examples
 from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.quality import fit_quality, held_out, score_quality
+from tidemark.llm.secret_links import secret_spans
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
 from tidemark.llm.source_audit import source_divergence
@@ -322,6 +323,17 @@ def planted(text_col: str, id_col: str) -> Column:
     return F.when(h % 10 == 0, F.transform(F.array(words), repeated).getItem(0)).otherwise(text)
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, and weak candidates beside complementary parts."""
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    listed = lambda spans: F.concat_ws(",", F.transform(spans, line))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": toxicity,
@@ -336,6 +348,7 @@ def queries() -> dict[str, Query]:
         "op10_token_counts": counts,
         "op11_source_divergence": divergence,
         "op12_periodic_runs": periods,
+        "op13_secret_scans": secrets,
     }
 
 
