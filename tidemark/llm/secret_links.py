@@ -38,10 +38,14 @@ NAMED_ID = re.compile(
 NAMED_SECRET = re.compile(
     rb"""(?i:\b(?:pass|pwd|pin|passphrase|passcode|auth|credentials?|private_?key|signature)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=!@#$%^&*-]{4,})"""
 )
-#: A long word of mixed characters, and where it is for: an address, a host with a port.
+#: A mail address, as a login.
+MAIL = re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: A long word of mixed characters.
 MIXED = re.compile(rb"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Endpoints: an address, a host with a port, a machine's number.
 URL = re.compile(rb"""[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s"'<>]+""")
 HOST = re.compile(rb"(?<![A-Za-z0-9.@-])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}(?![0-9])")
+MACHINE = re.compile(rb"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])")
 
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 _ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier": "identifier", "secret": "secret", "endpoint": "endpoint"}
@@ -66,9 +70,8 @@ def _strong(text: bytes) -> list[tuple[str, int, int]]:
 
 
 def _mixed(word: bytes) -> bool:
-    """Upper-case and lower-case letters and several digits, as in no word of a language."""
-    digits = sum(48 <= b <= 57 for b in word)
-    return digits >= 3 and any(65 <= b <= 90 for b in word) and any(97 <= b <= 122 for b in word)
+    """Upper-case letters, lower-case letters and digits, as in no word of a language."""
+    return all(any(low <= b <= high for b in word) for low, high in (b"AZ", b"az", b"09"))
 
 
 def _weak(text: bytes, strong: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -77,9 +80,11 @@ def _weak(text: bytes, strong: list[tuple[str, int, int]]) -> list[tuple[str, in
     found = [("secret", *s) for s in short]
     found += [("identifier", *m.span()) for m in NAMED_ID.finditer(text)]
     found += [("secret", *m.span()) for m in NAMED_SECRET.finditer(text)]
+    if b"@" in text:
+        found += [("identifier", *m.span()) for m in MAIL.finditer(text)]
     if b"://" in text:
         found += [("endpoint", *m.span()) for m in URL.finditer(text)]
-    found += [("endpoint", *m.span()) for m in HOST.finditer(text)]
+    found += [("endpoint", *m.span()) for pattern in (HOST, MACHINE) for m in pattern.finditer(text)]
     found += [("secret", *m.span()) for m in MIXED.finditer(text) if _mixed(m.group())]
     taken = sorted((s, e) for _, s, e in strong)
     kept, at, last = [], 0, 0
@@ -108,9 +113,11 @@ def _parts_of(text: str, reach: int) -> tuple[list[dict], list[dict]]:
     if not strong and not weak:
         return [], []
     chars = _in_characters(raw)
-    if weak and len({_ROLE[kind] for kind, _, _ in strong + weak}) > 1:
+    # A number without letters may be anything: it is a span, but no part of a credential.
+    able = weak + [s for s in strong if not raw[s[1] : s[2]].isdigit()]
+    if weak and len({_ROLE[kind] for kind, _, _ in able}) > 1:
         breaks = [m.start() for m in _BLANK.finditer(raw)]
-        for kind, start, end in strong + weak:
+        for kind, start, end in able:
             k = np.searchsorted(breaks, start)
             low = chars[breaks[k - 1]] if k else 0
             high = chars[breaks[k]] if k < len(breaks) else chars[-1]
@@ -189,7 +196,8 @@ def secret_spans(
     all and the weak ones with complementary parts in their scope: an ``identifier`` with a
     strong secret, or with a weak one and an endpoint; a ``secret`` with an access key, or with
     a weak identifier and an endpoint; an ``endpoint`` with an identifier and a secret, weak or
-    strong. A weak candidate that overlaps a strong span, or one that starts before it, is none.
+    strong. A weak candidate that overlaps a strong span, or one that starts before it, is none;
+    a ``hex`` span of digits alone (a card, an amount) is no part of a credential.
 
     Null and empty texts have no spans; null ids and repeated rows stay; other columns are not
     read; an empty table gives no rows. Texts are told apart by 128 bits of hashes; each different
