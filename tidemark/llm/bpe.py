@@ -40,6 +40,10 @@ _PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z
 _SPECIAL = re.compile(r"<\|startoftext\|>|<\|endoftext\|>")
 _END = "</w>"
 
+#: Chunks whose ids are kept (twice as many at most, of some 200 bytes): words with and without
+#: the marks behind them, so more than there are pieces.
+_CHUNKS = 500_000
+
 
 def _byte_characters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -63,7 +67,7 @@ class Ids:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._piece = Recent(self._of_piece)
-        self._chunk = Recent(self._of_chunk)
+        self._chunk = Recent(self._of_chunk, _CHUNKS)
 
     def _of_piece(self, piece: str) -> bytes:
         units = piece if piece.isascii() else "".join([_BYTE[b] for b in piece.encode()])

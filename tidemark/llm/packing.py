@@ -3,16 +3,19 @@
 A sequence has three limits at once: tokens, segments (pieces of examples) and loss-bearing
 tokens. The next piece of a sequence is the one with the largest dot product of its demands
 and what the sequence has left, each dimension weighted by its mean demand: a piece that is
-heavy where there is room. If none fits, one is cut to fill the rest. A sequence that no piece
-can fill is cut back to a power of two, so that no sequence needs padding.
+heavy where there is room. The pool is kept in two orders, and of the pieces that fit only the
+longest and those with most loss are compared. If none fits, one is cut to fill the rest. A
+sequence that no piece can fill is cut back to a power of two, so that none needs padding.
 
 Every task packs the rows it reads, with a pool of a bounded number of pieces: no shuffle, and
 one tail of short sequences for each task.
 """
 
+import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from math import inf
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,19 +32,24 @@ POOL = 1024
 _encoders: dict[str, Ids] = {}
 
 
+#: Pieces that fit and are compared by their dot products, from each of two ends.
+COMPARED = 8
+
+
 class Packer:
     """Takes examples one by one; ``ready`` holds the finished pieces."""
 
     def __init__(self, max_tokens: int, max_segments: int, max_loss: int, first_sequence: int = 0):
         if min(max_tokens, max_segments, max_loss) < 1 or max_tokens & (max_tokens - 1):
             raise ValueError("limits are at least 1, and max_tokens is a power of two")
-        self._max = np.array([max_tokens, max_segments, max_loss], dtype=np.float64)
         self._tokens, self._segments, self._loss = max_tokens, max_segments, max_loss
         self._sequence = first_sequence
-        self._demand = np.zeros((POOL + 2, 3))  # 0 tokens: a free place
-        self._piece = [None] * (POOL + 2)
-        self._free = list(range(POOL + 2))
-        self._seen, self._pieces = np.zeros(3), 0
+        # The pool in two orders: (tokens, loss, number) and (loss, tokens, number).
+        self._by_tokens: list[tuple[int, int, int]] = []
+        self._by_loss: list[tuple[int, int, int]] = []
+        self._piece: dict[int, tuple] = {}
+        self._number = 0
+        self._seen_tokens = self._seen_loss = 0
         self.ready: list[tuple] = []
 
     def add(self, key, ids: bytes, plain: int = 0) -> None:
@@ -54,11 +62,11 @@ class Packer:
             start += self._tokens
         if start < n:
             self._put(example, start, n - start)
-        while len(self._piece) - len(self._free) > POOL:
+        while len(self._piece) > POOL:
             self._fill()
 
     def finish(self) -> None:
-        while len(self._free) < len(self._piece):
+        while self._piece:
             self._fill()
 
     @staticmethod
@@ -67,51 +75,62 @@ class Packer:
         return max(0, start + length - max(start, example[3]))
 
     def _put(self, example, start: int, length: int) -> None:
-        if not self._free:
-            # Pieces that a cut back sequence returns may be more than were taken.
-            more = len(self._piece)
-            self._demand = np.concatenate([self._demand, np.zeros((more, 3))])
-            self._free = list(range(more, 2 * more))
-            self._piece += [None] * more
-        at = self._free.pop()
-        self._piece[at] = (example, start, length)
-        demand = np.array([length, 1, self._of(example, start, length)]) / self._max
-        self._demand[at] = demand
-        self._seen += demand
-        self._pieces += 1
-
-    def _take(self, at: int):
-        piece, self._piece[at] = self._piece[at], None
-        self._demand[at] = 0
-        self._free.append(at)
-        return piece
+        loss = self._of(example, start, length)
+        self._number += 1
+        self._piece[self._number] = (example, start, length)
+        insort(self._by_tokens, (length, loss, self._number))
+        insort(self._by_loss, (loss, length, self._number))
+        self._seen_tokens += length
+        self._seen_loss += loss
+
+    def _take(self, tokens: int, loss: int, number: int):
+        del self._by_tokens[bisect_left(self._by_tokens, (tokens, loss, number))]
+        del self._by_loss[bisect_left(self._by_loss, (loss, tokens, number))]
+        return self._piece.pop(number)
+
+    def _best(self, tokens: int, loss: int) -> tuple[int, int, int] | None:
+        """The piece that fits with the largest dot product of demand and room, of the longest
+        ones and of those that bear most loss. Demands are parts of the limits, weighted by
+        their means; every piece is one segment, so that dimension decides nothing here."""
+        by_token = self._seen_tokens * tokens / self._tokens**3
+        by_loss = self._seen_loss * loss / self._loss**3
+        best, most = None, -1.0
+        for pool, turned, room in ((self._by_tokens, False, tokens), (self._by_loss, True, loss)):
+            found = 0
+            for at in range(bisect_right(pool, (room, inf, 0)) - 1, -1, -1):
+                t, w, number = (pool[at][1], pool[at][0], pool[at][2]) if turned else pool[at]
+                if t <= tokens and w <= loss:
+                    score = t * by_token + w * by_loss
+                    if score > most:
+                        best, most = (t, w, number), score
+                    found += 1
+                    if found == COMPARED:
+                        break
+            if best is None:
+                break
+        return best
 
     def _fill(self) -> None:
-        left = np.array([self._tokens, self._segments, self._loss])
-        weight = self._seen / max(self._pieces, 1)
+        tokens, segments, loss = self._tokens, self._segments, self._loss
         chosen = []
-        while left[0] > 0 and left[1] > 0:
-            room = left / self._max
-            fits = (self._demand[:, 0] > 0) & (self._demand <= room + 1e-12).all(axis=1)
-            if fits.any():
-                score = self._demand @ (weight * room)
-                piece = self._take(int(np.argmax(np.where(fits, score, -1.0))))
+        while tokens > 0 and segments > 0 and self._piece:
+            best = self._best(tokens, loss)
+            if best:
+                piece = self._take(*best)
             else:
-                at = int(np.argmax(self._demand[:, 0]))
-                if self._piece[at] is None:
-                    break
-                example, start, length = self._piece[at]
+                longest = self._by_tokens[-1]
+                example, start, length = self._piece[longest[2]]
                 # As many tokens as both limits leave room for.
-                head = min(length, int(left[0]), max(example[3] - start, 0) + int(left[2]))
+                head = min(length, tokens, max(example[3] - start, 0) + loss)
                 if head == 0:
                     break
-                self._take(at)
+                self._take(*longest)
                 piece = (example, start, head)
                 if head < length:
                     self._put(example, start + head, length - head)
             chosen.append(piece)
-            left = left - [piece[2], 1, self._of(*piece)]
-        used = self._tokens - int(left[0])
+            tokens, segments, loss = tokens - piece[2], segments - 1, loss - self._of(*piece)
+        used = self._tokens - tokens
         over = used - (1 << (used.bit_length() - 1))
         while over:
             example, start, length = chosen.pop()
@@ -143,11 +162,13 @@ def pack_examples(
     id_col: str = "doc_id",
     text_col: str = "text",
     prompt_col: str | None = None,
+    checksums: bool = False,
 ) -> DataFrame:
     """Pieces of all examples, placed in sequences.
 
     ``id_col, start, length, ids, loss_tokens, doc_tokens, sequence_id, segment, offset``:
-    ``ids`` are the piece's token ids (little-endian unsigned 32-bit), ``start`` its place in
+    ``ids`` are the piece's token ids (little-endian unsigned 32-bit; with ``checksums`` the
+    column is ``ids_crc32`` instead, their CRC-32), ``start`` its place in
     the example, ``offset`` its place in the sequence. An example is the ids of its prompt
     (which bear no loss), of its text, and ``end_id``.
 
@@ -175,6 +196,8 @@ def pack_examples(
 
     def table(packer: Packer) -> Iterator[pa.RecordBatch]:
         ready, packer.ready = packer.ready, []
+        if checksums:
+            ready = [(*r[:3], zlib.crc32(r[3]), *r[4:]) for r in ready]
         for k in range(0, len(ready), 4096):
             columns = zip(*ready[k : k + 4096])
             yield pa.RecordBatch.from_arrays(
@@ -193,7 +216,7 @@ def pack_examples(
             ("id", to_arrow_type(key_type)),
             ("start", pa.int64()),
             ("length", pa.int64()),
-            ("ids", pa.binary()),
+            ("ids_crc32", pa.int64()) if checksums else ("ids", pa.binary()),
             ("loss_tokens", pa.int64()),
             ("doc_tokens", pa.int64()),
             ("sequence_id", pa.int64()),
@@ -203,7 +226,7 @@ def pack_examples(
     )
     packed = rows.mapInArrow(
         pack,
-        f"id {key_type.simpleString()}, start long, length long, ids binary, loss_tokens long, "
+        f"id {key_type.simpleString()}, start long, length long, {'ids_crc32 long' if checksums else 'ids binary'}, loss_tokens long, "
         "doc_tokens long, sequence_id long, segment int, offset long",
     )
     return packed.withColumnRenamed("id", id_col)

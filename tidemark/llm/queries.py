@@ -38,16 +38,8 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    pieces = pack_examples(docs, public_tokenizers.path(TOKENIZER))
-    return pieces.select(
-        "doc_id",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-    )
+    pieces = pack_examples(docs, public_tokenizers.path(TOKENIZER), checksums=True)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
