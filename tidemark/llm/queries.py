@@ -11,11 +11,12 @@ from tidemark.llm.decontamination import contamination
 from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_examples
 from tidemark.llm.periodic_runs import periodic_runs
-from tidemark.llm.quality import fit_quality, held_out, score_quality
+from tidemark.llm.quality import described, fit_described, held_out, score_described
 from tidemark.llm.secret_links import secret_spans
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash_dedup import simhash_groups
 from tidemark.llm.source_audit import source_divergence
+from tidemark.llm.storage import written
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import host_of, judge_captures
@@ -174,9 +175,9 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels are learnt from rows that are not held out."""
-    docs = table(spark, sf_dir, "documents")
-    model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out())
-    return score_quality(docs, model).select(
+    rows = written(described(table(spark, sf_dir, "documents")), "features")
+    model = fit_described(rows, table(spark, sf_dir, "labels"), ~held_out())
+    return score_described(rows, model).select(
         "doc_id",
         held_out().alias("held_out"),
         "score",

@@ -11,12 +11,13 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label_col: str, allowed: Column, most: int, id_col: str, text_col: str
+    docs: DataFrame, labels: DataFrame, label_col: str, allowed: Column, most: int, id_col: str, value: Column, name: str
 ) -> DataFrame:
-    """``id, label, text`` of at most ``most`` labelled rows for which ``allowed`` holds.
+    """``id, label, name`` of at most ``most`` labelled ids for which ``allowed`` holds, one row
+    for each: of a repeated id the row with the least ``value``.
 
-    The rows with the smallest hash of their id, so the same ones in every run. The ids are
-    few by construction and are sent to the texts, which are not shuffled.
+    The ids with the smallest hash, so the same ones in every run. They are few by construction
+    and are sent to the rows, which are not shuffled.
     """
     picked = (
         labels.where(allowed & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -25,12 +26,12 @@ def labelled_sample(
         .orderBy(F.xxhash64("id"), "id")
         .limit(most)
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "id")
+    rows = docs.select(F.col(id_col).alias("id"), value.alias(name))
+    return rows.join(F.broadcast(picked), "id").groupBy("id", "label").agg(F.min(name).alias(name))
 
 
-def unlabelled_sample(docs: DataFrame, allowed: Column, most: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, text`` of at most ``most`` rows of ``docs``, whatever their labels."""
+def unlabelled_sample(docs: DataFrame, allowed: Column, most: int, id_col: str, value: Column, name: str) -> DataFrame:
+    """``id, name`` of at most ``most`` ids of ``docs``, whatever their labels; one row for each."""
     picked = (
         docs.where(allowed & F.col(id_col).isNotNull())
         .select(F.col(id_col).alias("id"))
@@ -38,5 +39,5 @@ def unlabelled_sample(docs: DataFrame, allowed: Column, most: int, id_col: str,
         .orderBy(F.xxhash64("id"), "id")
         .limit(most)
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "id")
+    rows = docs.select(F.col(id_col).alias("id"), value.alias(name))
+    return rows.join(F.broadcast(picked), "id").groupBy("id").agg(F.min(name).alias(name))

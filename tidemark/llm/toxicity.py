@@ -220,7 +220,8 @@ def fit_toxicity(
     calibration. Without both labels among the rows every score is 0.
     """
     allowed = F.lit(True) if allowed is None else allowed
-    rows = written(labelled_sample(docs, labels, label_col, allowed, sample, id_col, text_col), "toxicity")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = written(labelled_sample(docs, labels, label_col, allowed, sample, id_col, text, "text"), "toxicity")
     part = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(3))
     train, rest = rows.where(part > 0), rows.where(part == 0)
     if train.select("label").distinct().count() < 2 or rest.select("label").distinct().count() < 2:
