@@ -205,10 +205,10 @@ def test_permutation(n):
     assert sorted(places) == list(rows) and (row_at(places, n, 5) == rows).all()
 
 
-@pytest.mark.parametrize("most", [1 << 22, -1])
-def test_winnowing(spark, supplied, docs, texts, most, monkeypatch):
-    """With the benchmark broadcast and not; with items shorter than a window."""
-    monkeypatch.setattr(winnow, "BROADCAST_BYTES", most)
+@pytest.mark.parametrize("bits", [1 << 20, 64])
+def test_winnowing(spark, supplied, docs, texts, bits, monkeypatch):
+    """With a bitmap that tells marks apart and with a full one; with items shorter than a window."""
+    monkeypatch.setattr(winnow, "BITS", bits)
     items = supplied("benchmark").union(spark.createDataFrame([(900, "The and"), (901, "of"), (902, "!"), (903, None)], "item_id long, text string"))
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
