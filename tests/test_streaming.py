@@ -159,3 +159,82 @@ def test_state_that_expires(spark, path, state):
         ("kept", 9, 1830), ("tied", 2, 1860),
     ]
     assert aside == ["none"]
+
+
+def event_files(spark, folder, batches, start=1_700_000_000):
+    """One file per batch of ``stream, offset, seconds, op, seq``."""
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(
+            [("p", k, o, None if t is None else start + t, op, seq) for k, o, t, op, seq in rows],
+            "pipeline_id string, stream_id string, offset_num long, t long, op string, seq long",
+        ).withColumn("updated_at", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(f"{folder}/{n}")
+
+
+TIMED = "pipeline_id string, stream_id string, offset_num long, op string, seq long, updated_at timestamp"
+
+
+@pytest.mark.parametrize("fold_every", [None, 2])
+def test_wheel_keeps_what_is_live_and_no_more(spark, path, state, fold_every):
+    """A stream past the time to live: late saves, deletes, an end that comes before an earlier one."""
+    start, ttl = 1_700_000_000, 1800
+    batches = [
+        [("kept", 1, 0, "save", 1), ("tied", 1, 60, "save", 2), ("gone", 1, 60, "save", 3), ("back", 1, 600, "save", 9)],
+        [("tied", 2, 60, "save", 5), ("gone", 2, 90, "delete", 6), ("kept", 9, 30, "save", 4), ("back", 2, 30, "save", 10)],
+        [("tied", 7, 300, "save", 4), ("over", 1, -5000, "save", 8), ("gone", 3, 80, "save", 2)],
+        [("late", 1, 2000, "save", 20)],
+        [("late", 2, 9000, "save", 21), ("new", 1, 8000, "save", 22)],
+    ]
+    wheel = streaming.ExpiryWheel(spark, f"{path}/wheel", step_seconds=60)
+    event_files(spark, f"{path}/source", batches)
+
+    def held(at):
+        now = F.timestamp_seconds(F.lit(start + at))
+        return sorted((r.stream_id, r.offset_num) for r in wheel.live(now).collect())
+
+    def run(n):
+        stream = spark.readStream.schema(TIMED).parquet(f"{path}/source/[0-{n}]")
+        run_to_end(streaming.wheel_state(stream, wheel, ttl, state, fold_every=fold_every))
+
+    for n in (0, 1, 2, 2):
+        run(n)
+    assert held(1000) == [("back", 2), ("kept", 9), ("tied", 2)]
+    # The last event of "back" ends before the one it replaced, which must not show again.
+    assert held(1840) == [("tied", 2)] and held(1900) == []
+    run(3)
+    assert held(2000) == [("late", 1)]
+    run(4)
+    assert held(9000) == [("late", 2), ("new", 1)]
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/wheel")
+    assert sorted(r.stream_id for r in stored.collect()) == ["late", "new"]
+
+
+def test_wheel_batches_that_come_again(spark, path):
+    """Also one that has replaced the folders it was made of."""
+    rows = lambda n: spark.sql(
+        f"SELECT 'p' AS pipeline_id, 's' || id AS stream_id, {n} AS offset_num, timestamp'2024-01-01' AS updated_at, "
+        f"'save' AS op, {n} AS seq, IF(id = 0, NULL, timestamp'2024-01-02') AS expires_at FROM range({n}, {n + 3})"
+    )
+    wheel = streaming.ExpiryWheel(spark, path)
+    for n in (0, 1, 2, 2):
+        wheel.add(rows(n), n, whole=n == 2)
+    assert sorted((r.stream_id, r.offset_num) for r in wheel.events().collect()) == [("s0", 0), ("s1", 1), ("s2", 2), ("s3", 2), ("s4", 2)]
+    assert wheel.drop_ended("2024-01-01 23:00:00") == 0 and wheel.drop_ended("2025-01-01") == 1
+    assert [r.stream_id for r in wheel.live("2025-01-01").collect()] == ["s0"]
+
+
+@pytest.mark.parametrize("bad", [("k", 1, 0, "save", None), ("k", 1, 0, "remove", 7), (None, 1, 0, "save", 7)])
+@pytest.mark.parametrize("kind", ["upsert", "ttl", "wheel"])
+def test_bad_events_fail_their_batch(spark, path, state, kind, bad):
+    """Also where a good event of the same key comes later."""
+    event_files(spark, f"{path}/source", [[bad, ("k", 2, 60, "save", 9)]])
+    stream = spark.readStream.schema(TIMED).parquet(f"{path}/source/0")
+    table = ProgressTable(spark, f"{path}/table")
+    wheel = streaming.ExpiryWheel(spark, f"{path}/wheel")
+    start = {
+        "upsert": lambda: streaming.stream_upsert(stream, table, state),
+        "ttl": lambda: streaming.ttl_state(stream, table, 60, state),
+        "wheel": lambda: streaming.wheel_state(stream, wheel, 60, state),
+    }[kind]
+    with pytest.raises(Exception, match="an event"):
+        run_to_end(start())
+    assert not table.batches() and wheel.events().count() == 0

@@ -1,7 +1,7 @@
 """Streaming twins of the operators.  Each returns a writer or a DataFrame; callers start it."""
 
 from tidemark.streaming.events import change_events
-from tidemark.streaming.expiring import live_state, ttl_state
+from tidemark.streaming.expiring import ExpiryWheel, live_state, ttl_state, wheel_state
 from tidemark.streaming.sinks import (
     latest_stream,
     resume_stream,
@@ -12,6 +12,7 @@ from tidemark.streaming.sinks import (
 )
 
 __all__ = [
+    "ExpiryWheel",
     "live_state",
     "change_events",
     "latest_stream",
@@ -21,4 +22,5 @@ __all__ = [
     "stream_upsert",
     "track",
     "ttl_state",
+    "wheel_state",
 ]

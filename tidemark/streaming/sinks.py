@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark.operators.lookups import resume
 from tidemark.plans import latest_rows
 from tidemark.schema import KEY_COLS
-from tidemark.table import ProgressTable
+from tidemark.table import ProgressTable, checked
 
 
 def stream_to(
@@ -41,11 +41,11 @@ def stream_upsert(
     A micro-batch is cut to the last event per key and written beside the earlier
     ones: the cost is that of the batch, not of the table.  Its place is named after
     the query and the batch number, so a batch that runs again replaces itself.
-    ``compact_every`` folds the batches into a snapshot now and then.
+    An event that ``ProgressTable.append`` would refuse fails its batch.  ``compact_every`` folds the batches into a snapshot now and then.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last = latest_rows(batch, table.key_cols, ["seq"])
+        last = latest_rows(checked(batch, table.key_cols), table.key_cols, ["seq"])
         table.save(last, batch_id, _writer_name(batch))
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()

@@ -16,7 +16,7 @@ A batch or snapshot counts once Spark has put its ``_SUCCESS`` file there.
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,22 @@ from tidemark.sources.tables import write_sorted
 Narrowing = Callable[[DataFrame], DataFrame]
 
 
+def checked(events: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """The events as they are, rows without ``op`` as saves; one that lacks its key, its place in
+    the order or a known kind fails the query.  Check before cutting events to the last ones:
+    a cut drops what has no order without a word."""
+    if "op" not in events.columns:
+        events = events.withColumn("op", F.lit(SAVE))
+    sound = F.lit(True)
+    for name in [*key_cols, "seq", "op"]:
+        message = F.raise_error(F.lit(f"an event without {name}")).cast("boolean")
+        sound = F.when(F.col(name).isNull(), message).otherwise(sound)
+    known = F.col("op").isin(SAVE, DELETE)
+    message = F.concat(F.lit("an event of the unknown kind "), F.col("op"))
+    sound = F.when(F.col("op").isNotNull() & ~known, F.raise_error(message).cast("boolean")).otherwise(sound)
+    return events.where(sound)
+
+
 class ProgressTable:
     """Saves, deletes and lookups in bulk.  One process writes at a time."""
 
@@ -136,7 +152,7 @@ class ProgressTable:
         target = f"{self.path}/batch/{writer}/batch_id={name}"
         if batch_id is not None and self._complete(target):
             return
-        events.select(*columns).where(self._sound()).write.mode("overwrite").parquet(target)
+        checked(events.select(*columns), self.key_cols).write.mode("overwrite").parquet(target)
         self._mark_complete(target)
 
     def update_offset(
@@ -276,17 +292,6 @@ class ProgressTable:
         if not self._complete(path):
             self._write_text(f"{path}/_SUCCESS", "")
 
-    def _sound(self) -> Column:
-        """True, or an error that names what an event lacks."""
-        check = F.lit(True)
-        for name in [*self.key_cols, "seq", "op"]:
-            check = F.when(
-                F.col(name).isNull(), F.raise_error(F.lit(f"an event without {name}")).cast("boolean")
-            ).otherwise(check)
-        known = F.col("op").isin(SAVE, DELETE)
-        message = F.concat(F.lit("an event of the unknown kind "), F.col("op"))
-        return F.when(F.col("op").isNotNull() & ~known, F.raise_error(message).cast("boolean")).otherwise(check)
-
     def _folded(self, version: int) -> list[str]:
         location = self._hadoop_path(f"{self.path}/folded/version={version}")
         stream = self._file_system(location).open(location)

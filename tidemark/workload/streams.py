@@ -13,18 +13,20 @@ from tidemark.workload.lookups import RESUMED, source, stopped
 from tidemark.workload.registry import query
 
 
-#: Micro-batches of each stream.
-FILES = 5
+#: Micro-batches of each stream, and files of each.
+BATCHES = 5
+FILES = 8
 
 
 def event_stream(spark, sf_dir):
-    # Cut into files by a remainder of the number, so that each micro-batch (one file)
-    # holds events from all over the order.
+    # Numbered by a remainder of the event's number, so that each micro-batch holds events from
+    # all over the order; a batch is several files, each the work of a task of its own.
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     path = scratch_path(spark, "arrivals")
-    part = F.pmod(F.col("event_id"), F.lit(FILES))
-    events.repartitionByRange(FILES, part).sortWithinPartitions("event_id").write.parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    batch = F.pmod(F.col("event_id"), F.lit(BATCHES))
+    spread = batch * FILES + F.pmod(F.xxhash64("event_id"), F.lit(FILES))
+    events.repartitionByRange(BATCHES * FILES, spread).write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def run_to_end(writer) -> None:
@@ -113,12 +115,11 @@ WITH {EV_STATE}, now AS (SELECT max(ts) AS last FROM events)
 SELECT pipeline_id, stream_id, offset_num, updated_at + INTERVAL 172800 SECOND AS expires_at
 FROM ev_state, now WHERE updated_at + INTERVAL 172800 SECOND > now.last""")
 def _(spark, sf_dir):
-    table = ProgressTable(spark, scratch_path(spark, "progress"))
+    wheel = streaming.ExpiryWheel(spark, scratch_path(spark, "wheel"), step_seconds=21600)
     log = as_event_log(event_stream(spark, sf_dir))
-    run_to_end(streaming.ttl_state(log, table, 172800, scratch_path(spark, "state"), compact_every=2))
+    run_to_end(streaming.wheel_state(log, wheel, 172800, scratch_path(spark, "state"), fold_every=2))
     now = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts").cast("timestamp").alias("at"))
-    live = streaming.live_state(table, now.scalar())
-    return live.select("pipeline_id", "stream_id", "offset_num", "expires_at")
+    return wheel.live(now.scalar()).select("pipeline_id", "stream_id", "offset_num", "expires_at")
 
 
 _CHANGE_EVENTS = f"""WITH {EV_LOG}
