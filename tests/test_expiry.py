@@ -36,6 +36,32 @@ def test_kept_and_purged_make_up_the_table(table, rows_of, boundary):
     assert rows_of(kept.unionByName(purged)) == rows_of(table)
 
 
+@pytest.mark.parametrize("boundary", ["expired", "live"])
+def test_purged_in_one_pass(spark, table, rows_of, path, boundary):
+    kept, purged, counts = ops.write_purged(table, path, NOW, boundary)
+    for found, expected in zip((kept, purged), ops.purge_expired(table, NOW, boundary)):
+        assert found.columns == table.columns and rows_of(found) == rows_of(expected)
+    assert counts == {"kept": kept.count(), "purged": purged.count()}
+    # Each of the two reads its own folder.
+    plan = purged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(expired" in plan
+    with pytest.raises(ValueError):
+        ops.write_purged(ops.mark_expired(table, NOW), path, NOW)
+
+
+def test_purging_reads_the_table_once(spark, table, path):
+    source, seen = f"{path}/table", spark.sparkContext.accumulator(0)
+    table.repartition(1).write.parquet(source)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ops.write_purged(spark.read.parquet(source).mapInArrow(look, table.schema), f"{path}/out", NOW)
+    assert seen.value == 4
+
+
 def test_list_live(table):
     assert streams(ops.list_live(table, NOW)) == {"never", "future"}
     assert streams(ops.list_live(table, NOW, ("pipeline_id", "pipe2"))) == {"future"}

@@ -3,7 +3,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark import operators as ops
+from tidemark.plans import latest, scratch_path
 from tidemark.workload import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,3 +71,70 @@ def test_one_plan_for_every_n(spark):
         n: all_queries()[n](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().count("Window [") for n in names
     }
     assert set(windows.values()) == {1}
+
+
+@pytest.fixture
+def hot(spark):
+    """A log in which one stream has two thirds of the rows, beside settings that make a third
+    of a megabyte a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    path = scratch_path(spark, "hot")
+    spark.range(0, 200_000, 1, 8).selectExpr(
+        "'p' AS pipeline_id", "IF(id % 3 < 2, 'hot', concat('s', id % 500)) AS stream_id", "id AS offset_num",
+        "CAST(id AS STRING) AS offset_json", "id AS seq", "timestamp_seconds(id) AS updated_at", "sha2(CAST(id AS STRING), 256) AS pad",
+    ).write.parquet(path)
+    yield spark.read.parquet(path)
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+KEYS = ["pipeline_id", "stream_id"]
+
+BESIDE_AN_AGGREGATE = {
+    "resume": lambda log, changes: ops.resume(log, ops.latest_by_arrival(changes), "offset_num"),
+    "upsert": lambda log, changes: ops.upsert(log.drop("seq"), changes),
+    "replace_all": lambda log, changes: ops.replace_all(log.drop("seq"), changes),
+    "merge_columns": lambda log, changes: ops.merge_columns(log.drop("seq"), changes, ["offset_num"]),
+    "update_offset": lambda log, changes: ops.update_offset(log.drop("seq"), changes, "2024-01-01"),
+    "delete_keys": lambda log, changes: ops.delete_keys(log, changes.select(*KEYS).distinct()),
+    "keep_last_n": lambda log, changes: ops.keep_last_n(log, n=50_000, spread=True),
+}
+
+
+@pytest.mark.parametrize("name", BESIDE_AN_AGGREGATE)
+def test_hot_keys_are_split_beside_an_aggregate(spark, hot, rows_of, name):
+    changes = hot.where("seq % 50 = 0").select(*KEYS, "offset_num", "offset_json", "seq")
+    found = BESIDE_AN_AGGREGATE[name](hot, changes)
+    split = rows_of(found)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert split == rows_of(BESIDE_AN_AGGREGATE[name](hot, changes))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_only_the_edge_of_the_newest_rows_is_numbered(hot, monkeypatch):
+    numbered = []
+
+    def count_first(rows, *args):
+        numbered.append(rows.groupBy("stream_id").count().agg(F.max("count")).first()[0])
+        return whole(rows, *args)
+
+    whole = latest._numbered
+    monkeypatch.setattr(latest, "_numbered", count_first)
+    found = ops.keep_last_n(hot, n=50_000, spread=True)
+    assert found.count() == found.select("seq").distinct().count() == 50_000 + 200_000 // 3
+    # A cell is the order's span by 2 to the power of 16, rounded up to a power of two.
+    assert len(numbered) == 1 and 0 < numbered[0] <= 4

@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 from tidemark.plans import newest_rows
@@ -126,3 +129,19 @@ def test_ordered_and_limited_lists(spark):
     assert [r.k for r in ops.ordered_list(table, ["k"]).collect()] == ["a", "b", "c"]
     assert [r.k for r in ops.limited_list(table, 2, ["n"]).collect()] == ["c", "a"]
     assert ops.list_all(table).count() == 3
+
+
+@pytest.mark.parametrize("n", [1, 1001, 2500, 100_000])
+def test_newest_rows_by_selection(spark, rows_of, n):
+    """Against numbering: uneven keys and orders, negative and repeated numbers, keys with nulls."""
+    log = spark.sql("""
+        SELECT IF(id % 2 = 0, 'hot', IF(id % 11 = 1, NULL, concat('s', id % 3))) AS stream_id, 'p' AS pipeline_id,
+               CASE WHEN id = 7 THEN 9223372036854775807 WHEN id = 9 THEN -9223372036854775808
+                    ELSE id * id - 5000 END AS seq, id
+        FROM range(0, 6000, 1, 4)""")
+    for rows in (log, log.where("id not in (7, 9)"), log.where("false"), log.withColumn("seq", F.col("id").cast("int"))):
+        number = F.row_number().over(Window.partitionBy("pipeline_id", "stream_id").orderBy(F.desc("seq")))
+        expected = rows.withColumn("_n", number).where(F.col("_n") <= n).drop("_n")
+        found = newest_rows(rows, ["pipeline_id", "stream_id"], ["seq"], n, spread=True)
+        assert found.columns == rows.columns
+        assert rows_of(found, "id") == rows_of(expected, "id")

@@ -25,7 +25,14 @@ from tidemark.operators.codec import (
     with_copied_column,
     with_payload_column,
 )
-from tidemark.operators.expiry import list_live, live, mark_expired, purge_expired, stamp_expiry
+from tidemark.operators.expiry import (
+    list_live,
+    live,
+    mark_expired,
+    purge_expired,
+    stamp_expiry,
+    write_purged,
+)
 from tidemark.operators.filters import (
     by_group,
     by_key,
@@ -95,4 +102,5 @@ __all__ = [
     "with_key",
     "with_payload_column",
     "with_stable_id",
+    "write_purged",
 ]

@@ -1,7 +1,8 @@
 """Expiry.  A row without ``expires_at`` never expires."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import moment
 
@@ -45,13 +46,35 @@ def purge_expired(
 ) -> tuple[DataFrame, DataFrame]:
     """The table without its expired rows, and those rows: ``(kept, purged)``.
 
-    Writing both computes the table twice; :func:`mark_expired` gives it once, to be
-    written by the flag.
+    Writing both computes the table twice; :func:`write_purged` computes it once.
     """
     alive = _alive(as_of, boundary)
     return table.where(alive), table.where(~alive)
 
 
+def write_purged(
+    table: DataFrame, path: str, as_of, boundary: str = "expired"
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Write a table with its expired rows apart, in one pass: ``(kept, purged, counts)``.
+
+    The rows go to ``path/expired=false`` and ``path/expired=true``; the two tables read one
+    folder each.  ``counts`` holds the numbers of rows ``kept`` and ``purged``, counted while
+    they were written.
+    """
+    name = "expired"
+    if name in table.columns:
+        raise ValueError(f"the table has a column {name!r} of its own")
+    seen = Observation()
+    marked = mark_expired(table, as_of, boundary).observe(
+        seen,
+        F.count(F.when(~F.col(name), 1)).alias("kept"),
+        F.count(F.when(F.col(name), 1)).alias("purged"),
+    )
+    marked.write.mode("overwrite").partitionBy(name).parquet(path)
+    stored = table.sparkSession.read.schema(T.StructType([*table.schema, T.StructField(name, T.BooleanType())])).parquet(path)
+    return stored.where(~F.col(name)).drop(name), stored.where(F.col(name)).drop(name), dict(seen.get)
+
+
 def list_live(
     table: DataFrame,
     as_of,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans import narrow_to_keys
+from tidemark.plans import narrow_to_keys, own_stage
 from tidemark.schema import KEY_COLS
 
 
@@ -52,14 +52,17 @@ def resume(
     Offsets must be numbers; text has no order and is refused.
 
     ``table`` has one row per key.  Adaptive execution splits a stream that holds a large
-    part of the source over several tasks.
+    part of the source over several tasks, also where the table is an aggregate.
     """
     if not isinstance(source.schema[offset_col].dataType, T.IntegralType):
         raise TypeError(f"offset column {offset_col!r} is not a whole number and has no order")
     position = [F.col("offset_num").alias("_read_up_to")]
     if "offset_json" in table.columns:
         position.append(F.nullif("offset_json", F.lit("null")).alias("_offset_text"))
-    joined = source.join(table.select(*key_cols, *position), list(key_cols), "left")
+    offsets = table.select(*key_cols, *position)
+    if not source.isStreaming:
+        offsets = own_stage(offsets)
+    joined = source.join(offsets, list(key_cols), "left")
     from_start = F.lit(True)
     if "offset_json" in table.columns:
         refusal = F.concat(F.lit("no order to resume after offset "), F.col("_offset_text"))

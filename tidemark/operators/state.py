@@ -35,10 +35,18 @@ def latest_by_version(
 
 
 def keep_last_n(
-    log: DataFrame, key_cols: Sequence[str] = KEY_COLS, n: int = 1, seq: str = "seq"
+    log: DataFrame,
+    key_cols: Sequence[str] = KEY_COLS,
+    n: int = 1,
+    seq: str = "seq",
+    spread: bool = False,
 ) -> DataFrame:
-    """The newest ``n`` events of every key: a bounded queue that drops its head."""
-    return newest_rows(log, key_cols, [seq], n)
+    """The newest ``n`` events of every key: a bounded queue that drops its head.
+
+    Set ``spread`` for an ``n`` above Spark's ``windowGroupLimitThreshold`` (1,000) where a key
+    may have more events than one task should sort.
+    """
+    return newest_rows(log, key_cols, [seq], n, spread)
 
 
 def count_checkpoints(table: DataFrame, by: str | Sequence[str] | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Plan-level helpers: size checks, joins on keys, ordered positions, scratch storage."""
 
-from tidemark.plans.joins import join_on_keys
+from tidemark.plans.joins import join_on_keys, own_stage
 from tidemark.plans.latest import latest_rows, newest_rows
 from tidemark.plans.positions import with_position
 from tidemark.plans.scratch import scratch_path, shared_dir
@@ -15,6 +15,7 @@ __all__ = [
     "local_session",
     "narrow_to_keys",
     "newest_rows",
+    "own_stage",
     "path_exists",
     "scratch_path",
     "shared_dir",

@@ -1,11 +1,18 @@
 """The last row, or the last few rows, of every key."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans.joins import own_stage
+
+#: The order is cut into two to the power of this many cells at most.
+_CELL_BITS = 16
+
 _FIXED_WIDTH = (
     T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
     T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType,
@@ -43,20 +50,71 @@ def latest_rows(rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[s
 
 
 def newest_rows(
-    rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], n: int
+    rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], n: int, spread: bool = False
 ) -> DataFrame:
     """The ``n`` rows of every key with the greatest ``order_cols``.
 
     One plan for every ``n``.  Spark turns ``row_number() <= n`` into a limit within each
     task before the shuffle, up to its own threshold for ``n``; beyond that the rows of a
-    key are sorted together, on disk where memory does not do.
+    key are sorted together, on disk where memory does not do.  With ``spread`` they are not:
+    for two more passes, the n-th row of each key is looked for first (see :func:`_selected`).
+    The order is one whole number then.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
+    if not spread:
+        return _numbered(rows, key_cols, order_cols, F.lit(n))
+    if len(order_cols) != 1 or not isinstance(rows.schema[order_cols[0]].dataType, T.IntegralType):
+        raise TypeError(f"{list(order_cols)} is not one whole number")
+    return _selected(rows, list(key_cols), order_cols[0], n)
+
+
+def _numbered(rows: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], most: Column) -> DataFrame:
     number = F.row_number().over(
         Window.partitionBy(*key_cols).orderBy(*[F.col(c).desc() for c in order_cols])
     )
-    return rows.withColumn("_rank", number).where(F.col("_rank") <= n).drop("_rank")
+    return rows.withColumn("_rank", number).where(F.col("_rank") <= most).drop("_rank")
+
+
+def _selected(rows: DataFrame, key_cols: list[str], order: str, n: int) -> DataFrame:
+    """The newest ``n`` by distributed selection.
+
+    The order's range is cut into cells of equal width.  The numbers of rows by key and cell
+    (an aggregate) say in which cell of a key its n-th row lies; the rows of later cells are
+    among the newest, those of earlier ones are not, and only the rows of that one cell are
+    numbered.  A key's rows come together in no task unless they lie in one cell, as they may
+    where the order has gaps thousands of times as wide as its rows' span.
+    """
+    low, high = (f(order).cast("double") for f in (F.min, F.max))
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(high - low + 1)) - _CELL_BITS).cast("int")
+    shift = rows.agg(F.coalesce(bits, F.lit(0))).scalar()
+    cell = F.call_function("shiftright", F.col(order).cast("long"), shift)
+    # Rows without a place in the order come last.
+    cell = F.coalesce(cell, F.lit(-(1 << 63)).cast("long")).alias("_cell")
+    counts = rows.select(*key_cols, cell).groupBy(*key_cols, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    cells = F.sort_array(F.collect_list(F.struct("_cell", "_n")), asc=False)
+
+    def go_on(seen: Column, x: Column) -> Column:
+        reached = seen["above"] + x["_n"] >= n
+        return F.when(seen["cell"].isNotNull(), seen).otherwise(
+            F.struct(
+                F.when(reached, seen["above"]).otherwise(seen["above"] + x["_n"]).alias("above"),
+                F.when(reached, x["_cell"]).alias("cell"),
+            )
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("above"), F.lit(None).cast("long").alias("cell"))
+    edges = counts.groupBy(*key_cols).agg(F.aggregate(cells, start, go_on).alias("_edge"))
+    edges = own_stage(edges).select(
+        *[F.col(c).alias(f"_key_{c}") for c in key_cols],
+        F.col("_edge.cell").alias("_edge"),
+        (F.lit(n) - F.col("_edge.above")).alias("_left"),
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key_cols])
+    placed = rows.select("*", cell).join(edges, same)
+    whole = placed.where(F.col("_edge").isNull() | (F.col("_cell") > F.col("_edge"))).select(*rows.columns)
+    edge = _numbered(placed.where(F.col("_cell") == F.col("_edge")), key_cols, [order], F.col("_left"))
+    return whole.unionByName(edge.select(*rows.columns))
 
 
 def _ordering(rows: DataFrame, order_cols: Sequence[str]) -> Column | None:

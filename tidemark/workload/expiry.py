@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
+from tidemark.plans import scratch_path
 from tidemark.workload.logs import EV_LOG, event_log
 from tidemark.workload.registry import query
 
@@ -68,14 +69,14 @@ def _(spark, sf_dir):
 @query("ttl3_purge_kept", f"""WITH {DAY_TABLE}
 SELECT * FROM ttl_table WHERE expires_at > TIMESTAMP '{AS_OF}'""")
 def _(spark, sf_dir):
-    kept, _ = ops.purge_expired(day_table(spark, sf_dir), AS_OF)
+    kept, _, _ = ops.write_purged(day_table(spark, sf_dir), scratch_path(spark, "purged"), AS_OF)
     return kept
 
 
 @query("ttl3_purge_purged", f"""WITH {DAY_TABLE}
 SELECT * FROM ttl_table WHERE expires_at <= TIMESTAMP '{AS_OF}'""")
 def _(spark, sf_dir):
-    _, purged = ops.purge_expired(day_table(spark, sf_dir), AS_OF)
+    _, purged, _ = ops.write_purged(day_table(spark, sf_dir), scratch_path(spark, "purged"), AS_OF)
     return purged
 
 

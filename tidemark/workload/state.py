@@ -126,7 +126,7 @@ SELECT pipeline_id, stream_id, offset_num, seq FROM (
     FROM ev_log) WHERE n <= 1500""")
 def _(spark, sf_dir):
     log = event_log(spark, sf_dir).select("pipeline_id", "stream_id", "offset_num", "seq")
-    return ops.keep_last_n(log, ["pipeline_id"], n=1500)
+    return ops.keep_last_n(log, ["pipeline_id"], n=1500, spread=True)
 
 
 @query("srt1_ordered_by_time", f"""WITH {EV_STATE}
