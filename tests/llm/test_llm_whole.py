@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup
+from tidemark.llm import embedding_dedup, shingle_dedup, simhash_dedup
 from tidemark.llm.shingle_dedup import node_of, shingle_groups, shingles
 from tidemark.llm.simhash_dedup import keep_one
 from tidemark.llm.url_filter import judge_captures
@@ -58,6 +58,17 @@ def test_one_row_of_each_group_where_an_id_stands_for_two_texts(spark, similarit
     assert kept == [(0, third), (1, first), (1, second)]
 
 
+@pytest.mark.parametrize("similarity", [None, 0.8])
+def test_texts_that_share_a_number_both_stay(spark, monkeypatch, similarity):
+    few = lambda text: F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(7)
+    for module in (shingle_dedup, simhash_dedup):
+        monkeypatch.setattr(module, "node_of", few)
+    rows = [(k, " ".join(f"{k % 30}x{w}" for w in range(40))) for k in range(60)]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string"), similarity=similarity)
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == rows[:30]
+
+
 def test_audit_counts_queries_with_few_links(monkeypatch):
     """A narrow beam that is blind for all but a large tight group."""
 

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -204,10 +204,15 @@ def keep_one(
 
     The row is chosen by id and text, so where one id stands for different texts each component
     still keeps a row. Of rows that repeat both one stays. A row without an id cannot be named:
-    such rows stay, once for each text.
+    such rows stay, once for each text. Texts go by a 64-bit hash among the links; where a second
+    hash tells two of one number apart, both stay.
     """
-    texts = docs.select(F.col(id_col).alias("_id"), node_of(text_col).alias("node"))
-    least = written(texts.groupBy("node").agg(F.min("_id").alias("_least")), "least")
+    check = F.xxhash64(F.lit(1), F.coalesce(F.col(text_col), F.lit("")))
+    texts = docs.select(F.col(id_col).alias("_id"), node_of(text_col).alias("node"), check.alias("check"))
+    one = F.min("check") == F.max("check")
+    least = written(texts.groupBy("node").agg(F.min("_id").alias("_least"), one.alias("one")), "least")
+    shared = written(least.where(~F.col("one")).select(F.col("node").alias("_shared")), "shared")
+    least = least.drop("one")
     if similarity is None:
         copies = docs.select(node_of(text_col).alias("node"), F.col(text_col).alias("text"))
         groups = simhash_groups(copies, "node", "text").select("node", F.col("component_id").alias("root")).distinct()
@@ -219,6 +224,12 @@ def keep_one(
     named = named.select(F.col("first._least").alias("_keep"), F.col("first.node").alias("_node"))
     marked = docs.withColumn("_text_node", node_of(text_col))
     chosen = (marked[id_col] == named["_keep"]) & (marked["_text_node"] == named["_node"])
-    kept = marked.join(named, chosen, "left_semi").dropDuplicates([id_col, "_text_node"]).drop("_text_node")
+    alone = F.col("_text_node") == F.col("_shared")
+    kept = marked.join(named, chosen, "left_semi").join(shared, alone, "left_anti")
+    kept = kept.dropDuplicates([id_col, "_text_node"]).drop("_text_node")
+    # Texts that share a number with another one, of which there are next to none.
+    number = F.row_number().over(Window.partitionBy("_text_node", "_text_check").orderBy(id_col)).alias("_rank")
+    apart = marked.where(F.col(id_col).isNotNull()).join(shared, alone, "left_semi").withColumn("_text_check", check)
+    kept = kept.unionByName(apart.select("*", number).where("_rank = 1").select(*docs.columns))
     nameless = docs.where(F.col(id_col).isNull()).dropDuplicates([text_col])
     return kept.unionByName(nameless)
