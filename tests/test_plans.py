@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
+from tidemark import streaming
+from tidemark import ProgressTable
 from tidemark.plans import latest, scratch_path
 from tidemark.workload import all_queries
+from tidemark.workload.streams import run_to_end
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -138,3 +141,43 @@ def test_only_the_edge_of_the_newest_rows_is_numbered(hot, monkeypatch):
     assert found.count() == found.select("seq").distinct().count() == 50_000 + 200_000 // 3
     # A cell is the order's span by 2 to the power of 16, rounded up to a power of two.
     assert len(numbered) == 1 and 0 < numbered[0] <= 4
+
+
+def test_a_hot_stream_is_split_in_its_batch(spark, hot):
+    """Its offsets come from an aggregate that is not broadcast."""
+    path = scratch_path(spark, "arrivals")
+    hot.select(*KEYS, "offset_num", "pad").write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    table = hot.where("seq % 50 = 0").groupBy(*KEYS).agg((F.max("offset_num") / 2).cast("long").alias("offset_num"))
+    plans, counts = [], []
+
+    def write(unread, batch_id):
+        counts.append(len(unread.collect()))
+        plans.append(unread._jdf.queryExecution().executedPlan().toString())
+
+    run_to_end(streaming.resume_to(stream, table, "offset_num", write, scratch_path(spark, "state")))
+    assert "SortMergeJoin(skew=true)" in plans[0]
+    assert sum(counts) == ops.resume(spark.read.parquet(path), table, "offset_num").count()
+
+
+def rows_scanned(df):
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_absent_keys_read_no_row_group(spark, path):
+    """A key between the smallest and the largest of its file, in a column without a dictionary."""
+    rows = spark.range(0, 100_000, 1, 4).selectExpr(
+        "'p' AS pipeline_id", "sha2(CAST(id AS STRING), 256) AS stream_id", "id AS offset_num", "id AS seq",
+    )
+    table = ProgressTable(spark, path)
+    table.save(rows)
+    table.compact()
+    absent, there = F.sha2(F.lit("no number"), 256), F.sha2(F.lit("77"), 256)
+    absent, there = spark.range(1).select(absent, there).first()
+    assert rows_scanned(table.load_key(pipeline_id="p", stream_id=absent)) == 0
+    assert [r.offset_num for r in table.load_key(pipeline_id="p", stream_id=there).collect()] == [77]
+    # It is the filter that does this, not the ranges of the files.
+    plain = spark.read.option("parquet.filter.bloom.enabled", "false").parquet(f"{path}/snapshot/version=0")
+    assert rows_scanned(plain.where(F.col("stream_id") == absent)) > 0

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
-from tidemark import sources
+from tidemark import sources, streaming
+from tidemark.workload.streams import run_to_end
 
 T0 = dt.datetime(2024, 3, 1, 8)
 TABLE = "pipeline_id string, stream_id string, offset_json string, metadata string, created_at timestamp, updated_at timestamp"
@@ -194,3 +195,60 @@ def test_all_key_columns_and_expiry_survive(spark, path):
     good, _ = sources.read_checkpoint_files(spark, path, key_cols=["pipeline_id", "stream_id", "partition"])
     got = sorted((r.partition, r.offset_json, r.expires_at is None) for r in good.collect())
     assert got == [("0", "1", False), ("1", "2", True)]
+
+
+def objects_of(spark, names, offset=1):
+    rows = [(p, k, f"s-{k}", str(offset), offset, '{"a":1}') for p, k in names]
+    return spark.createDataFrame(
+        rows, "pipeline_id string, checkpoint_id string, stream_id string, offset_json string, offset_num long, metadata string"
+    ).withColumns({"created_at": F.lit("2024-01-01").cast("timestamp"), "updated_at": F.lit("2024-01-02").cast("timestamp")})
+
+
+ODD_NAMES = [("pipe 1", "a+b"), ("pipe 1", "50%"), ("pipe 1", "%2F"), ("p{2}", "ключ"), ("p{2}", "x?=*"), ("p{2}", "a.b_c")]
+
+
+def test_objects_are_read_as_they_were_written(spark, path, rows_of):
+    written = objects_of(spark, ODD_NAMES).repartition(3)
+    sources.write_checkpoint_objects(written, path)
+    good, bad = sources.read_checkpoint_files(spark, path, layout="objects")
+    names = ["pipeline_id", "checkpoint_id", "stream_id", "offset_num", "metadata", "created_at", "updated_at"]
+    assert rows_of(good, *names) == rows_of(written, *names) and bad.count() == 0
+    # One object is written again; the others stay.
+    sources.write_checkpoint_objects(objects_of(spark, ODD_NAMES[:1], 7), path)
+    assert rows_of(good, "offset_num") == [(1,)] * 5 + [(7,)]
+    sources.write_checkpoint_objects(written.where("false"), path)
+    assert good.count() == 6
+
+
+@pytest.mark.parametrize("name", [None, "", "a/b", "..", ".hidden", "_hidden"])
+@pytest.mark.parametrize("at", [0, 1])
+def test_objects_that_no_reader_would_find_are_refused(spark, path, name, at):
+    key = ("p", name) if at else (name, "k")
+    with pytest.raises(Exception, match="no object can have"):
+        sources.write_checkpoint_objects(objects_of(spark, [key]), path)
+
+
+def test_new_objects_come_once(spark, path, tmp_path, rows_of):
+    """Over three runs of the stream: odd names, nothing new, new ones beside a bad one."""
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    seen = []
+
+    def run():
+        good, _ = sources.stream_checkpoint_files(spark, path, files_per_batch=4)
+        rows = good.select("pipeline_id", "checkpoint_id", "offset_num")
+        run_to_end(streaming.stream_to(rows, lambda batch, n: seen.append([tuple(r) for r in batch.collect()]), state))
+
+    sources.write_checkpoint_objects(objects_of(spark, ODD_NAMES), path)
+    run()
+    assert [len(rows) for rows in seen] == [4, 2]
+    assert sorted(sum(seen, [])) == sorted((p, k, 1) for p, k in ODD_NAMES)
+    run()
+    assert len(seen) == 2
+    sources.write_checkpoint_objects(objects_of(spark, [("new", "k"), ("p{2}", "k")], 5), path)
+    with open(f"{path}/new/broken.json", "w") as file:
+        file.write("{")
+    run()
+    assert sorted(sum(seen[2:], [])) == [("new", "k", 5), ("p{2}", "k", 5)]
+    _, bad = sources.stream_checkpoint_files(spark, path)
+    run_to_end(streaming.stream_append(bad, out, f"{state}-bad"))
+    assert rows_of(spark.read.parquet(out)) == [("new", "broken", "{")]

@@ -97,6 +97,44 @@ def test_resumed_stream_is_the_resumed_batch(spark, stream, batch, path, state,
     assert rows_of(spark.read.schema(EVENT).parquet(path)) == rows_of(expected)
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_stream_resumed_by_batches_is_the_resumed_batch(spark, stream, batch, path, state, rows_of, adaptive):
+    """Beside an aggregate; one batch fails after it was written, and comes again."""
+    table = batch.where("seq < 200 + length(stream_id) * 40").groupBy("pipeline_id", "stream_id").agg(
+        F.max("offset_num").alias("offset_num")
+    ).where("stream_id <> 's3'")
+    calls = []
+
+    def write(unread, batch_id):
+        unread.write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+        calls.append(batch_id)
+        if calls == [0, 1]:
+            raise RuntimeError("lost")
+
+    def run():
+        run_to_end(streaming.resume_to(stream, table, "offset_num", write, state))
+
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        with pytest.raises(Exception, match="lost"):
+            run()
+        run()
+        assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert calls == [0, 1, 1, 2]
+    expected = ops.resume(batch, table, "offset_num")
+    assert rows_of(spark.read.schema(EVENT).parquet(path).drop("b")) == rows_of(expected)
+
+
+def test_offsets_without_an_order_are_refused_in_batches(spark, stream, state):
+    table = spark.sql("SELECT 'p0' AS pipeline_id, 'hot' AS stream_id, NULL AS offset_num, '\"x\"' AS offset_json")
+    with pytest.raises(Exception, match="no order to resume"):
+        run_to_end(streaming.resume_to(stream, table, "offset_num", lambda rows, n: rows.count(), state))
+    with pytest.raises(Exception, match="has no order"):
+        run_to_end(streaming.resume_to(stream, table, "offset_json", lambda rows, n: rows.count(), f"{state}-2"))
+
+
 def test_latest_stream_is_the_latest_batch(spark, stream, batch, path, state, rows_of):
     def write(rows, batch_id):
         rows.write.mode("overwrite").parquet(f"{path}/b={batch_id}")

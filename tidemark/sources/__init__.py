@@ -1,6 +1,11 @@
 """Reading and writing progress tables and logs."""
 
-from tidemark.sources.files import read_checkpoint_files, write_checkpoint_files
+from tidemark.sources.files import (
+    read_checkpoint_files,
+    stream_checkpoint_files,
+    write_checkpoint_files,
+    write_checkpoint_objects,
+)
 from tidemark.sources.jdbc import jdbc_options, read_jdbc, write_jdbc
 from tidemark.sources.tables import (
     append_log,
@@ -18,7 +23,9 @@ __all__ = [
     "read_jdbc",
     "read_log",
     "read_payload_table",
+    "stream_checkpoint_files",
     "write_checkpoint_files",
+    "write_checkpoint_objects",
     "write_jdbc",
     "write_sorted",
 ]

@@ -1,9 +1,10 @@
 """JSON payload files in a tree with one folder per pipeline."""
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,14 +85,86 @@ def read_checkpoint_files(
         .option("pathGlobFilter", f"*{suffix}")
         .text(root, wholetext=True)
     )
+    return decode_payloads(_named(objects, suffix), "data", mode, extra)
+
+
+def stream_checkpoint_files(
+    spark: SparkSession,
+    path: str,
+    mode: str = "permissive",
+    suffix: str = ".json",
+    key_cols: Sequence[str] = KEY_COLS,
+    files_per_batch: int = 10_000,
+) -> tuple[DataFrame, DataFrame]:
+    """New objects of a tree with one JSON object per file, as streams: ``(good, bad)``.
+
+    The rows are those of :func:`read_checkpoint_files` for the layout ``objects``.  A name is read
+    once: an object that is written anew under its old name does not come again, so writers that
+    change objects must give them new names.  ``files_per_batch`` bounds a micro-batch; what is
+    left comes with the next.
+    """
+    extra = [c for c in key_cols if c not in _HELD and c != "checkpoint_id"]
+    objects = (
+        spark.readStream.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .text(path.rstrip("/"), wholetext=True)
+    )
+    return decode_payloads(_named(objects, suffix), "data", mode, extra)
+
+
+def write_checkpoint_objects(
+    df: DataFrame,
+    path: str,
+    key_col: str = "checkpoint_id",
+    suffix: str = ".json",
+    expiry: str | None = "expires_at",
+    key_cols: Sequence[str] = KEY_COLS,
+) -> None:
+    """Write every row as a JSON object of its own, ``path/<pipeline_id>/<key_col><suffix>``.
+
+    For trees that other tools read; a table of many rows belongs in files of many rows.  Every
+    task writes the objects of its rows, without a shuffle.  A task that runs again writes the
+    same objects again; other objects stay.  A name that is null or empty, holds a slash, or
+    begins with a dot or an underscore, which readers would skip, fails the write.
+    """
+    extra = [c for c in key_cols if c not in (*_HELD, key_col)]
+    expiry = expiry if expiry in df.columns else None
+    objects = encode_payloads(df, "data", extra, expiry).select(
+        _object_name("pipeline_id").alias("folder"), _object_name(key_col).alias("name"), "data"
+    )
+    root = path.rstrip("/")
+    objects.foreachPartition(lambda rows: _put(rows, root, suffix))
+
+
+def _put(rows: Iterable[Row], root: str, suffix: str) -> None:
+    # Local paths are named without a scheme or as Hadoop writes them, with file:/.
+    uri = re.sub(r"^file:/+", "/", root)
+    files, base = FileSystem.from_uri(uri)
+    made = set()
+    for row in rows:
+        if row.folder not in made:
+            files.create_dir(f"{base}/{row.folder}", recursive=True)
+            made.add(row.folder)
+        with files.open_output_stream(f"{base}/{row.folder}/{row.name}{suffix}") as out:
+            out.write(row.data.encode())
+
+
+def _object_name(column: str) -> Column:
+    name = F.col(column).cast("string")
+    refusal = F.raise_error(F.concat(F.lit(f"no object can have the {column} "), F.coalesce(name, F.lit("null"))))
+    return F.when(name.rlike("^[^/._][^/]*$"), name).otherwise(refusal.cast("string"))
+
+
+def _named(objects: DataFrame, suffix: str) -> DataFrame:
+    """Whole files with the names of their folder and their own."""
     steps = F.split(F.col("_metadata.file_path"), "/")
     name = _file_name(F.element_at(steps, -1))
-    named = objects.select(
+    return objects.select(
         _file_name(F.element_at(steps, -2)).alias("pipeline_id"),
         F.substring(name, F.lit(1), F.length(name) - F.lit(len(suffix))).alias("checkpoint_id"),
         F.col("value").alias("data"),
     )
-    return decode_payloads(named, "data", mode, extra)
 
 
 def _file_name(step: Column) -> Column:

@@ -5,6 +5,7 @@ from tidemark.streaming.expiring import ExpiryWheel, live_state, ttl_state, whee
 from tidemark.streaming.sinks import (
     latest_stream,
     resume_stream,
+    resume_to,
     stream_append,
     stream_to,
     stream_upsert,
@@ -17,6 +18,7 @@ __all__ = [
     "change_events",
     "latest_stream",
     "resume_stream",
+    "resume_to",
     "stream_append",
     "stream_to",
     "stream_upsert",

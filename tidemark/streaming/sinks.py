@@ -1,8 +1,9 @@
 """Streams into tables and logs, and streams that start where reading stopped."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -98,11 +99,36 @@ def resume_stream(
 
     A stream-static join.  Restarts of the query itself are covered by its own
     checkpoint; this is for a new query that goes on where an earlier reader stopped.
-    Offsets without an order are refused, as by ``resume``.
+    Offsets without an order are refused, as by ``resume``.  Where a stream is hot and the
+    table is large, use :func:`resume_to`.
     """
     return resume(stream, table, offset_col, key_cols)
 
 
+def resume_to(
+    stream: DataFrame,
+    table: DataFrame,
+    offset_col: str,
+    writer: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    key_cols: Sequence[str] = KEY_COLS,
+) -> DataStreamWriter:
+    """Hand the records that come after their key's offset in ``table`` to ``writer``, batch by batch.
+
+    The rows are those of :func:`resume_stream`.  Each micro-batch is joined as a batch of its own,
+    planned adaptively: the records of a hot stream are split over several tasks, also beside a
+    table that is too large to broadcast.  ``writer`` gets the batch's number and must write
+    before it returns; one that replaces by number is exact.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        # The session is the stream's own copy, in which Spark may have switched this off.
+        with _adaptive(batch.sparkSession):
+            writer(resume(batch, table, offset_col, key_cols), batch_id)
+
+    return stream_to(stream, apply, checkpoint)
+
+
 def latest_stream(
     stream: DataFrame, key_cols: Sequence[str] = KEY_COLS, seq: str = "seq"
 ) -> DataFrame:
@@ -114,6 +140,17 @@ def latest_stream(
     return latest_rows(stream, key_cols, [seq])
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _writer_name(batch: DataFrame) -> str:
     # The identity of the query is kept in its checkpoint and survives restarts.
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

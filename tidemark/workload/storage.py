@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
-from tidemark import sources
+from tidemark import sources, streaming
 from tidemark.plans import scratch_path
 from tidemark.schema import PROGRESS
 from tidemark.table import ProgressTable
@@ -18,6 +18,7 @@ from tidemark.workload.logs import (
     second_half,
 )
 from tidemark.workload.registry import query
+from tidemark.workload.streams import run_to_end
 
 _FIELDS = ["pipeline_id", "stream_id", "offset_json", "offset_num", "metadata", "updated_at"]
 _SQL_FIELDS = "pipeline_id, stream_id, offset_json, offset_num, replace(metadata, ' ', '') AS metadata, updated_at"
@@ -42,6 +43,37 @@ def _(spark, sf_dir):
     return good.select(*_FIELDS)
 
 
+def _objects(spark, sf_dir):
+    """Current rows of two groups of pipelines, each to be written as one object per key."""
+    rows = ops.compact_log(event_log(spark, sf_dir)).withColumn("checkpoint_id", F.col("stream_id"))
+    early = F.col("pipeline_id").isin("click", "view")
+    return rows.where(early), rows.where(~early)
+
+
+@query("src1_read_objects", f"""WITH {EV_STATE}
+SELECT stream_id AS checkpoint_id, {_SQL_FIELDS} FROM ev_state""")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "objects")
+    for rows in _objects(spark, sf_dir):
+        sources.write_checkpoint_objects(rows, path)
+    good, _ = sources.read_checkpoint_files(spark, path, layout="objects")
+    return good.select("checkpoint_id", *_FIELDS)
+
+
+@query("src1_stream_objects", f"""WITH {EV_STATE}
+SELECT stream_id AS checkpoint_id, {_SQL_FIELDS} FROM ev_state""")
+def _(spark, sf_dir):
+    # The stream is stopped and started again between the groups; what it has read does not come again.
+    path, state = scratch_path(spark, "objects"), scratch_path(spark, "state")
+    out = scratch_path(spark, "arrived")
+    for rows in _objects(spark, sf_dir):
+        sources.write_checkpoint_objects(rows, path)
+        good, _ = sources.stream_checkpoint_files(spark, path)
+        arrived = good.select("checkpoint_id", *_FIELDS)
+        run_to_end(streaming.stream_append(arrived, out, state))
+    return spark.read.schema(arrived.schema).parquet(out)
+
+
 @query("src1_read_partitions", """
 SELECT 'user-' || user_id AS stream_id, event_type AS "partition", max(event_id) AS offset_num,
        max(ts) + INTERVAL 3600 SECOND AS expires_at

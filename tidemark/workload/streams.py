@@ -89,6 +89,28 @@ def _(spark, sf_dir):
     return spark.read.schema(source(spark, sf_dir).schema).parquet(path)
 
 
+@query("str3_resume_batches", RESUMED)
+def _(spark, sf_dir):
+    # The offsets are those of an aggregate, computed anew beside each batch.
+    records = event_stream(spark, sf_dir).select(
+        F.col("event_type").alias("pipeline_id"),
+        F.concat(F.lit("user-"), F.col("user_id")).alias("stream_id"),
+        "event_id",
+        "value",
+    )
+    path = scratch_path(spark, "unread")
+
+    def write(unread, batch_id):
+        unread.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    run_to_end(
+        streaming.resume_to(
+            records, stopped(spark, sf_dir), "event_id", write, scratch_path(spark, "state")
+        )
+    )
+    return spark.read.schema(source(spark, sf_dir).schema).parquet(path).drop("batch_id")
+
+
 @query("str4_latest_stream", f"""WITH {EV_LOG}
 SELECT pipeline_id, stream_id, offset_num, op, seq FROM (
     SELECT *, row_number() OVER (PARTITION BY pipeline_id, stream_id ORDER BY seq DESC) AS n
