@@ -9,9 +9,9 @@ T0 = dt.datetime(2024, 3, 1, 8)
 EVENT = "pipeline_id string, stream_id string, offset_json string, offset_num long, metadata string, updated_at timestamp, seq long"
 
 
-@pytest.fixture
-def table(spark, path):
-    return ProgressTable(spark, path)
+@pytest.fixture(params=[None, 5], ids=["ranges", "buckets"])
+def table(spark, path, request):
+    return ProgressTable(spark, path, buckets=request.param)
 
 
 def saves(spark, *rows):
@@ -104,6 +104,7 @@ def test_unfinished_writes_are_not_read(spark, table, path):
     assert state(table) == [("p", "a", 1)]
 
 
+@pytest.mark.parametrize("table", [None], indirect=True)
 def test_a_compacted_table_is_read_without_a_shuffle(spark, table):
     table.save(saves(spark, *[("p", f"s{i}", i, i) for i in range(200)]))
     table.compact()
@@ -184,3 +185,50 @@ def test_batches_without_a_query_are_not_named(spark):
 
     with pytest.raises(RuntimeError):
         _writer_name(spark.range(1))
+
+
+def test_tables_change_their_layout(spark, path):
+    """From ranges to buckets, to more of them, and back; each snapshot is read by its own number."""
+    rows = [("p", f"s{k}", k, k) for k in range(50)]
+    ProgressTable(spark, path).save(saves(spark, *rows))
+    for n, buckets in enumerate([None, 3, 3, 8, None, 2]):
+        table = ProgressTable(spark, path, buckets=buckets)
+        table.save(saves(spark, ("p", f"s{n}", 1000 + n, 1000 + n), ("q", f"t{n}", n, 2000 + n)))
+        table.compact()
+        # A reader that knows of no buckets, and late events of either kind.
+        late = saves(spark, ("p", f"s{n}", 7, 500), ("q", f"t{n}", 8, 500))
+        ProgressTable(spark, path).save(late)
+        held = state(ProgressTable(spark, path))
+        assert held == state(ProgressTable(spark, path, buckets=99))
+        assert [o for p, s, o in held if p == "q"] == list(range(n + 1))
+        assert len(held) == 50 + n + 1 and ("p", f"s{n}", 1000 + n) in held
+        table.vacuum()
+    assert state(ProgressTable(spark, path)) == held
+
+
+def test_buckets_are_read_once_and_stay_where_they_are(spark, path, no_broadcast):
+    table = ProgressTable(spark, path, buckets=6)
+    rows = spark.range(0, 5000, 1, 3).selectExpr(
+        "'p' AS pipeline_id", "concat('s', id) AS stream_id", "id AS offset_num", "id AS seq"
+    )
+    table.save(rows)
+    table.compact()
+    table.save(rows.where("offset_num % 9 = 0").selectExpr("pipeline_id", "stream_id", "-offset_num AS offset_num", "seq + 9000 AS seq"))
+
+    def plan():
+        found = table.read()
+        assert found.where("offset_num < 0").count() == 555
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    text = plan()
+    # One shuffle of the batch for its last events, one into the buckets, none of the snapshot.
+    assert text.count("Bucketed: true") == 1 and text.count("FileScan parquet") == 2
+    assert text.count("Exchange hashpartitioning") == 2
+    snapshot_side = text.split("Exchange")[0]
+    assert "SortMergeJoin" in snapshot_side and "Bucketed: true" in snapshot_side
+    table.compact()
+    files = [f for f in spark.read.parquet(f"{path}/snapshot/version=1").inputFiles()]
+    assert len(files) == 6 and table.batches() == []
+    assert "Exchange" not in plan()
+    table.save(rows.limit(1).selectExpr("pipeline_id", "stream_id", "offset_num", "99999 AS seq"))
+    assert table.read().where("offset_num < 0").count() >= 554

@@ -43,7 +43,10 @@ def ensure_table(
     if buckets:
         keys = ", ".join(f"`{c}`" for c in key_cols)
         clustering = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets)} BUCKETS"
-    place = f" LOCATION '{location}'" if location else ""
+    place = ""
+    if location:
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
+        place = f" LOCATION '{quoted}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{clustering}{place}")
     return spark.table(name)
 

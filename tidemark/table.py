@@ -3,6 +3,7 @@
     <path>/batch/<writer>/batch_id=<n>/      events as they came
     <path>/snapshot/version=<n>/             last event per key, ordered by key
     <path>/folded/version=<n>                names of the batches in that snapshot
+    <path>/buckets/version=<n>               number of its buckets, where it has any
 
 A reader takes the newest complete snapshot and the batches that are not in it yet
 and keeps the last event of every key.  Events carry their order (``seq``), so it
@@ -11,8 +12,13 @@ a snapshot has it, changes nothing.  Deletes stay in the snapshot as events, to
 win over saves that come in late, and are left out on reading.
 
 A batch or snapshot counts once Spark has put its ``_SUCCESS`` file there.
+
+With ``buckets`` a snapshot is bucketed by key, by Spark's own bucketing: reading it beside
+later batches scans it once and shuffles the batches only, and so does the next compaction.
+Without, files hold ranges of keys, which suits lookups of prefixes and ranges better.
 """
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -24,7 +30,7 @@ from tidemark import operators as ops
 from tidemark.functions import moment
 from tidemark.plans import fits_broadcast, latest_rows, narrow_to_keys
 from tidemark.schema import DELETE, KEY_COLS, PROGRESS_LOG, SAVE
-from tidemark.sources.tables import write_sorted
+from tidemark.sources.tables import ensure_table, write_sorted
 
 Narrowing = Callable[[DataFrame], DataFrame]
 
@@ -54,8 +60,11 @@ class ProgressTable:
         path: str,
         key_cols: Sequence[str] = KEY_COLS,
         schema: T.StructType = PROGRESS_LOG,
+        buckets: int | None = None,
     ):
+        """``buckets`` is for the snapshots still to be written; each is read by its own number."""
         self.spark = spark
+        self.buckets = buckets
         self.path = path.rstrip("/")
         self.key_cols = list(key_cols)
         self.schema = schema
@@ -196,7 +205,18 @@ class ProgressTable:
         # The list is there before the snapshot counts as complete.
         self._write_text(f"{self.path}/folded/version={version}", "\n".join(folded))
         target = f"{self.path}/snapshot/version={version}"
-        write_sorted(rows, target, self.key_cols, "overwrite")
+        self._delete(f"{self.path}/buckets/version={version}")
+        if self.buckets is None:
+            write_sorted(rows, target, self.key_cols, "overwrite")
+        else:
+            # What batches were merged into, in buckets of this number, lies in them already.
+            same = newest is not None and self._buckets(newest) == self.buckets
+            merged = same and bool(self.batches())
+            if not merged:
+                rows = rows.repartition(self.buckets, *self.key_cols)
+            self._write_text(f"{self.path}/buckets/version={version}", str(self.buckets))
+            name = self._bucketed(version, self.buckets)
+            rows.select(*self.schema.names).write.insertInto(name, overwrite=True)
         self._mark_complete(target)
 
     def vacuum(self) -> None:
@@ -210,7 +230,12 @@ class ProgressTable:
         for batch in self._folded(newest):
             self._delete(f"{self.path}/batch/{batch}")
         for name in self._children(f"{self.path}/snapshot"):
-            if int(name.split("=")[1]) < newest:
+            version = int(name.split("=")[1])
+            if version < newest:
+                buckets = self._buckets(version)
+                if buckets:
+                    # Its files go with the folder.
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed(version, buckets)}")
                 self._delete(f"{self.path}/snapshot/{name}")
 
     def batches(self) -> list[str]:
@@ -232,8 +257,9 @@ class ProgressTable:
     def _last_events(self, narrow: Narrowing = lambda rows: rows) -> DataFrame:
         """The last event of every key.  ``narrow`` keeps all or no events of a key.
 
-        The snapshot has one event per key already.  Beside small batches only its rows
-        of the keys in them are compared; the others are read and passed on.
+        The snapshot has one event per key already.  One in buckets is read once and meets
+        the batches where it lies.  Otherwise, beside small batches only its rows of the keys
+        in them are compared; the others are read and passed on.
         """
         version, paths = self._newest_snapshot(), self.batches()
         if version is None and not paths:
@@ -241,10 +267,17 @@ class ProgressTable:
         reader = self.spark.read.schema(self.schema)
         if version is None:
             return latest_rows(narrow(reader.parquet(*paths)), self.key_cols, ["seq"])
-        snapshot = narrow(reader.parquet(f"{self.path}/snapshot/version={version}"))
+        buckets = self._buckets(version)
+        if buckets:
+            stored = self.spark.table(self._bucketed(version, buckets))
+        else:
+            stored = reader.parquet(f"{self.path}/snapshot/version={version}")
+        snapshot = narrow(stored)
         if not paths:
             return snapshot
         recent = latest_rows(narrow(reader.parquet(*paths)), self.key_cols, ["seq"])
+        if buckets:
+            return self._later(snapshot, recent.repartition(buckets, *self.key_cols))
         if not fits_broadcast(recent):
             return latest_rows(snapshot.unionByName(recent), self.key_cols, ["seq"])
         touched = recent.select(*self.key_cols)
@@ -252,6 +285,35 @@ class ProgressTable:
         untouched = snapshot.join(touched, self.key_cols, "left_anti")
         return untouched.unionByName(latest_rows(compared, self.key_cols, ["seq"]))
 
+    def _later(self, snapshot: DataFrame, recent: DataFrame) -> DataFrame:
+        """Of both, one row per key, the later one.  Each has one at most."""
+        names = {c: f"_recent_{c}" for c in recent.columns}
+        renamed = recent.withColumnsRenamed(names)
+        same = [snapshot[c] == renamed[names[c]] for c in self.key_cols]
+        changed = F.col(names["seq"]).isNotNull() & (
+            F.col("seq").isNull() | (F.col(names["seq"]) >= F.col("seq"))
+        )
+        return snapshot.join(renamed, same, "full").select(
+            *[F.when(changed, F.col(names[c])).otherwise(F.col(c)).alias(c) for c in snapshot.columns]
+        )
+
+    def _bucketed(self, version: int, buckets: int) -> str:
+        """The name in the catalog of a snapshot in buckets, which is the only way to Spark's
+        bucketing.  The catalog need not outlive the session: the table's files are where all
+        snapshots are."""
+        location = self._hadoop_path(f"{self.path}/snapshot/version={version}")
+        qualified = self._file_system(location).makeQualified(location).toString()
+        digest = hashlib.sha256(qualified.encode()).hexdigest()[:32]
+        name = f"progress_{digest}_{buckets}"
+        ensure_table(self.spark, name, self.key_cols, self.schema, buckets, qualified)
+        return name
+
+    def _buckets(self, version: int) -> int | None:
+        location = self._hadoop_path(f"{self.path}/buckets/version={version}")
+        if not self._file_system(location).exists(location):
+            return None
+        return int(self._read_text(location))
+
     def _all_batches(self) -> list[str]:
         root = f"{self.path}/batch"
         return [
@@ -293,13 +355,15 @@ class ProgressTable:
             self._write_text(f"{path}/_SUCCESS", "")
 
     def _folded(self, version: int) -> list[str]:
-        location = self._hadoop_path(f"{self.path}/folded/version={version}")
+        text = self._read_text(self._hadoop_path(f"{self.path}/folded/version={version}"))
+        return text.split("\n") if text else []
+
+    def _read_text(self, location) -> str:
         stream = self._file_system(location).open(location)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return text.split("\n") if text else []
 
     def _write_text(self, path: str, text: str) -> None:
         location = self._hadoop_path(path)

@@ -60,6 +60,18 @@ def _(spark, sf_dir):
     )
 
 
+@query("str1_stream_upsert_buckets", f"""WITH {EV_STATE}
+SELECT pipeline_id, stream_id, offset_json, offset_num, metadata, updated_at, seq FROM ev_state""")
+def _(spark, sf_dir):
+    # Batches beside a snapshot in buckets, twice folded into it.
+    table = ProgressTable(spark, scratch_path(spark, "progress"), buckets=8)
+    log = as_event_log(event_stream(spark, sf_dir))
+    run_to_end(streaming.stream_upsert(log, table, scratch_path(spark, "state"), compact_every=2))
+    return table.read().select(
+        "pipeline_id", "stream_id", "offset_json", "offset_num", "metadata", "updated_at", "seq"
+    )
+
+
 @query("str2_track", """
 SELECT event_type AS pipeline_id, 'user-' || user_id AS stream_id,
        max(event_id) AS offset_num, max(ts) AS updated_at
