@@ -5,12 +5,13 @@ import itertools
 import numpy as np
 import pytest
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import embedding_dedup, shingle_dedup, simhash_dedup
 from tidemark.llm.shingle_dedup import node_of, shingle_groups, shingles
 from tidemark.llm.simhash_dedup import keep_one
-from tidemark.llm.url_filter import judge_captures
+from tidemark.llm.url_filter import judge_captures, timeline
 
 
 def near_copies(seed=5):
@@ -95,3 +96,51 @@ def test_path_rules_keep_their_case(spark):
     pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("fetched", day)
     found = sorted((r.page_id, r.rule, r.blocked) for r in judge_captures(pages, entries).collect())
     assert found == [(1, "example.org/Wiki/", True), (2, None, False)]
+
+
+def test_long_urls_are_cut_by_position(spark):
+    day = F.lit("2024-01-10").cast("timestamp_ntz")
+    deep = "x.org/" + "a/" * 20_000
+    rules = [("x.org/a/a/", "block"), (deep, "allow"), (deep + "b/", "block"), ("x.org/é/", "block"), ("org", "block")]
+    entries = spark.createDataFrame(rules, "rule string, action string").withColumn("since", day)
+    urls = [
+        (1, "http://" + deep + "c"), (2, "http://x.org/a/a"), (3, "http://x.org/a/a/?q"), (4, "http://x.org/é/ü"),
+        (5, "http://" + "a." * 5000 + "x.org//"), (6, "http://x.org/"),
+    ]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("fetched", day)
+    found = sorted((r.page_id, r.n_active, r.rule) for r in judge_captures(pages, entries).collect())
+    assert found == [(1, 3, deep), (2, 1, "org"), (3, 2, "x.org/a/a/"), (4, 2, "x.org/é/"), (5, 1, "org"), (6, 1, "org")]
+
+
+def test_rules_of_many_entries_are_met_by_time(spark):
+    draw = np.random.default_rng(3)
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    # Entries crowd at the start, as a rule's may; two are at one instant.
+    since = np.unique(np.concatenate([(draw.random(400) ** 6 * 500_000).astype(int), [0, 1, 2, 500_000]])).tolist()
+    listed = [("x.org", ("block", "allow")[k % 2], s) for k, s in enumerate(since)] + [("x.org", "block", since[1])]
+    listed += [("one.org", "block", 77)]
+    entries = spark.createDataFrame(listed, "rule string, action string, s long").select(
+        "rule", "action", (start + F.make_dt_interval(secs=F.col("s"))).alias("since")
+    )
+    times = [-1, 0, 1, 2, 77, 499_999, 500_000, 10**8, *draw.integers(0, 500_000, 300).tolist()]
+    times += [s + d for s in since[::7] for d in (-1, 0, 1)]
+    asked = [(k, h, t) for k, (h, t) in enumerate((h, t) for t in times for h in ("x.org", "one.org"))]
+    pages = spark.createDataFrame(asked, "page_id long, host string, t long").select(
+        "page_id", F.concat(F.lit("http://"), "host").alias("url"), (start + F.make_dt_interval(secs=F.col("t"))).alias("fetched")
+    )
+
+    def action(host, t):
+        said = [(s, a) for h, a, s in listed if h == host and s <= t]
+        return max(said)[1] if said else None
+
+    found = {r.page_id: (r.n_active, r.action) for r in judge_captures(pages, entries).collect()}
+    expected = {k: (int(action(h, t) is not None), action(h, t)) for k, h, t in asked}
+    assert found == expected
+
+
+def test_timelines_stay_small(spark):
+    rows = [(1, 1, f"2024-01-01 00:00:{k % 60:02d}") for k in range(50)] + [(1, 1, "2025-01-01 00:00:00"), (2, 2, "2024-05-05 00:00:00")]
+    starts = spark.createDataFrame(rows, "k1 long, k2 long, day string").selectExpr("k1", "k2", "cast(day as timestamp_ntz) valid_from")
+    following = F.lead("valid_from").over(Window.partitionBy("k1").orderBy("valid_from"))
+    intervals = starts.select("k1", "k2", F.lit("r").alias("rule"), F.lit("block").alias("action"), "valid_from", following.alias("valid_to"))
+    assert timeline(intervals)[1].count() <= 3 * len(rows)
