@@ -144,3 +144,65 @@ def test_timelines_stay_small(spark):
     following = F.lead("valid_from").over(Window.partitionBy("k1").orderBy("valid_from"))
     intervals = starts.select("k1", "k2", F.lit("r").alias("rule"), F.lit("block").alias("action"), "valid_from", following.alias("valid_to"))
     assert timeline(intervals)[1].count() <= 3 * len(rows)
+
+
+def test_a_written_shard_answers_as_before():
+    draw = np.random.default_rng(4)
+    vectors = np.repeat(draw.normal(size=(300, 16)), 3, axis=0) + 0.05 * draw.normal(size=(900, 16))
+    shard = embedding_dedup.Shard(np.arange(900) * 7, vectors, np.ones(900, int), 0.95, 0)
+    again = embedding_dedup.Shard.from_bytes(shard.to_bytes(), 0.95)
+    assert again.width == shard.width
+    asked = np.arange(900) * 7
+    answers = [[(k, n, near.tolist()) for k, n, near in s.links(asked, vectors)] for s in (shard, again)]
+    assert answers[0] == answers[1] and len(answers[0]) > 800
+
+
+def test_rows_of_a_graph_hold_no_node_twice():
+    draw = np.random.default_rng(6)
+    vectors = np.concatenate([draw.normal(size=16) + 0.02 * draw.normal(size=(400, 16)), draw.normal(size=(300, 16))])
+    graph = embedding_dedup.Graph(vectors / np.linalg.norm(vectors, axis=1)[:, None])
+    for name, rows in graph.arrays().items():
+        for row in rows if name.startswith("links") else ():
+            held = row[row >= 0]
+            assert len(np.unique(held)) == len(held)
+
+
+def test_links_against_brute_force_in_many_blocks(spark, monkeypatch):
+    """End to end, with a group of near copies of a third of the rows, small shards and blocks."""
+    monkeypatch.setattr(embedding_dedup, "SHARD_BYTES", 60_000)
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 20_000)
+    draw = np.random.default_rng(6)
+    hot = draw.normal(size=16) + 0.02 * draw.normal(size=(400, 16))
+    pairs = np.repeat(draw.normal(size=(200, 16)), 2, axis=0) + 0.05 * draw.normal(size=(400, 16))
+    vectors = np.concatenate([hot, pairs, draw.normal(size=(395, 16)), hot[:5]])
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)] + [(5000, [1.0, 2.0]), (5001, [2.0, 4.1]), (5002, [-1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in embedding_dedup.embedding_groups(table).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    linked = (unit @ unit.T >= 0.95) & ~np.eye(len(unit), dtype=bool)
+    truth = linked.sum(axis=1)
+    links = np.array([found[k].n_links for k in range(len(unit))])
+    assert [(k, int(links[k]), int(truth[k])) for k in np.flatnonzero(links > truth)] == []
+    assert links.sum() >= 0.99 * truth.sum()
+    assert [found[k].component_id for k in range(400)] == [0] * 400
+    assert [found[k].n_links for k in (5000, 5001, 5002)] == [1, 1, 0] and found[5001].component_id == 5000
+
+
+def test_no_task_holds_more_than_a_block(spark, monkeypatch):
+    sizes = []
+    whole = embedding_dedup.written
+
+    def count_first(df, name):
+        result = whole(df, name)
+        if name == "graphs":
+            sizes.append(result.groupBy("dims", "shard").count().count())
+        return result
+
+    monkeypatch.setattr(embedding_dedup, "written", count_first)
+    monkeypatch.setattr(embedding_dedup, "SHARD_BYTES", 20_000)
+    vectors = np.random.default_rng(8).normal(size=(1000, 16))
+    rows = [(k, k, k, 1, v.tolist()) for k, v in enumerate(vectors)]
+    classes = spark.createDataFrame(rows, "h1 long, h2 long, node long, size long, vector array<double>")
+    embedding_dedup.answers_of(classes, 0.95)
+    # 384 bytes a node.
+    assert sizes == [20]

@@ -1,16 +1,18 @@
 """Op 2: near-duplicate vectors by HNSW graphs, one for each shard.
 
-Equal vectors are one node. Nodes are dealt out over shards; each shard builds its graph and is
-asked for every node of the table. Before it answers, the beam is widened until an audit
-against brute force passes; what the graph finds is then verified by the cosine in double
-precision, counted, and joined to components.
+Equal vectors are one node. Nodes are dealt out over shards; each shard builds its graph, widens
+its beam until an audit against brute force passes, and is written to the shared folder. Every
+shard is then asked for every node of the table, a block of nodes at a time: a task holds one graph
+and one block. What a graph finds is verified by the cosine in double precision, counted, and
+joined to components.
 """
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -18,9 +20,16 @@ from tidemark.llm.hnsw import Graph
 from tidemark.llm.shipping import ship
 from tidemark.llm.storage import written
 
-#: At least so many shards, and at most so many nodes in one.
+#: At least so many shards, and about so many bytes of vectors and links in one.
 SHARDS = 8
-SHARD_NODES = 200_000
+SHARD_BYTES = 128 << 20
+
+#: At least so many blocks of queries, and about so many bytes of vectors in one.
+BLOCKS = 4
+BLOCK_BYTES = 32 << 20
+
+#: Bytes of a written graph in one row.
+_CHUNK = 4 << 20
 
 #: Queries of an audit by node and by group, and the share of its true links that a query has to
 #: find in the mean of either.
@@ -35,14 +44,33 @@ class Shard:
     """The graph of a shard and the beam that its audit asks for."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, least: float, seed: int):
-        self.ids, self._sizes, self._least = ids, sizes, least
-        self._vectors = vectors
-        self._norms = np.linalg.norm(vectors, axis=1)
+        self._hold(ids, vectors, sizes, least)
         self._unit = vectors / self._norms[:, None]
         self._graph = Graph(self._unit, seed)
         self.width = 32
         self._audit(seed)
 
+    def _hold(self, ids: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, least: float) -> None:
+        self.ids, self._vectors, self._sizes, self._least = ids, vectors, sizes, least
+        self._norms = np.linalg.norm(vectors, axis=1)
+
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        own = {"ids": self.ids, "vectors": self._vectors, "sizes": self._sizes, "width": np.array(self.width)}
+        np.savez(out, **own, **self._graph.arrays())
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes, least: float) -> "Shard":
+        """The shard that was written, ready to answer."""
+        with np.load(io.BytesIO(data), allow_pickle=False) as stored:
+            arrays = dict(stored)
+        shard = cls.__new__(cls)
+        shard._hold(arrays.pop("ids"), arrays.pop("vectors"), arrays.pop("sizes"), least)
+        shard.width = int(arrays.pop("width"))
+        shard._graph = Graph.of(shard._vectors / shard._norms[:, None], arrays)
+        return shard
+
     def _audit(self, seed: int) -> None:
         """Ask for vectors as far from some node as a link may be, where a search is hardest."""
         draw = np.random.default_rng(seed)
@@ -85,9 +113,52 @@ class Shard:
                 yield k, int(self._sizes[near].sum()), near
 
 
+def _parts(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
+    """The rows of each key, in portions, and whether a portion is the first of its key."""
+    last = None
+    for batch in batches:
+        key = np.stack([batch.column(k).to_numpy() for k in keys])
+        edges = [0, *(np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            if low == high:
+                continue
+            own = tuple(key[:, low].tolist())
+            yield own, own != last, batch.slice(low, high - low)
+            last = own
+
+
+def _nodes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, vectors and sizes of a portion, whose vectors are of one length."""
+    vectors = part.column("vector").flatten().to_numpy().astype(float).reshape(len(part), -1)
+    return part.column("node").to_numpy(), vectors, part.column("size").to_numpy()
+
+
+def _graphs(least: float):
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunks(key, nodes):
+            data = Shard(*map(np.concatenate, zip(*nodes)), least, key[1]).to_bytes()
+            for chunk, start in enumerate(range(0, len(data), _CHUNK)):
+                yield pa.RecordBatch.from_pydict(
+                    {"dims": [key[0]], "shard": [key[1]], "chunk": [chunk], "data": [data[start : start + _CHUNK]]},
+                    schema=pa.schema([("dims", pa.int32()), ("shard", pa.int32()), ("chunk", pa.int32()), ("data", pa.binary())]),
+                )
+
+        last, nodes = None, []
+        for key, first, part in _parts(batches, ["dims", "shard"]):
+            if first and nodes:
+                yield from chunks(last, nodes)
+                nodes = []
+            last = key
+            nodes.append(_nodes(part))
+        if nodes:
+            yield from chunks(last, nodes)
+
+    return build
+
+
 def _answers(least: float):
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, group, nodes, parent = None, None, [], {}
+        shard, chunks, parent = None, [], {}
 
         def find(x: int) -> int:
             while parent.setdefault(x, x) != x:
@@ -95,43 +166,65 @@ def _answers(least: float):
                 x = parent[x]
             return x
 
-        for batch in batches:
-            key = batch.column(0).to_numpy() * (1 << 20) + batch.column(1).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-            for low, high in zip(edges, edges[1:]):
-                part = batch.slice(low, high - low)
-                if group != key[low]:
-                    group, shard, nodes, parent = key[low], None, [], {}
-                own = part.column(2).to_numpy(zero_copy_only=False)
-                # A shard's own nodes come first.
-                cut = int(own.sum())
-                ids, sizes = part.column(3).to_numpy(), part.column(4).to_numpy()
-                lists = part.column(5)
-                vectors = lists.flatten().to_numpy().astype(float).reshape(len(part), -1)
-                if cut:
-                    nodes.append((ids[:cut], vectors[:cut], sizes[:cut]))
-                if cut == len(part):
-                    continue
-                if shard is None and nodes:
-                    shard = Shard(*map(np.concatenate, zip(*nodes)), least, int(group) & 0xFFFF)
-                if shard is None:
-                    continue
-                a, b, w = [], [], []
-                for k, count, near in shard.links(ids[cut:], vectors[cut:]):
-                    me = int(ids[cut + k])
-                    a.append(me), b.append(None), w.append(count)
-                    for other in map(int, shard.ids[near]):
-                        mine, theirs = find(me), find(other)
-                        if mine != theirs:
-                            parent[mine] = theirs
-                            a.append(me), b.append(other), w.append(0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(w, pa.int64())], ["a", "b", "w"]
-                )
+        for _, first, part in _parts(batches, ["dims", "shard", "block"]):
+            if first:
+                shard, chunks, parent = None, [], {}
+            # The graph comes first.
+            cut = len(part) - part.column("chunk").null_count
+            chunks += part.column("data").slice(0, cut).to_pylist()
+            if cut == len(part) or not (shard or chunks):
+                continue
+            if shard is None:
+                shard, chunks = Shard.from_bytes(b"".join(chunks), least), []
+            ids, vectors, _ = _nodes(part.slice(cut))
+            a, b, w = [], [], []
+            for k, count, near in shard.links(ids, vectors):
+                me = int(ids[k])
+                a.append(me), b.append(None), w.append(count)
+                for other in map(int, shard.ids[near]):
+                    mine, theirs = find(me), find(other)
+                    if mine != theirs:
+                        parent[mine] = theirs
+                        a.append(me), b.append(other), w.append(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(w, pa.int64())], ["a", "b", "w"]
+            )
 
     return answer
 
 
+def _numbers(n: int, column: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(column)
+
+
+def answers_of(classes: DataFrame, least: float) -> DataFrame:
+    """``a, b, w`` for ``h1, h2, node, size, vector``: per shard, node and with ``b`` null the
+    vectors that the node links with there, and the links that join two groups of a task's own."""
+    sizes = classes.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    n, dims = sizes
+    shards = max(SHARDS, -(-n * (8 * dims + 256) // SHARD_BYTES))
+    blocks = max(BLOCKS, -(-n * 8 * dims // BLOCK_BYTES))
+    nodes = classes.select(
+        F.size("vector").alias("dims"),
+        F.pmod(F.xxhash64("h1", "h2"), F.lit(shards)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64("h2", "h1"), F.lit(blocks)).cast("int").alias("block"),
+        "node", "size", "vector",
+    )
+    # One number, one partition: hashed, several would meet in one task.
+    own = nodes.drop("block").repartitionById(shards, F.pmod(F.col("shard") + F.hash("dims"), F.lit(shards)))
+    built = own.sortWithinPartitions("dims", "shard", "node").mapInArrow(
+        _graphs(least), "dims int, shard int, chunk int, data binary"
+    )
+    graphs = written(built, "graphs")
+    queries = nodes.drop("shard").select("*", _numbers(shards, "shard"))
+    copies = graphs.select("*", _numbers(blocks, "block"))
+    tasks = shards * blocks
+    number = F.pmod(F.col("shard").cast("long") * blocks + F.col("block") + F.hash("dims"), F.lit(tasks)).cast("int")
+    dealt = copies.unionByName(queries, allowMissingColumns=True).repartitionById(tasks, number)
+    ordered = dealt.sortWithinPartitions("dims", "shard", "block", F.asc_nulls_last("chunk"), "node")
+    return written(ordered.mapInArrow(_answers(least), "a long, b long, w long"), "answers")
+
+
 def embedding_groups(
     rows: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -146,9 +239,10 @@ def embedding_groups(
     have no component. One id with several vectors is one node of the components. Other
     columns are not read; an empty table gives no rows.
 
-    Every node is sent to every shard: the number of shards times the distinct vectors is
-    shuffled. Of the links only counts and, for each shard, those that join two groups leave
-    a task.
+    Every node is sent to every shard and every graph to every block of nodes: a task answers one
+    block for one shard, each of bounded bytes, so tasks do not grow with the table but their
+    number does, with its square. Of the links only counts and, for each task, those that join
+    two groups leave it.
     """
     ship(rows.sparkSession)
     vector = F.col(vector_col)
@@ -164,16 +258,7 @@ def embedding_groups(
         .agg(F.min("id").cast("long").alias("node"), F.count(F.lit(1)).alias("size"), F.any_value("vector").alias("vector")),
         "vectors",
     )
-    shards = max(SHARDS, -(-classes.count() // SHARD_NODES))
-    home = F.pmod(F.xxhash64("h1", "h2"), F.lit(shards)).cast("int")
-    nodes = classes.select(F.size("vector").alias("dims"), home.alias("home"), "node", "size", "vector")
-    own = nodes.select("dims", F.col("home").alias("shard"), F.lit(True).alias("own"), "node", "size", "vector")
-    asked = nodes.select(
-        "dims", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(False).alias("own"), "node", "size", "vector"
-    )
-    dealt = own.unionByName(asked).repartition(shards, "dims", "shard")
-    ordered = dealt.sortWithinPartitions("dims", "shard", F.desc("own"), "node")
-    answers = written(ordered.mapInArrow(_answers(least), "a long, b long, w long"), "answers")
+    answers = answers_of(classes, least)
     counts = answers.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("w"))
     roots = components(answers.where("b is not null").select("a", "b"))
     named = (

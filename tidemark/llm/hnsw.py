@@ -31,6 +31,21 @@ class Graph:
             self._insert(part)
             done += len(part)
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        """What the graph is made of, beside its vectors."""
+        layers = {f"links{k}": layer.astype(np.int32) for k, layer in enumerate(self._links)}
+        return {"entry": np.array(self._entry), "level": self._level, **layers}
+
+    @classmethod
+    def of(cls, unit: np.ndarray, arrays: dict[str, np.ndarray]) -> "Graph":
+        """The graph whose ``arrays`` these are, over the same vectors."""
+        graph = cls.__new__(cls)
+        graph._unit = np.ascontiguousarray(unit, dtype=np.float32)
+        graph._entry, graph._level = int(arrays["entry"]), arrays["level"]
+        layers = sum(name.startswith("links") for name in arrays)
+        graph._links = [arrays[f"links{k}"].astype(np.int64) for k in range(layers)]
+        return graph
+
     def _insert(self, part: np.ndarray) -> None:
         points = np.full((len(part), 1), self._entry)
         within = self._unit[part] @ self._unit[part].T
@@ -49,7 +64,11 @@ class Graph:
     def _connect(self, node: int, near: np.ndarray, layer: int) -> None:
         links = self._links[layer]
         chosen = self._spread(node, near[self._level[near] >= layer], links.shape[1] // (2 if layer == 0 else 1))
-        links[node, : len(chosen)] = chosen
+        # Peers inserted before may have linked it already; a row holds no node twice.
+        held = links[node][links[node] >= 0]
+        own = np.concatenate([chosen, held[~np.isin(held, chosen)]])[: links.shape[1]]
+        links[node] = -1
+        links[node, : len(own)] = own
         for other in chosen:
             row = links[other]
             if node in row:
