@@ -252,3 +252,68 @@ def test_new_objects_come_once(spark, path, tmp_path, rows_of):
     _, bad = sources.stream_checkpoint_files(spark, path)
     run_to_end(streaming.stream_append(bad, out, f"{state}-bad"))
     assert rows_of(spark.read.parquet(out)) == [("new", "broken", "{")]
+
+
+LOG = "pipeline_id string, stream_id string, seq long, updated_at timestamp"
+
+
+@pytest.fixture
+def days(spark, path):
+    """A log of ten files for two pipelines, one of which has a name that paths must escape."""
+    rows = [(p, f"s{k}", 10 * day + k, T0 + dt.timedelta(days=day)) for day in range(5) for k in range(4) for p in ("a b=%1", "c")]
+    for day in range(5):
+        some = spark.createDataFrame([r for r in rows if r[3] == T0 + dt.timedelta(days=day)], LOG)
+        sources.append_log(some.coalesce(1), path, ["pipeline_id"])
+    return rows
+
+
+def _files(path):
+    return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def _delete(spark, path, **period):
+    schema = spark.createDataFrame([], LOG).schema
+    gone = spark.createDataFrame([("a b=%1", "s1"), ("c", "unknown"), (None, "s1")], "pipeline_id string, stream_id string")
+    return sources.delete_history_files(spark, path, gone, partition_by=["pipeline_id"], schema=schema, **period)
+
+
+def test_deletion_rewrites_only_files_with_hits(spark, days, path, no_broadcast):
+    before = _files(path)
+    start = T0 + dt.timedelta(days=2)
+    assert _delete(spark, path, start=start) == 3
+    after = _files(path)
+    # Two files of the one pipeline and all of the other are as they were.
+    assert len(before & after) == 7 and len(before - after) == 3
+    left = [r for r in days if not (r[:2] == ("a b=%1", "s1") and r[3] >= start)]
+    assert columns(spark.read.parquet(path), "pipeline_id", "stream_id", "seq", "updated_at") == sorted(left)
+    assert not [d for d in os.listdir(path) if d.startswith("_rewrite")]
+    # Nothing is left to do, so nothing is written.
+    assert _delete(spark, path, start=start) == 0 and _files(path) == after
+
+
+@pytest.mark.parametrize("broken", ["move", "remove"])
+def test_broken_rewrites_are_finished(spark, days, path, monkeypatch, broken):
+    from tidemark.sources import rewrites
+
+    whole = rewrites._finish
+
+    def stop(spark, path, place):
+        if broken == "remove":
+            folder = next(d for d in sorted(os.listdir(os.path.join(place, "rows"))) if d.startswith("pipeline_id"))
+            rows = os.path.join(place, "rows", folder)
+            for file in os.listdir(rows):
+                os.rename(os.path.join(rows, file), os.path.join(path, folder, file))
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(rewrites, "_finish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        _delete(spark, path)
+    # No row is missing, whatever was done of it.
+    seen = {(r.stream_id, r.seq) for r in spark.read.parquet(path).collect()}
+    assert seen == {(r[1], r[2]) for r in days}
+    monkeypatch.setattr(rewrites, "_finish", whole)
+    os.makedirs(os.path.join(path, "_rewrite-begun", "rows"))
+    assert sources.finish_rewrites(spark, path) == 1 and sources.finish_rewrites(spark, path) == 0
+    left = sorted((r[1], r[2], r[0]) for r in days if r[:2] != ("a b=%1", "s1"))
+    assert sorted((r.stream_id, r.seq, r.pipeline_id) for r in spark.read.parquet(path).collect()) == left
+    assert not [d for d in os.listdir(path) if d.startswith("_rewrite")]

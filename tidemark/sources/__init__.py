@@ -7,6 +7,7 @@ from tidemark.sources.files import (
     write_checkpoint_objects,
 )
 from tidemark.sources.jdbc import jdbc_options, read_jdbc, write_jdbc
+from tidemark.sources.rewrites import delete_history_files, finish_rewrites
 from tidemark.sources.tables import (
     append_log,
     ensure_table,
@@ -17,7 +18,9 @@ from tidemark.sources.tables import (
 
 __all__ = [
     "append_log",
+    "delete_history_files",
     "ensure_table",
+    "finish_rewrites",
     "jdbc_options",
     "read_checkpoint_files",
     "read_jdbc",

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import operators as ops
+from tidemark import sources
 from tidemark.plans import scratch_path
 from tidemark.table import ProgressTable
 from tidemark.workload.logs import (
@@ -71,11 +72,14 @@ def _(spark, sf_dir):
     return ops.delete_report(first_half(spark, sf_dir), requested)
 
 
-@query("mut5_delete_history", f"""WITH {HALVES}
+_HISTORY_LEFT = f"""WITH {HALVES}
 SELECT pipeline_id, stream_id, offset_num, op, seq, updated_at FROM ev_log e
 WHERE NOT (EXISTS (SELECT 1 FROM gone g
                    WHERE g.pipeline_id = e.pipeline_id AND g.stream_id = e.stream_id)
-           AND e.updated_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20')""")
+           AND e.updated_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20')"""
+
+
+@query("mut5_delete_history", _HISTORY_LEFT)
 def _(spark, sf_dir):
     log = event_log(spark, sf_dir).select(
         "pipeline_id", "stream_id", "offset_num", "op", "seq", "updated_at"
@@ -84,6 +88,21 @@ def _(spark, sf_dir):
     return ops.delete_history(log, keys, start="2024-01-05", stop="2024-01-20")
 
 
+@query("mut5_delete_history_files", _HISTORY_LEFT)
+def _(spark, sf_dir):
+    log = event_log(spark, sf_dir).select(
+        "pipeline_id", "stream_id", "offset_num", "op", "seq", "updated_at"
+    )
+    path = scratch_path(spark, "log")
+    # A log grows in time order: each file holds some days.
+    log.repartitionByRange(F.to_date("updated_at")).write.parquet(path)
+    keys = second_half(spark, sf_dir, "delete")
+    sources.delete_history_files(
+        spark, path, keys, start="2024-01-05", stop="2024-01-20", schema=log.schema
+    )
+    return sources.read_log(spark, path, log.schema)
+
+
 @query("mut6_clear_pipeline", f"""WITH {EV_STATE}
 SELECT pipeline_id, stream_id, offset_num FROM ev_state WHERE pipeline_id <> 'error'""")
 def _(spark, sf_dir):
