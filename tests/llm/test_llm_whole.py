@@ -206,3 +206,30 @@ def test_no_task_holds_more_than_a_block(spark, monkeypatch):
     embedding_dedup.answers_of(classes, 0.95)
     # 384 bytes a node.
     assert sizes == [20]
+
+
+def test_vectors_of_any_length_are_linked(spark):
+    rows = [(1, [1e300, 1e300]), (2, [2e300, 2.1e300]), (3, [3e-200, 3e-200]), (4, [-1e-200, 1e-200]), (5, [5.0, 5.1])]
+    found = embedding_dedup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (5, 3, 1)]
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
+def test_recall_by_similarity(spark, similarity):
+    """Pairs just above a similarity, each alone: no third text can join them."""
+    draw, rows = np.random.default_rng(int(100 * similarity)), []
+    for pair in range(150):
+        words = [f"p{pair}w{k}" for k in range(400)]
+        # A change takes five shingles from either side, if five words or more from the next.
+        changes = int((1 - similarity) / (1 + similarity) * 396 / 5)
+        copy = list(words)
+        for at in draw.choice(78, changes, replace=False):
+            copy[5 * int(at) + 5] = f"p{pair}x{at}"
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(copy))]
+        a, b = (set(shingles(t).tolist()) for _, t in rows[-2:])
+        assert similarity <= len(a & b) / len(a | b) < similarity + 0.03
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r.doc_id for r in keep_one(docs, similarity=0.8).collect()}
+    found = sum(2 * k + 1 not in kept for k in range(150))
+    print(f"recall at {similarity}: {found / 150:.3f}")
+    assert found >= 148 and all(2 * k in kept for k in range(150))

@@ -128,8 +128,13 @@ def _parts(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
 
 
 def _nodes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers, vectors and sizes of a portion, whose vectors are of one length."""
+    """Numbers, vectors and sizes of a portion, whose vectors are of one length.
+
+    Vectors are scaled by powers of two, which changes no cosine, so that no norm leaves the
+    range of doubles.
+    """
     vectors = part.column("vector").flatten().to_numpy().astype(float).reshape(len(part), -1)
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
     return part.column("node").to_numpy(), vectors, part.column("size").to_numpy()
 
 
