@@ -50,6 +50,40 @@ def test_near_copies_down_to_four_fifths(spark, shard):
     assert kept == set(want)
 
 
+@pytest.mark.parametrize("shard", [2048, 4])
+def test_candidates_are_fingerprints_of_one_shard_within_the_radius(spark, shard):
+    rows = [r for r in near_copies()[:120] if r[0] % 12 < 6]
+    docs = spark.createDataFrame(rows, "node long, text string").withColumn("node", node_of("text"))
+    sketches = shingle_dedup._sketches(docs.select("text"), "text", 5).cache()
+    prints = {r.node: int.from_bytes(r.sketch, "big") for r in sketches.collect()}
+    for node, text in ((r.node, r.text) for r in docs.collect()):
+        hashes = shingles(text).tolist()
+        mixed = []
+        for h in hashes:
+            for step in range(1, shingle_dedup.BITS // 64 + 1):
+                z = (h + step * 0x9E3779B97F4A7C15) % (1 << 64)
+                z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+                z = (z ^ z >> 27) * 0x94D049BB133111EB % (1 << 64)
+                mixed.append((z ^ z >> 31).to_bytes(8, "little"))
+        words = len(mixed) // len(hashes)
+        lines = [b"".join(mixed[k * words : (k + 1) * words]) for k in range(len(hashes))]
+        bits = [sum(int.from_bytes(line, "big") >> k & 1 for line in lines) * 2 > len(lines) for k in range(shingle_dedup.BITS)]
+        assert prints[node] == sum(1 << k for k, bit in enumerate(bits) if bit)
+    drawn = shingle_dedup.draws(len(rows), 0.8)
+    at = lambda value, bit: value >> shingle_dedup.BITS - 1 - int(bit) & 1
+    keys = {n: {(d, tuple(at(v, b) for b in bits)) for d, bits in enumerate(drawn)} for n, v in prints.items()}
+    want = {
+        (a, b) for a, b in itertools.combinations(sorted(prints), 2)
+        if keys[a] & keys[b] and (prints[a] ^ prints[b]).bit_count() <= 200
+    }
+    shards = shingle_dedup._shards(sketches, drawn).join(sketches, "node").withColumn("root", F.col("node"))
+    pairs = shingle_dedup._candidates(shards, 200, False, shard)
+    assert len(want) > 20 and {(r.a, r.b) for r in pairs.collect()} == want
+    # A tight group is joined at one pair a text.
+    joined = shingle_dedup._candidates(shards, 200, True, shard).collect()
+    assert {(r.a, r.b) for r in joined} <= want and joined
+
+
 @pytest.mark.parametrize("similarity", [None, 0.8])
 def test_one_row_of_each_group_where_an_id_stands_for_two_texts(spark, similarity):
     first, second, third = (" ".join(f"{c}{k}" for k in range(50)) for c in "abc")

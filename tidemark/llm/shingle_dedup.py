@@ -1,13 +1,16 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles.
-
-Two texts at a similarity of 0.8 differ in about 10 of 64 SimHash bits, which no blocks of a
-fingerprint narrow down. So candidates come from MinHash: ``BANDS`` bands of ``ROWS`` minima, of
-which two texts at 0.8 share one with a probability of 0.9999. What the minima then estimate
-only drops pairs that are far below; every link is verified by whole shingle sets.
-
-Bands are compared twice. The first time pairs that look alike are offered where they join two
-groups of their band, so that a large group costs a pair a text; the second time all pairs that
-the verified links of the first have not brought together.
+"""Near-duplicates by SimHash fingerprints and BK-trees, verified by the exact Jaccard similarity.
+
+Two texts at a similarity of 0.8 differ in 15 % of their SimHash bits, give or take. In 64 bits
+that cannot be told from less alike texts and no few blocks agree, so the fingerprints are those of
+operator 7 made wider: ``BITS`` bits over the distinct five-word shingles. A shard is a draw of bits
+in which fingerprints agree, as operator 7's shards are pairs of blocks; there are as many draws as
+let two texts at the similarity share one with a probability of ``RECALL``, and a draw has a few
+bits more than the number of texts, so that a shard holds few that are not alike. Within a shard a
+BK-tree finds what lies within the radius, and every link is verified by whole shingle sets.
+
+Shards are searched twice. The first time pairs that look alike are offered where they join two
+groups of their shard, so that a large group costs a pair a text; the second time all pairs that
+the verified links of the first have not brought together, in a radius of four standard errors more.
 """
 
 from collections.abc import Iterator
@@ -19,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bk_tree import BKTree
 from tidemark.llm.components import components
 from tidemark.llm.shipping import ship
 from tidemark.llm.storage import written
@@ -26,21 +30,26 @@ from tidemark.llm.storage import written
 SHINGLE = 5
 SIMILARITY = 0.8
 
-BANDS = 50
-ROWS = 8
+#: Bits of a fingerprint, a multiple of 64.
+BITS = 1024
+
+#: The share of pairs just at the similarity that are to meet in some shard.
+RECALL = 0.998
+
+#: Bits of a draw beyond those that number the texts.
+_SPARE = 2
+
+#: Draws whose shards are looked for at once; what is shuffled for them is freed before the next.
+_ROUND = 32
 
 #: Texts that are compared with each other in one task.
 SHARD = 2048
 
-#: Standard errors of the estimate by which a pair may fall short and still be verified.
+#: Standard errors by which a distance may be too large and the pair still be verified.
 _SLACK = 4
 
-#: Shingle hashes that go through all permutations at once.
-_BLOCK = 256
-
-_DRAW = np.random.default_rng(42)
-_TIMES = _DRAW.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_PLUS = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+#: Shingle hashes whose bits are counted at once; a byte holds the counts.
+_BLOCK = 255
 
 
 def node_of(text_col: str) -> Column:
@@ -60,32 +69,78 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([digest(line[s:e], 42) for s, e in zip(starts, ends[size - 1 :].tolist())], dtype=np.uint64))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The least value of the hashes in each of ``BANDS * ROWS`` permutations, 32 bits each."""
-    least, short = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
-    for k in range(0, len(short), _BLOCK):
-        np.minimum(least, (short[k : k + _BLOCK, None] * _TIMES + _PLUS).min(axis=0), out=least)
-    return least.astype("<u4")
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of distinct shingle hashes: bit ``k`` is set if it is in over half of them.
+
+    Each hash is mixed (as SplitMix64 does) into ``BITS`` bits; ``BITS / 8`` bytes."""
+    steps = np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    ones = np.zeros(BITS, dtype=np.int64)
+    for k in range(0, len(hashes), _BLOCK):
+        mixed = hashes[k : k + _BLOCK, None] + steps
+        mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        mixed = (mixed ^ mixed >> np.uint64(31)).astype("<u8")
+        ones += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes))
+
+
+def expected_distance(similarity: float) -> float:
+    """The share of bits in which two texts of one length differ at a Jaccard similarity.
+
+    It is their sets' angle over pi; texts of two lengths differ in fewer."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def draws(n: int, similarity: float) -> np.ndarray:
+    """The bits of each draw, one row for a draw, for ``n`` texts."""
+    size = min(40, int(np.ceil(np.log2(max(n, 2)))) + _SPARE)
+    agree = (1 - expected_distance(similarity)) ** size
+    number = 1 if agree >= RECALL else int(np.ceil(np.log(1 - RECALL) / np.log(1 - agree)))
+    draw = np.random.default_rng(42)
+    return np.array([draw.permutation(BITS)[:size] for _ in range(number)])
 
 
 def _sketches(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``node, keys, sketch`` for every text: a byte for each minimum, the eight of a band its key."""
+    """``node, sketch`` for every text: its wide fingerprint."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sketches = [], []
-            for text in batch.column(1):
-                least = minima(shingles(text.as_py(), shingle))
-                sketch = (least >> np.uint32(24) ^ least >> np.uint32(8)).astype(np.uint8)
-                keys.append(sketch.view("<i8"))
-                sketches.append(sketch.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["node", "keys", "sketch"],
-            )
+            sketches = [wide_fingerprint(shingles(t.as_py(), shingle)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches, pa.binary())], ["node", "sketch"])
 
     rows = docs.select(node_of(text_col).alias("node"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(compute, "node long, keys array<long>, sketch binary").dropDuplicates(["node"])
+    return rows.mapInArrow(compute, "node long, sketch binary").dropDuplicates(["node"])
+
+
+def _keyed(sketches: DataFrame, bits: np.ndarray, first: int) -> DataFrame:
+    """``key, node`` for every text and draw: the draw's number, counted from ``first``, and its bits."""
+    numbers = np.arange(first, first + len(bits), dtype=np.int64)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = np.frombuffer(b"".join(s.as_py() for s in batch.column(1)), dtype=np.uint8)
+            ones = np.unpackbits(raw.reshape(-1, BITS // 8), axis=1)
+            keys = np.tile(numbers, (len(ones), 1))
+            for k in range(bits.shape[1]):
+                keys = keys << 1 | ones[:, bits[:, k]]
+            offsets = pa.array(np.arange(0, keys.size + 1, len(numbers), dtype=np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "keys"])
+
+    return sketches.mapInArrow(compute, "node long, keys array<long>").select(F.explode("keys").alias("key"), "node")
+
+
+def _shards(sketches: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``key, node`` of all draws, but for the texts that are alone with their key."""
+    parts = []
+    for k in range(0, len(bits), _ROUND):
+        keyed = _keyed(sketches, bits[k : k + _ROUND], k)
+        shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "shared")
+        parts.append(written(keyed.join(shared, "key", "left_semi"), "keyed"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> DataFrame:
@@ -100,77 +155,76 @@ def _sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> Dat
     return rows.join(nodes, "node", "left_semi").mapInArrow(compute, "node long, hashes array<long>").dropDuplicates(["node"])
 
 
-class _Band:
-    """The texts of one key of a band that are at home in one tree."""
-
-    def __init__(self, band: int, least: float, forest: bool):
-        self._band, self._least, self._forest, self._n = band, least * BANDS * ROWS, forest, 0
-        self._nodes: list[int] = []
-        self._labels = np.empty(16, dtype=np.int64)
-        self._sketches = np.empty((16, BANDS * ROWS), dtype=np.uint8)
-        self._moved: dict[int, int] = {}
-
-    def _label(self, root: int) -> int:
-        while root in self._moved:
-            root = self._moved[root]
-        return root
-
-    def pairs(self, node: int, root: int, sketch: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Candidates among those added that are not in the group of ``root``."""
-        # The first stands for a tight group: most are joined by it and need no other.
-        for some in (np.arange(min(self._n, 1)), None) if self._forest else (None,):
-            mine, labels = self._label(root), self._labels[: self._n]
-            others = np.flatnonzero(labels != mine) if some is None else some[labels[some] != mine]
-            if not len(others):
-                continue
-            alike = (self._sketches[others] == sketch).sum(axis=1)
-            for k in np.argsort(-alike, kind="stable")[: int((alike >= self._least).sum())]:
-                theirs = int(labels[others[k]])
-                if self._forest:
-                    mine = self._label(root)
-                    if theirs == mine:
-                        continue
-                    self._moved[mine] = theirs
-                    labels[labels == mine] = theirs
-                elif self._band != (self._sketches[others[k]].view("<i8") == sketch.view("<i8")).argmax():
-                    continue  # the first band that the two share has the pair
-                yield node, self._nodes[others[k]]
-
-    def add(self, node: int, root: int, sketch: np.ndarray) -> None:
-        if self._n == len(self._labels):
-            self._labels = np.concatenate([self._labels, np.empty_like(self._labels)])
-            self._sketches = np.concatenate([self._sketches, np.empty_like(self._sketches)])
-        self._nodes.append(node)
-        self._labels[self._n], self._sketches[self._n] = self._label(root), sketch
-        self._n += 1
-
-
-def _candidates(rows: DataFrame, least: float, forest: bool, shard: int) -> DataFrame:
-    """Pairs ``a < b`` of nodes that share a key, are of different roots and look alike.
-
-    ``rows``: ``band, key, node, root, sketch``. A key with more than ``shard`` nodes is dealt out
-    over several trees, and its nodes are sent to each of them.
+class _Shard:
+    """The texts of one shard that are at home in one tree."""
+
+    def __init__(self, radius: int):
+        self._radius = radius
+        self._trees: dict[int | None, BKTree] = {}
+        self._nodes: dict[int | None, dict[int, list[int]]] = {}
+        self._groups: dict[int, int] = {}
+
+    def _group(self, node: int) -> int:
+        while node in self._groups:
+            node = self._groups[node]
+        return node
+
+    def joined(self, node: int, value: int, home: bool) -> Iterator[tuple[int, int]]:
+        """Links with texts within the radius, where they join two groups.
+
+        One that is within the radius of another need not be found itself: the other stands for it."""
+        tree, nodes = self._trees.setdefault(None, BKTree()), self._nodes.setdefault(None, {})
+        found = tree.within(value, self._radius)
+        for near in found:
+            mine, theirs = self._group(node), self._group(nodes[near][0])
+            if mine != theirs:
+                self._groups[mine] = theirs
+                yield node, nodes[near][0]
+        if home and not found:
+            tree.add(value)
+            nodes[value] = [node]
+
+    def apart(self, node: int, root: int, value: int, home: bool) -> Iterator[tuple[int, int]]:
+        """All texts within the radius that are of other roots."""
+        # A tree for each group that is joined already, which its own texts need not search, and
+        # one for all others.
+        own = root if root != node else None
+        for other, tree in self._trees.items():
+            if other != root:
+                for near in tree.within(value, self._radius):
+                    yield from ((node, n) for n in self._nodes[other][near] if n != root)
+        if home:
+            self._trees.setdefault(own, BKTree()).add(value)
+            self._nodes.setdefault(own, {}).setdefault(value, []).append(node)
+
+
+def _candidates(rows: DataFrame, radius: int, forest: bool, shard: int) -> DataFrame:
+    """Pairs ``a < b`` of nodes that share a key, are of different roots and lie within the radius.
+
+    ``rows``: ``key, node, root, sketch``. A key with more than ``shard`` nodes is dealt out over
+    several trees, and its nodes are sent to each of them.
     """
-    sizes = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
     # A table of its own: beside an aggregate Spark does not split the rows of a hot key.
-    sizes = written(sizes.where("low <> high").select("band", "key", trees.alias("trees")), "bands")
+    sizes = written(sizes.where("low <> high").select("key", trees.alias("trees")), "sizes")
     home = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
-    dealt = rows.join(sizes, ["band", "key"]).select("band", "key", "node", "root", "sketch", home.alias("home"), F.explode(F.sequence(F.lit(0), home)).alias("tree"))
-    dealt = dealt.repartition("band", "key", "tree").sortWithinPartitions("band", "key", "tree", F.desc(F.expr("home = tree")), "node")
+    dealt = rows.join(sizes, "key").select("key", "node", "root", "sketch", home.alias("home"), F.explode(F.sequence(F.lit(0), home)).alias("tree"))
+    dealt = dealt.repartition("key", "tree").sortWithinPartitions("key", "tree", F.desc(F.expr("home = tree")), "node")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, band = None, None
+        group, held = None, None
         for batch in batches:
             out = []
-            columns = (batch[c].tolist() for c in ("band", "key", "tree", "home", "node", "root", "sketch"))
-            for at, key, tree, own, node, root, sketch in zip(*columns):
-                if (at, key, tree) != group:
-                    group, band = (at, key, tree), _Band(at, least, forest)
-                sketch = np.frombuffer(sketch, dtype=np.uint8)
-                out.extend(band.pairs(node, root, sketch))
-                if own == tree:
-                    band.add(node, root, sketch)
+            columns = (batch[c].tolist() for c in ("key", "tree", "home", "node", "root", "sketch"))
+            for key, tree, own, node, root, sketch in zip(*columns):
+                if (key, tree) != group:
+                    group, held = (key, tree), _Shard(radius)
+                value = int.from_bytes(sketch, "big")
+                if forest:
+                    out.extend(held.joined(node, value, own == tree))
+                else:
+                    out.extend(held.apart(node, root, value, own == tree))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     found = dealt.mapInPandas(search, "a long, b long")
@@ -194,19 +248,18 @@ def shingle_groups(
 
     Two texts are linked if the sets of their shingles have a Jaccard similarity of
     ``similarity`` or more; ``root`` is the smallest node that links lead to. No pair below is
-    linked; of pairs at 0.8 one in some ten thousand shares no band.
+    linked; of pairs just at ``similarity`` some 2 in 1,000 share no shard, of others fewer.
     """
     ship(docs.sparkSession)
     sketches = written(_sketches(docs, text_col, shingle), "sketches")
-    keyed = sketches.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = written(keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "shared")
-    keyed = written(keyed.join(shared, ["band", "key"], "left_semi"), "keyed")
-    rows = keyed.join(sketches.select("node", "sketch"), "node")
-    error = float(np.sqrt(similarity * (1 - similarity) / (BANDS * ROWS)))
-    first = written(_candidates(rows.withColumn("root", F.col("node")), similarity + error, True, shard), "pairs")
+    share = expected_distance(similarity)
+    error = float(np.sqrt(share * (1 - share) * BITS))
+    near, far = int(share * BITS - error), int(np.ceil(share * BITS + _SLACK * error))
+    rows = _shards(sketches, draws(sketches.count(), similarity)).join(sketches, "node")
+    first = written(_candidates(rows.withColumn("root", F.col("node")), near, True, shard), "pairs")
     links = written(_verified(first, docs, similarity, text_col, shingle), "verified")
     roots = components(links)
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = _candidates(rooted, similarity - _SLACK * error, False, shard).join(first, ["a", "b"], "left_anti")
+    rest = _candidates(rooted, far, False, shard).join(first, ["a", "b"], "left_anti")
     more = _verified(written(rest, "pairs"), docs, similarity, text_col, shingle)
     return components(links.unionByName(more))

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bk_tree import BKTree
 from tidemark.llm.components import components
 from tidemark.llm.shingle_dedup import node_of, shingle_groups
 from tidemark.llm.shipping import ship
@@ -65,40 +66,6 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-class BKTree:
-    """Integers under Hamming distance."""
-
-    def __init__(self):
-        self._values: list[int] = []
-        self._children: list[dict[int, int]] = []
-
-    def add(self, value: int) -> None:
-        at, new = 0, len(self._values)
-        if new:
-            while True:
-                step = (self._values[at] ^ value).bit_count()
-                if step == 0:
-                    return
-                child = self._children[at].setdefault(step, new)
-                if child == new:
-                    break
-                at = child
-        self._values.append(value)
-        self._children.append({})
-
-    def within(self, value: int, radius: int) -> list[int]:
-        found, todo = [], [0] if self._values else []
-        while todo:
-            at = todo.pop()
-            away = (self._values[at] ^ value).bit_count()
-            if away <= radius:
-                found.append(self._values[at])
-            for step, child in self._children[at].items():
-                if away - radius <= step <= away + radius:
-                    todo.append(child)
-        return found
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``id_col, fingerprint`` (64 bits as a signed long) for every row of ``docs``."""
 
@@ -199,8 +166,9 @@ def keep_one(
 ) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest id; columns stay.
 
-    Components are those of the fingerprints or, with a ``similarity``, of texts whose sets of
-    five-word shingles have at least that Jaccard similarity (:mod:`shingle_dedup`).
+    Components are those of the fingerprints or, with a ``similarity``, of texts that wider
+    fingerprints find and whose sets of five-word shingles have at least that Jaccard similarity
+    (:mod:`shingle_dedup`).
 
     The row is chosen by id and text, so where one id stands for different texts each component
     still keeps a row. Of rows that repeat both one stays. A row without an id cannot be named:
