@@ -254,6 +254,26 @@ def test_new_objects_come_once(spark, path, tmp_path, rows_of):
     assert rows_of(spark.read.parquet(out)) == [("new", "broken", "{")]
 
 
+def test_many_objects_take_few_tasks_to_look_up_and_several_to_write(spark, path, tmp_path):
+    jobs, cores = spark.sparkContext.statusTracker(), spark.sparkContext.defaultParallelism
+    sizes = lambda group: [
+        jobs.getStageInfo(s).numTasks for j in jobs.getJobIdsForGroup(group) for s in jobs.getJobInfo(j).stageIds if jobs.getStageInfo(s)
+    ]
+    number = 8 * cores + 40
+    spark.sparkContext.setJobGroup("objects", "objects")
+    sources.write_checkpoint_objects(objects_of(spark, [("p", f"k{n}") for n in range(number)]).coalesce(1), path)
+    assert max(sizes("objects")) >= cores
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    with sources.many_files(spark):
+        good, _ = sources.stream_checkpoint_files(spark, path)
+        running = streaming.stream_append(good, str(tmp_path / "out"), str(tmp_path / "state")).trigger(availableNow=True).start()
+        running.awaitTermination()
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == number
+    found = sizes(str(running.runId))
+    assert found and max(found) <= 4 * cores
+
+
 LOG = "pipeline_id string, stream_id string, seq long, updated_at timestamp"
 
 

@@ -1,6 +1,7 @@
 """Reading and writing progress tables and logs."""
 
 from tidemark.sources.files import (
+    many_files,
     read_checkpoint_files,
     stream_checkpoint_files,
     write_checkpoint_files,
@@ -22,6 +23,7 @@ __all__ = [
     "ensure_table",
     "finish_rewrites",
     "jdbc_options",
+    "many_files",
     "read_checkpoint_files",
     "read_jdbc",
     "read_log",

@@ -1,7 +1,8 @@
 """JSON payload files in a tree with one folder per pipeline."""
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -15,6 +16,8 @@ _PARTITIONED = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("pipeline_id", T.StringType())]
 )
 
+#: Whole files as bytes: Spark's reader of whole texts sets up codecs anew for each.
+_OBJECTS = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 #: Key columns that the tree and the payload hold anyway.
 _HELD = ("pipeline_id", "stream_id")
@@ -83,7 +86,7 @@ def read_checkpoint_files(
     objects = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
-        .text(root, wholetext=True)
+        .schema(_OBJECTS).format("binaryFile").load(root)
     )
     return decode_payloads(_named(objects, suffix), "data", mode, extra)
 
@@ -101,18 +104,42 @@ def stream_checkpoint_files(
     The rows are those of :func:`read_checkpoint_files` for the layout ``objects``.  A name is read
     once: an object that is written anew under its old name does not come again, so writers that
     change objects must give them new names.  ``files_per_batch`` bounds a micro-batch; what is
-    left comes with the next.
+    left comes with the next.  Start the stream within :func:`many_files`.
     """
     extra = [c for c in key_cols if c not in _HELD and c != "checkpoint_id"]
     objects = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
         .option("maxFilesPerTrigger", files_per_batch)
-        .text(path.rstrip("/"), wholetext=True)
+        # What is listed is kept for the next batches instead of being looked through for each.
+        .option("maxCachedFiles", 100 * files_per_batch)
+        .schema(_OBJECTS).format("binaryFile").load(path.rstrip("/"))
     )
     return decode_payloads(_named(objects, suffix), "data", mode, extra)
 
 
+@contextmanager
+def many_files(spark: SparkSession) -> Iterator[None]:
+    """Settings for reading many small files; a stream that starts within keeps them.
+
+    Spark looks up every file of a micro-batch in a task of its own (up to 10,000) and counts 4 MB
+    for opening one, which makes a task of 32.  Here the look-ups are dealt over a few tasks for
+    each core, and a task reads some 120 files.
+    """
+    settings = {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": str(1 << 20),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def write_checkpoint_objects(
     df: DataFrame,
     path: str,
@@ -123,8 +150,9 @@ def write_checkpoint_objects(
 ) -> None:
     """Write every row as a JSON object of its own, ``path/<pipeline_id>/<key_col><suffix>``.
 
-    For trees that other tools read; a table of many rows belongs in files of many rows.  Every
-    task writes the objects of its rows, without a shuffle.  A task that runs again writes the
+    For trees that other tools read; a table of many rows belongs in files of many rows.  An object
+    costs far more than its bytes, so the rows are dealt out by number over the session's shuffle
+    partitions, at least one for each core; every task writes the objects of its rows.  A task that runs again writes the
     same objects again; other objects stay.  A name that is null or empty, holds a slash, or
     begins with a dot or an underscore, which readers would skip, fails the write.
     """
@@ -134,7 +162,9 @@ def write_checkpoint_objects(
         _object_name("pipeline_id").alias("folder"), _object_name(key_col).alias("name"), "data"
     )
     root = path.rstrip("/")
-    objects.foreachPartition(lambda rows: _put(rows, root, suffix))
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    objects.repartition(tasks).foreachPartition(lambda rows: _put(rows, root, suffix))
 
 
 def _put(rows: Iterable[Row], root: str, suffix: str) -> None:
@@ -163,7 +193,7 @@ def _named(objects: DataFrame, suffix: str) -> DataFrame:
     return objects.select(
         _file_name(F.element_at(steps, -2)).alias("pipeline_id"),
         F.substring(name, F.lit(1), F.length(name) - F.lit(len(suffix))).alias("checkpoint_id"),
-        F.col("value").alias("data"),
+        F.col("content").cast("string").alias("data"),
     )
 
 

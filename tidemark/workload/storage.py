@@ -70,7 +70,8 @@ def _(spark, sf_dir):
         sources.write_checkpoint_objects(rows, path)
         good, _ = sources.stream_checkpoint_files(spark, path)
         arrived = good.select("checkpoint_id", *_FIELDS)
-        run_to_end(streaming.stream_append(arrived, out, state))
+        with sources.many_files(spark):
+            run_to_end(streaming.stream_append(arrived, out, state))
     return spark.read.schema(arrived.schema).parquet(out)
 
 
