@@ -1,6 +1,7 @@
 """Streams in several micro-batches against their batch twins."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -260,6 +261,27 @@ def test_wheel_batches_that_come_again(spark, path):
     assert [r.stream_id for r in wheel.live("2025-01-01").collect()] == ["s0"]
 
 
+def test_wheel_folders_are_one_file_and_none_that_is_over_is_written(spark, path):
+    rows = spark.sql(
+        "SELECT 'p' AS pipeline_id, 's' || id AS stream_id, id AS offset_num, timestamp'2024-01-01' AS updated_at, "
+        "'save' AS op, id AS seq, timestamp_seconds(3600 * (id % 6)) AS expires_at FROM range(120)"
+    ).repartition(6)
+    wheel = streaming.ExpiryWheel(spark, path)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        wheel.add(rows, 0)
+        # The end of hour 2 has come, that of hour 3 has not.
+        wheel.add(rows, 1, as_of="1970-01-01 03:59:59")
+    finally:
+        spark.conf.set(merging, before)
+    folders = [{d.name: len(list(d.glob("*.parquet"))) for d in Path(path, f"part={n}").glob("until=*")} for n in (0, 1)]
+    assert folders[0] == {f"until={n}": 1 for n in range(6)}
+    assert folders[1] == {f"until={n}": 1 for n in range(3, 6)}
+    assert wheel.drop_ended("1970-01-01 03:59:59") == 3 and wheel.events().count() == 60
+
+
 @pytest.mark.parametrize("bad", [("k", 1, 0, "save", None), ("k", 1, 0, "remove", 7), (None, 1, 0, "save", 7)])
 @pytest.mark.parametrize("kind", ["upsert", "ttl", "wheel"])
 def test_bad_events_fail_their_batch(spark, path, state, kind, bad):

@@ -105,21 +105,23 @@ class ExpiryWheel:
         latest time given to :meth:`drop_ended`."""
         return live(self.events().where(F.col("op") != DELETE).drop("op"), as_of)
 
-    def add(self, events: DataFrame, batch_id: int, whole: bool = False) -> None:
+    def add(self, events: DataFrame, batch_id: int, whole: bool = False, as_of=None) -> None:
         """Take a batch of events with ``seq``, ``op`` and ``expires_at`` (null: no end).
 
         With ``whole`` the rows of all keys are written anew, one for each, and replace the
         folders before; otherwise the batch costs a lookup of its keys and the rows it changes.
+        With ``as_of`` the batch's folders whose time has come by then are not written; it is for
+        a caller that goes on with :meth:`drop_ended` of that time, which would remove them.
         """
         target = f"{self.path}/{'whole' if whole else 'part'}={batch_id}"
         if not self._exists(f"{target}/_SUCCESS"):
-            self._write(events, batch_id, whole, target)
+            self._write(events, batch_id, whole, target, as_of)
         if whole:
             for name in self._names():
                 if int(name.split("=")[1]) < batch_id:
                     self._delete(f"{self.path}/{name}")
 
-    def _write(self, events: DataFrame, batch_id: int, whole: bool, target: str) -> None:
+    def _write(self, events: DataFrame, batch_id: int, whole: bool, target: str, as_of=None) -> None:
         typed = [
             F.col(f.name).cast(f.dataType).alias(f.name)
             if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name)
@@ -134,7 +136,13 @@ class ExpiryWheel:
             old = old.join(new.select(*self.key_cols), self.key_cols, "left_semi")
         rows = self._merged(old.unionByName(new))
         step = F.floor(F.unix_seconds("ends_at") / self.step_seconds)
-        rows.withColumn("until", step).write.mode("overwrite").partitionBy("until").parquet(target)
+        rows = rows.withColumn("until", step)
+        if as_of is not None:
+            rows = rows.where((F.col("until") + 1) * self.step_seconds > self._seconds(as_of))
+        # A small folder is one file, a large one is split by its real size: without this every
+        # task of the aggregate would put a file into every folder.
+        rows = rows.hint("rebalance", "until")
+        rows.write.mode("overwrite").partitionBy("until").parquet(target)
         if not self._exists(f"{target}/_SUCCESS"):
             # Where Spark is told not to put the marker there.
             fs, location = self._storage(f"{target}/_SUCCESS")
@@ -142,8 +150,7 @@ class ExpiryWheel:
 
     def drop_ended(self, as_of) -> int:
         """Remove the folders whose time has come at ``as_of``; their number. Nothing is read."""
-        now = self.spark.range(1).select(F.unix_seconds(moment(as_of).cast("timestamp"))).first()[0]
-        gone = 0
+        now, gone = self._seconds(as_of), 0
         for name in self._names():
             for folder in self._children(f"{self.path}/{name}"):
                 until = folder.removeprefix("until=")
@@ -152,6 +159,9 @@ class ExpiryWheel:
                     gone += 1
         return gone
 
+    def _seconds(self, as_of) -> int:
+        return self.spark.range(1).select(F.unix_seconds(moment(as_of).cast("timestamp"))).first()[0]
+
     def _merged(self, rows: DataFrame) -> DataFrame:
         """One row per key: its last event, and the end of the one that ends last."""
         others = [c for c in rows.columns if c not in (*self.key_cols, "ends_at")]
@@ -218,12 +228,14 @@ def wheel_state(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         timed = checked(_timed(batch, batch_id, saved_at, aside), wheel.key_cols)
+        latest = batch.agg(F.unix_seconds(F.max(saved_at))).first()[0]
+        now = None if latest is None else F.timestamp_seconds(F.lit(latest))
         wheel.add(
             stamp_expiry(timed, ttl_seconds, saved_at=saved_at), batch_id,
             whole=bool(fold_every) and (batch_id + 1) % fold_every == 0,
+            as_of=now,
         )
-        latest = batch.agg(F.unix_seconds(F.max(saved_at))).first()[0]
-        if latest is not None:
-            wheel.drop_ended(F.timestamp_seconds(F.lit(latest)))
+        if now is not None:
+            wheel.drop_ended(now)
 
     return stream_to(stream, apply, checkpoint)
