@@ -11,9 +11,15 @@ BK-tree finds what lies within the radius, and every link is verified by whole s
 Shards are searched twice. The first time pairs that look alike are offered where they join two
 groups of their shard, so that a large group costs a pair a text; the second time all pairs that
 the verified links of the first have not brought together, in a radius of four standard errors more.
+Most shards hold texts that met by chance: the first search names those that can hold a link of the
+second, and the others are not searched again.
+
+Both searches go by rounds of ``_ROUND`` draws, each of which frees what it has written and
+shuffled; fingerprints travel last, once a search, to the trees.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bk_tree import BKTree
 from tidemark.llm.components import components
 from tidemark.llm.shipping import ship
-from tidemark.llm.storage import written
+from tidemark.llm.storage import freed, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -39,7 +45,8 @@ RECALL = 0.998
 #: Bits of a draw beyond those that number the texts.
 _SPARE = 2
 
-#: Draws whose shards are looked for at once; what is shuffled for them is freed before the next.
+#: Draws whose shards are looked for and searched at once; what is shuffled for them is freed
+#: before the next.
 _ROUND = 32
 
 #: Texts that are compared with each other in one task.
@@ -130,16 +137,14 @@ def _keyed(sketches: DataFrame, bits: np.ndarray, first: int) -> DataFrame:
     return sketches.mapInArrow(compute, "node long, keys array<long>").select(F.explode("keys").alias("key"), "node")
 
 
-def _shards(sketches: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``key, node`` of all draws, but for the texts that are alone with their key."""
-    parts = []
-    for k in range(0, len(bits), _ROUND):
-        keyed = _keyed(sketches, bits[k : k + _ROUND], k)
-        shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "shared")
-        parts.append(written(keyed.join(shared, "key", "left_semi"), "keyed"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+def _shards(sketches: DataFrame, bits: np.ndarray, first: int = 0) -> DataFrame:
+    """``key, node, n`` of the draws ``bits``, but for the texts that are alone with their key;
+    ``n`` is the number of texts with the key."""
+    keyed = _keyed(sketches, bits, first)
+    # A table of its own: beside an aggregate Spark does not split the rows of a hot key.
+    shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    found = written(keyed.join(shared, "key"), "keyed")
+    freed(shared)
     return found
 
 
@@ -158,8 +163,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> Dat
 class _Shard:
     """The texts of one shard that are at home in one tree."""
 
-    def __init__(self, radius: int):
-        self._radius = radius
+    def __init__(self, radius: int, far: int):
+        self._radius, self._far = radius, far
+        #: Whether two texts that came to :meth:`joined` may lie within ``far``.
+        self.again = False
         self._trees: dict[int | None, BKTree] = {}
         self._nodes: dict[int | None, dict[int, list[int]]] = {}
         self._groups: dict[int, int] = {}
@@ -174,7 +181,10 @@ class _Shard:
 
         One that is within the radius of another need not be found itself: the other stands for it."""
         tree, nodes = self._trees.setdefault(None, BKTree()), self._nodes.setdefault(None, {})
-        found = tree.within(value, self._radius)
+        # Who is within ``far`` of a text that another stands for is within both radii of the other.
+        around = tree.within(value, self._radius + self._far)
+        self.again = self.again or bool(around)
+        found = [near for near in around if (near ^ value).bit_count() <= self._radius]
         for near in found:
             mine, theirs = self._group(node), self._group(nodes[near][0])
             if mine != theirs:
@@ -198,18 +208,27 @@ class _Shard:
             self._nodes.setdefault(own, {}).setdefault(value, []).append(node)
 
 
-def _candidates(rows: DataFrame, radius: int, forest: bool, shard: int) -> DataFrame:
-    """Pairs ``a < b`` of nodes that share a key, are of different roots and lie within the radius.
+def _unjoined(rows: DataFrame) -> DataFrame:
+    """Those ``rows`` whose key is that of several roots."""
+    roots = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    # A table of its own: beside an aggregate Spark does not split the rows of a hot key.
+    return rows.join(written(roots.where("low <> high").select("key"), "unjoined"), "key", "left_semi")
+
 
-    ``rows``: ``key, node, root, sketch``. A key with more than ``shard`` nodes is dealt out over
-    several trees, and its nodes are sent to each of them.
+def _searched(
+    rows: DataFrame, radius: int, forest: bool, shard: int, sketches: DataFrame | None = None, far: int = 0
+) -> DataFrame:
+    """``a, b, key``: pairs of nodes that share a key and lie within the radius, with -1 for a key;
+    in a forest also the keys, 0 and up, whose shards may hold a pair within ``far``.
+
+    ``rows``: ``key, node, n, root``, and ``sketch`` unless ``sketches`` has it by node. A key with
+    more than ``shard`` nodes is dealt out over several trees, and its nodes are sent to each of them.
     """
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
-    # A table of its own: beside an aggregate Spark does not split the rows of a hot key.
-    sizes = written(sizes.where("low <> high").select("key", trees.alias("trees")), "sizes")
-    home = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
-    dealt = rows.join(sizes, "key").select("key", "node", "root", "sketch", home.alias("home"), F.explode(F.sequence(F.lit(0), home)).alias("tree"))
+    home = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(shard)).cast("int")).cast("int")
+    dealt = rows.withColumn("home", home).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("home"))))
+    if sketches is not None:
+        dealt = dealt.join(sketches, "node")
+    dealt = dealt.select("key", "tree", "home", "node", "root", "sketch")
     dealt = dealt.repartition("key", "tree").sortWithinPartitions("key", "tree", F.desc(F.expr("home = tree")), "node")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,16 +238,31 @@ def _candidates(rows: DataFrame, radius: int, forest: bool, shard: int) -> DataF
             columns = (batch[c].tolist() for c in ("key", "tree", "home", "node", "root", "sketch"))
             for key, tree, own, node, root, sketch in zip(*columns):
                 if (key, tree) != group:
-                    group, held = (key, tree), _Shard(radius)
+                    group, held = (key, tree), _Shard(radius, far)
                 value = int.from_bytes(sketch, "big")
                 if forest:
-                    out.extend(held.joined(node, value, own == tree))
+                    told = held.again
+                    out.extend((a, b, -1) for a, b in held.joined(node, value, own == tree))
+                    if held.again and not told:
+                        out.append((0, 0, key))
                 else:
-                    out.extend(held.apart(node, root, value, own == tree))
-            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                    out.extend((a, b, -1) for a, b in held.apart(node, root, value, own == tree))
+            yield pd.DataFrame(out, columns=["a", "b", "key"], dtype="int64")
+
+    return dealt.mapInPandas(search, "a long, b long, key long")
 
-    found = dealt.mapInPandas(search, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+def _pairs(found: DataFrame) -> DataFrame:
+    """The distinct pairs ``a < b`` of what was found."""
+    return found.where("key < 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _candidates(rows: DataFrame, radius: int, forest: bool, shard: int, sketches: DataFrame | None = None) -> DataFrame:
+    """Pairs ``a < b`` of nodes that share a key, are of different roots and lie within the radius.
+
+    ``rows`` are those of :func:`_searched`; in a forest every node is its own root.
+    """
+    return _pairs(_searched(rows if forest else _unjoined(rows), radius, forest, shard, sketches))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, text_col: str, shingle: int) -> DataFrame:
@@ -255,11 +289,25 @@ def shingle_groups(
     share = expected_distance(similarity)
     error = float(np.sqrt(share * (1 - share) * BITS))
     near, far = int(share * BITS - error), int(np.ceil(share * BITS + _SLACK * error))
-    rows = _shards(sketches, draws(sketches.count(), similarity)).join(sketches, "node")
-    first = written(_candidates(rows.withColumn("root", F.col("node")), near, True, shard), "pairs")
+    drawn = draws(sketches.count(), similarity)
+    found, again = [], []
+    for k in range(0, len(drawn), _ROUND):
+        rows = _shards(sketches, drawn[k : k + _ROUND], k)
+        found.append(written(_searched(rows.withColumn("root", F.col("node")), near, True, shard, sketches, far), "found"))
+        keys = found[-1].where("key >= 0").select("key")
+        again.append(written(rows.join(keys, "key", "left_semi"), "again"))
+        freed(rows)
+    first = written(_pairs(_all(found)), "pairs")
     links = written(_verified(first, docs, similarity, text_col, shingle), "verified")
     roots = components(links)
-    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = _candidates(rooted, far, False, shard).join(first, ["a", "b"], "left_anti")
-    more = _verified(written(rest, "pairs"), docs, similarity, text_col, shingle)
+    rest = []
+    for rows in again:
+        rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest.append(written(_candidates(rooted, far, False, shard, sketches), "rest"))
+    apart = written(_all(rest).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    more = _verified(apart, docs, similarity, text_col, shingle)
     return components(links.unionByName(more))
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)

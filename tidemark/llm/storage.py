@@ -24,3 +24,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
         else:
             spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def freed(table: DataFrame) -> None:
+    """Remove the files of a table that :func:`written` has returned and nobody reads any more."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
