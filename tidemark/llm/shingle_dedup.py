@@ -300,7 +300,9 @@ def shingle_groups(
     first = written(_pairs(_all(found)), "pairs")
     links = written(_verified(first, docs, similarity, text_col, shingle), "verified")
     roots = components(links)
-    rest = []
+    # Texts that no shard can link are out, so that no round shuffles their fingerprints.
+    left = sketches.join(_all(again).select("node").distinct(), "node", "left_semi")
+    sketches, rest = written(left, "sketches"), []
     for rows in again:
         rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         rest.append(written(_candidates(rooted, far, False, shard, sketches), "rest"))
