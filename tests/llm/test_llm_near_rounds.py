@@ -1,5 +1,6 @@
 """What the pipeline's near-duplicate stage has on disk at once, and that it still finds all."""
 
+import itertools
 import os
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemark.llm import shingle_dedup
-from tidemark.llm.shingle_dedup import node_of, shingle_groups
+from tidemark.llm.shingle_dedup import node_of, shingle_groups, shingles
 
 
 def test_fingerprints_travel_by_rounds_and_not_again_to_shards_of_strangers(spark, monkeypatch):
@@ -45,3 +46,73 @@ def test_a_shard_is_searched_again_if_it_may_hold_a_pair(seed):
         pairs += shard.joined(node, value, True)
     assert shard.again == bool(seed % 2)
     assert all((values[a] ^ values[b]).bit_count() <= near for a, b in pairs)
+
+
+def _crowd(number, seed=3):
+    """Texts of one origin, most of them somewhat less alike than four fifths."""
+    draw, rows = np.random.default_rng(seed), []
+    words = [f"w{w}" for w in draw.integers(0, 3000, 200)]
+    for k in range(number):
+        copy = list(words)
+        for at in draw.choice(len(copy), 3 + k % 2, replace=False):
+            copy[at] = f"x{draw.integers(0, 1 << 30)}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("shard, held", [(2048, 4000), (16, 1 << 22)])
+def test_a_crowd_of_texts_that_are_nearly_alike_costs_rows_not_pairs(spark, monkeypatch, shard, held):
+    rows = _crowd(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(shingle_dedup, "_HELD", held, raising=False)
+    made = []
+    for name in ("mapInPandas", "mapInArrow"):
+        whole = getattr(DataFrame, name)
+
+        def counted(self, *a, whole=whole, **b):
+            out = whole(self, *a, **b)
+            if "home" in self.columns:
+                made.append((self.count(), out.count()))
+            return out
+
+        monkeypatch.setattr(DataFrame, name, counted)
+    found = {r.node: r.root for r in shingle_groups(docs, shard=shard).collect()}
+    assert made and all(out <= came for came, out in made)
+    sets = [(k, set(shingles(t).tolist())) for k, t in rows]
+    near = [(a, b) for (a, s), (b, t) in itertools.combinations(sets, 2) if len(s & t) >= 0.8 * len(s | t)]
+    nodes = {r.doc_id: r.node for r in docs.select("doc_id", node_of("text").alias("node")).collect()}
+    roots = dict(nodes)
+    for _ in rows:
+        for a, b in near:
+            roots[a] = roots[b] = min(roots[a], roots[b])
+    assert {k: found.get(n, n) for k, n in nodes.items()} == roots
+    assert near and len(set(roots.values())) > 20
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_pairs_that_leave_a_shard_are_alike_and_join_all_that_are(seed):
+    draw = np.random.default_rng(seed)
+    base = draw.choice(10_000, 40, replace=False)
+    sets = [np.unique(np.append(draw.choice(base, 36, replace=False), draw.integers(10_000, 20_000, 2))) for _ in range(40)]
+    values = [int.from_bytes(draw.bytes(16), "big") for _ in sets]
+    # The first ten have come together before.
+    root = [0] * 10 + list(range(10, 40))
+    shard = shingle_dedup._Shard(1024, similarity=0.8)
+    order = draw.permutation(40).tolist()
+    out = [pair for k in order for pair in shard.apart(k, root[k], values[k], k % 5 > 0 or k < 10, sets[k])]
+    alike = lambda a, b: len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))
+    home = [k % 5 > 0 or k < 10 for k in range(40)]
+    # A text looks at those that are at home and came before.
+    seen = [(a, b) for at, a in enumerate(order) for b in order[:at] if home[b]]
+
+    def grouped(pairs):
+        roots = list(root)
+        for _ in sets:
+            for a, b in pairs:
+                low = min(roots[a], roots[b])
+                roots = [low if r in (roots[a], roots[b]) else r for r in roots]
+        return roots
+
+    assert all(alike(a, b) for a, b in out)
+    assert grouped(out) == grouped([p for p in seen if alike(*p)]) and len(out) == len(set(root)) - len(set(grouped(out)))
+    assert len(set(grouped(out))) > 1

@@ -14,6 +14,11 @@ the verified links of the first have not brought together, in a radius of four s
 Most shards hold texts that met by chance: the first search names those that can hold a link of the
 second, and the others are not searched again.
 
+Of many texts that are nearly alike the pairs of the second search grow with the square of their
+number. So it names, for each shard, the texts that are in some pair; these texts meet once more
+with their sets, where a pair is verified as it is found, and only pairs that join two groups leave
+the task.
+
 Both searches go by rounds of ``_ROUND`` draws, each of which frees what it has written and
 shuffled; fingerprints travel last, once a search, to the trees.
 """
@@ -52,6 +57,9 @@ _ROUND = 32
 #: Texts that are compared with each other in one task.
 SHARD = 2048
 
+#: Shingle hashes whose texts are compared with each other in one task.
+_HELD = 1 << 22
+
 #: Standard errors by which a distance may be too large and the pair still be verified.
 _SLACK = 4
 
@@ -160,20 +168,34 @@ def _sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> Dat
     return rows.join(nodes, "node", "left_semi").mapInArrow(compute, "node long, hashes array<long>").dropDuplicates(["node"])
 
 
+def _alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of shingles have a Jaccard similarity of ``similarity`` or more."""
+    few, many = sorted((len(one), len(other)))
+    if few / many < similarity:
+        return False
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    # The quotient of two whole numbers, so that exactly 0.8 is 0.8.
+    return both / (few + many - both) >= similarity
+
+
 class _Shard:
     """The texts of one shard that are at home in one tree."""
 
-    def __init__(self, radius: int, far: int):
-        self._radius, self._far = radius, far
+    def __init__(self, radius: int, far: int = 0, similarity: float | None = None):
+        self._radius, self._far, self._similarity = radius, far, similarity
         #: Whether two texts that came to :meth:`joined` may lie within ``far``.
         self.again = False
         self._trees: dict[int | None, BKTree] = {}
         self._nodes: dict[int | None, dict[int, list[int]]] = {}
         self._groups: dict[int, int] = {}
+        self._sets: dict[int, np.ndarray] = {}
+        self._told: set[int] = set()
 
     def _group(self, node: int) -> int:
-        while node in self._groups:
-            node = self._groups[node]
+        groups = self._groups
+        while node in groups:
+            above = groups[node]
+            groups[node] = node = groups.get(above, above)
         return node
 
     def joined(self, node: int, value: int, home: bool) -> Iterator[tuple[int, int]]:
@@ -194,18 +216,41 @@ class _Shard:
             tree.add(value)
             nodes[value] = [node]
 
-    def apart(self, node: int, root: int, value: int, home: bool) -> Iterator[tuple[int, int]]:
-        """All texts within the radius that are of other roots."""
+    def apart(
+        self, node: int, root: int, value: int, home: bool, hashes: np.ndarray | None = None
+    ) -> Iterator[tuple[int, int]]:
+        """All texts within the radius that are of other roots; where texts come with their sets,
+        those that are alike by these, as far as they join two groups."""
         # A tree for each group that is joined already, which its own texts need not search, and
         # one for all others.
         own = root if root != node else None
         for other, tree in self._trees.items():
-            if other != root:
-                for near in tree.within(value, self._radius):
-                    yield from ((node, n) for n in self._nodes[other][near] if n != root)
+            if other is not None and self._group(other) == self._group(root):
+                continue
+            for near in tree.within(value, self._radius):
+                for n in self._nodes[other][near]:
+                    mine, theirs = self._group(root), self._group(n if other is None else other)
+                    if mine == theirs:
+                        continue
+                    if hashes is not None:
+                        if not _alike(hashes, self._sets[n], self._similarity):
+                            continue
+                        self._groups[mine] = theirs
+                    yield node, n
         if home:
             self._trees.setdefault(own, BKTree()).add(value)
             self._nodes.setdefault(own, {}).setdefault(value, []).append(node)
+            if hashes is not None:
+                # A copy, so that it does not hold its batch.
+                self._sets[node] = hashes.copy()
+
+    def ends(self, node: int, root: int, value: int, home: bool) -> Iterator[int]:
+        """The texts of the pairs that :meth:`apart` finds, each once."""
+        for pair in self.apart(node, root, value, home):
+            for end in pair:
+                if end not in self._told:
+                    self._told.add(end)
+                    yield end
 
 
 def _unjoined(rows: DataFrame) -> DataFrame:
@@ -215,21 +260,29 @@ def _unjoined(rows: DataFrame) -> DataFrame:
     return rows.join(written(roots.where("low <> high").select("key"), "unjoined"), "key", "left_semi")
 
 
+def _dealt(rows: DataFrame, shard: int, texts: DataFrame | None, *columns: str) -> DataFrame:
+    """``key, tree, home, node, root`` and ``columns``, in the order in which trees are searched.
+
+    ``rows``: ``key, node, n, root``, and ``columns`` unless ``texts`` has them by node. A key with
+    more than ``shard`` nodes is dealt out over several trees, and its nodes are sent to each of them.
+    """
+    home = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(shard)).cast("int")).cast("int")
+    dealt = rows.withColumn("home", home).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("home"))))
+    if texts is not None:
+        dealt = dealt.join(texts, "node")
+    dealt = dealt.select("key", "tree", "home", "node", "root", *columns).repartition("key", "tree")
+    return dealt.sortWithinPartitions("key", "tree", F.desc(F.expr("home = tree")), "node")
+
+
 def _searched(
     rows: DataFrame, radius: int, forest: bool, shard: int, sketches: DataFrame | None = None, far: int = 0
 ) -> DataFrame:
     """``a, b, key``: pairs of nodes that share a key and lie within the radius, with -1 for a key;
     in a forest also the keys, 0 and up, whose shards may hold a pair within ``far``.
 
-    ``rows``: ``key, node, n, root``, and ``sketch`` unless ``sketches`` has it by node. A key with
-    more than ``shard`` nodes is dealt out over several trees, and its nodes are sent to each of them.
+    ``rows``, ``shard`` and ``sketches`` are those of :func:`_dealt`, for ``sketch``.
     """
-    home = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(shard)).cast("int")).cast("int")
-    dealt = rows.withColumn("home", home).withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("home"))))
-    if sketches is not None:
-        dealt = dealt.join(sketches, "node")
-    dealt = dealt.select("key", "tree", "home", "node", "root", "sketch")
-    dealt = dealt.repartition("key", "tree").sortWithinPartitions("key", "tree", F.desc(F.expr("home = tree")), "node")
+    dealt = _dealt(rows, shard, sketches, "sketch")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, held = None, None
@@ -252,6 +305,27 @@ def _searched(
     return dealt.mapInPandas(search, "a long, b long, key long")
 
 
+def _ends(rows: DataFrame, radius: int, shard: int, sketches: DataFrame) -> DataFrame:
+    """``key, node``: the nodes that share a key with one of another root within the radius.
+
+    ``rows``, ``shard`` and ``sketches`` are those of :func:`_dealt`, for ``sketch``.
+    """
+    dealt = _dealt(rows, shard, sketches, "sketch")
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, held = None, None
+        for batch in batches:
+            out = []
+            columns = (batch[c].tolist() for c in ("key", "tree", "home", "node", "root", "sketch"))
+            for key, tree, own, node, root, sketch in zip(*columns):
+                if (key, tree) != group:
+                    group, held = (key, tree), _Shard(radius)
+                out.extend((key, end) for end in held.ends(node, root, int.from_bytes(sketch, "big"), own == tree))
+            yield pd.DataFrame(out, columns=["key", "node"], dtype="int64")
+
+    return dealt.mapInPandas(meet, "key long, node long").distinct()
+
+
 def _pairs(found: DataFrame) -> DataFrame:
     """The distinct pairs ``a < b`` of what was found."""
     return found.where("key < 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -265,13 +339,43 @@ def _candidates(rows: DataFrame, radius: int, forest: bool, shard: int, sketches
     return _pairs(_searched(rows if forest else _unjoined(rows), radius, forest, shard, sketches))
 
 
+def _linked(rows: DataFrame, texts: DataFrame, radius: int, similarity: float, shard: int) -> DataFrame:
+    """``a, b``: of the nodes that share a key, are of different roots and lie within the radius,
+    pairs at the ``similarity`` or more, no more than join the groups of a tree.
+
+    ``rows``: ``key, node, root``; ``texts``: ``node, sketch, hashes``. A tree has no more than
+    ``shard`` texts and, as many, about ``_HELD`` hashes.
+    """
+    sizes = rows.join(texts.select("node", F.size("hashes").alias("size")), "node").groupBy("key")
+    sizes = sizes.agg(F.count(F.lit(1)).alias("texts"), F.sum("size").alias("held"))
+    trees = F.greatest(F.col("texts"), F.ceil(F.col("held") * F.lit(shard / _HELD)))
+    # A table of its own: beside an aggregate Spark does not split the rows of a hot key.
+    sized = rows.join(written(sizes.select("key", trees.alias("n")), "sizes"), "key")
+    dealt = _dealt(sized, shard, texts, "sketch", "hashes")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, None
+        for batch in batches:
+            out, sets = [], batch.column("hashes")
+            columns = (batch.column(c).to_pylist() for c in ("key", "tree", "home", "node", "root", "sketch"))
+            for at, (key, tree, own, node, root, sketch) in enumerate(zip(*columns)):
+                if (key, tree) != group:
+                    group, held = (key, tree), _Shard(radius, similarity=similarity)
+                value = int.from_bytes(sketch, "big")
+                out.extend(held.apart(node, root, value, own == tree, sets[at].values.to_numpy()))
+            ends = ([pair[k] for pair in out] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["a", "b"])
+
+    return dealt.mapInArrow(verify, "a long, b long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, text_col: str, shingle: int) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
     nodes = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"), "nodes")
     sets = written(_sets(docs, nodes, text_col, shingle), "sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"h{c}")) for c in "ab")
     both = F.size(F.array_intersect("ha", "hb"))
-    # The quotient of two whole numbers, so that exactly 0.8 is 0.8.
+    # The quotient of two whole numbers, as in _alike.
     return pairs.join(left, "a").join(right, "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity).select("a", "b")
 
 
@@ -305,10 +409,11 @@ def shingle_groups(
     sketches, rest = written(left, "sketches"), []
     for rows in again:
         rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest.append(written(_candidates(rooted, far, False, shard, sketches), "rest"))
-    apart = written(_all(rest).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(apart, docs, similarity, text_col, shingle)
-    return components(links.unionByName(more))
+        rest.append(written(_ends(_unjoined(rooted), far, shard, sketches), "rest"))
+    nodes = written(_all(rest).select("node").distinct(), "nodes")
+    texts = written(sketches.join(_sets(docs, nodes, text_col, shingle), "node"), "texts")
+    rooted = _all(rest).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return components(links.unionByName(written(_linked(rooted, texts, far, similarity, shard), "more")))
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
