@@ -337,3 +337,43 @@ def test_broken_rewrites_are_finished(spark, days, path, monkeypatch, broken):
     left = sorted((r[1], r[2], r[0]) for r in days if r[:2] != ("a b=%1", "s1"))
     assert sorted((r.stream_id, r.seq, r.pipeline_id) for r in spark.read.parquet(path).collect()) == left
     assert not [d for d in os.listdir(path) if d.startswith("_rewrite")]
+
+
+def test_the_driver_holds_no_list_of_objects(spark, path):
+    sources.write_checkpoint_objects(objects_of(spark, [("p", f"k{n}") for n in range(300)]), path)
+    good, bad = sources.read_checkpoint_files(spark, path, layout="objects")
+    assert good.count() == 300 and bad.count() == 0
+    assert not [f for f in good.inputFiles() if f.endswith(".json")]
+
+
+def odd_tree(path):
+    record = json.dumps({"stream_id": "s", "offset": 1, "created_at": None, "updated_at": T0.isoformat()})
+    for name in [
+        "top.json", "p/k.json", "p/.k.json", "p/_k.json", "p/_k=1.json", "p/k.json._COPYING_", "p/k.txt", "p/empty.json",
+        "p/deep/er/k.json", "_hidden/k.json", ".hidden/k.json", "_a=b/k.json", "_metadata/k.json", "p/_metadata.json",
+    ]:
+        os.makedirs(os.path.dirname(f"{path}/{name}"), exist_ok=True)
+        with open(f"{path}/{name}", "w") as out:
+            out.write("" if "empty" in name else record)
+    os.makedirs(f"{path}/p/folder.json")
+    os.symlink(f"{path}/nowhere", f"{path}/p/broken.json")
+
+
+def test_trees_hold_what_spark_finds_in_them(spark, path):
+    odd_tree(path)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").format("binaryFile")
+    found = sorted(tuple(r.path.removesuffix(".json").split("/")[-2:]) for r in reader.load(path).select("path").collect())
+    assert ("er", "k") in found and ("data", "top") in found and len(found) == 6
+    for place in (path, f"file:{path}/", path[:-1] + "?"):
+        good, bad = sources.read_checkpoint_files(spark, place, layout="objects")
+        assert columns(good, "pipeline_id", "checkpoint_id") == found and bad.count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sources.read_checkpoint_files(spark, path, "unknown", layout="objects")
+
+
+def test_objects_are_bytes_whatever_they_are_called(spark, path):
+    os.makedirs(f"{path}/p")
+    with open(f"{path}/p/k.gz", "wb") as out:
+        out.write(b"{\xff")
+    _, bad = sources.read_checkpoint_files(spark, path, layout="objects", suffix=".gz")
+    assert [bytes(r[0]) for r in bad.select(F.col("data").cast("binary")).collect()] == [b"{\xff"]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.codec import decode_payloads, encode_payloads
 from tidemark.schema import KEY_COLS
+from tidemark.sources.objects import read_tree, tree_root
 
 _PARTITIONED = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("pipeline_id", T.StringType())]
@@ -68,6 +69,10 @@ def read_checkpoint_files(
     object per file, ``path/<pipeline>/<key><suffix>``; the pipeline is the name of
     the folder and the key becomes the column ``checkpoint_id``.  ``key_cols`` beyond the
     usual two are taken out of the payload.
+
+    Tasks list the objects, once and at the call, and read them; the driver holds no list of
+    them.  Patterns and storage that pyarrow does not know are looked up by Spark's own reader,
+    whose driver holds the names of all.
     """
     extra = [c for c in key_cols if c not in _HELD and c != "checkpoint_id"]
     if layout == "partitioned":
@@ -79,6 +84,9 @@ def read_checkpoint_files(
         raise ValueError(f"unknown layout {layout!r}; one of ('partitioned', 'objects')")
 
     # Asking for one pipeline lists its folder only.
+    tree = tree_root(spark, path, suffix, pipeline_id)
+    if tree is not None:
+        return decode_payloads(_as_text(read_tree(spark, tree, suffix)), "data", mode, extra)
     root = path.rstrip("/")
     if pipeline_id is not None:
         # A name, not a pattern.
@@ -186,6 +194,10 @@ def _object_name(column: str) -> Column:
     return F.when(name.rlike("^[^/._][^/]*$"), name).otherwise(refusal.cast("string"))
 
 
+def _as_text(objects: DataFrame) -> DataFrame:
+    return objects.select("pipeline_id", "checkpoint_id", F.col("content").cast("string").alias("data"))
+
+
 def _named(objects: DataFrame, suffix: str) -> DataFrame:
     """Whole files with the names of their folder and their own."""
     steps = F.split(F.col("_metadata.file_path"), "/")
