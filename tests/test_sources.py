@@ -377,3 +377,41 @@ def test_objects_are_bytes_whatever_they_are_called(spark, path):
         out.write(b"{\xff")
     _, bad = sources.read_checkpoint_files(spark, path, layout="objects", suffix=".gz")
     assert [bytes(r[0]) for r in bad.select(F.col("data").cast("binary")).collect()] == [b"{\xff"]
+
+
+def test_new_objects_come_once_by_lists(spark, path, tmp_path, rows_of):
+    state, lists = str(tmp_path / "state"), str(tmp_path / "lists")
+    seen = []
+
+    def run(state=state):
+        good, _ = sources.stream_checkpoint_files(spark, path, files_per_batch=4, lists=lists)
+        rows = good.select("pipeline_id", "checkpoint_id", "offset_num")
+        run_to_end(streaming.stream_to(rows, lambda batch, n: seen.append([tuple(r) for r in batch.collect()]), state))
+
+    sources.write_checkpoint_objects(objects_of(spark, ODD_NAMES), path)
+    run()
+    assert [len(rows) for rows in seen] == [4, 2]
+    assert sorted(sum(seen, [])) == sorted((p, k, 1) for p, k in ODD_NAMES)
+    # What the driver's log of the source names are lists.
+    log = "".join(open(f"{state}/sources/0/{n}").read() for n in os.listdir(f"{state}/sources/0") if n.isdigit())
+    assert log.count("/lists/") == 2 and ".json" not in log
+    run()
+    assert len(seen) == 2
+    sources.write_checkpoint_objects(objects_of(spark, [("new", "k"), ("p{2}", "k"), ("new", "gone")], 5), path)
+    with open(f"{path}/new/broken.json", "w") as file:
+        file.write("{")
+    assert sources.list_new_objects(spark, path, lists) == 4 and sources.list_new_objects(spark, path, lists) == 0
+    # Gone between listing and reading.
+    os.remove(f"{path}/new/gone.json")
+    run()
+    assert sorted(sum(seen[2:], [])) == [("new", "k", 5), ("p{2}", "k", 5)]
+    # Another stream over the same lists has read nothing yet.
+    seen.clear()
+    run(f"{state}-other")
+    assert len(sum(seen, [])) == 8
+    out = str(tmp_path / "out")
+    _, bad = sources.stream_checkpoint_files(spark, path, lists=lists)
+    run_to_end(streaming.stream_append(bad, out, f"{state}-bad"))
+    assert rows_of(spark.read.parquet(out)) == [("new", "broken", "{")]
+    with pytest.raises(ValueError, match="cannot list"):
+        sources.stream_checkpoint_files(spark, path[:-1] + "?", lists=lists)

@@ -8,6 +8,7 @@ from tidemark.sources.files import (
     write_checkpoint_objects,
 )
 from tidemark.sources.jdbc import jdbc_options, read_jdbc, write_jdbc
+from tidemark.sources.objects import list_new_objects
 from tidemark.sources.rewrites import delete_history_files, finish_rewrites
 from tidemark.sources.tables import (
     append_log,
@@ -23,6 +24,7 @@ __all__ = [
     "ensure_table",
     "finish_rewrites",
     "jdbc_options",
+    "list_new_objects",
     "many_files",
     "read_checkpoint_files",
     "read_jdbc",

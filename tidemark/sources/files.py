@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.codec import decode_payloads, encode_payloads
 from tidemark.schema import KEY_COLS
-from tidemark.sources.objects import read_tree, tree_root
+from tidemark.sources.objects import list_new_objects, read_tree, stream_lists, tree_root
 
 _PARTITIONED = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("pipeline_id", T.StringType())]
@@ -106,6 +106,7 @@ def stream_checkpoint_files(
     suffix: str = ".json",
     key_cols: Sequence[str] = KEY_COLS,
     files_per_batch: int = 10_000,
+    lists: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """New objects of a tree with one JSON object per file, as streams: ``(good, bad)``.
 
@@ -113,8 +114,18 @@ def stream_checkpoint_files(
     once: an object that is written anew under its old name does not come again, so writers that
     change objects must give them new names.  ``files_per_batch`` bounds a micro-batch; what is
     left comes with the next.  Start the stream within :func:`many_files`.
+
+    Spark's own source, which is used by default, looks the tree up at every trigger and holds the
+    names of all objects, also of those read, in the driver.  For trees of millions of objects name
+    a folder ``lists``, as lasting as the stream's checkpoint: tasks list the tree, at this call and
+    whenever :func:`list_new_objects` is called, and the stream reads the lists, one per
+    micro-batch.  Objects that come later wait for the next such call.
     """
     extra = [c for c in key_cols if c not in _HELD and c != "checkpoint_id"]
+    if lists is not None:
+        list_new_objects(spark, path, lists, suffix, files_per_batch)
+        objects = stream_lists(spark, tree_root(spark, path, suffix), suffix, lists)
+        return decode_payloads(_as_text(objects), "data", mode, extra)
     objects = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")

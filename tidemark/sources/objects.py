@@ -116,6 +116,40 @@ def read_tree(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     return read_names(names, root, suffix, tasks, skip)
 
 
+def stream_lists(spark: SparkSession, root: str, suffix: str, lists: str) -> DataFrame:
+    """The objects of one list after the other, as a stream; what is gone by then is passed over."""
+    names = spark.readStream.schema(NAMES).option("maxFilesPerTrigger", 1).parquet(lists)
+    return read_names(names, root, suffix, _cores(spark), True)
+
+
+def list_new_objects(
+    spark: SparkSession, path: str, lists: str, suffix: str = ".json", files_per_list: int = 10_000
+) -> int:
+    """Add the objects of a tree that no list in the folder ``lists`` names yet; returns their number.
+
+    Tasks list the tree and compare it with the lists, and a file of ``lists`` holds at most
+    ``files_per_list`` names.  A call that was broken off has added some whole lists or none; the next
+    adds the others.  One process at a time adds to a folder of lists; streams may read it meanwhile.
+    """
+    root = tree_root(spark, path, suffix)
+    if root is None:
+        raise ValueError(f"tasks cannot list {path!r}; stream it without lists")
+    place = spark._jvm.org.apache.hadoop.fs.Path(lists)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    known = spark.read.schema(NAMES).parquet(lists)
+    # Never broadcast: that would bring all names to the driver.
+    new = list_objects(spark, root, suffix).join(known.hint("merge"), ["folder", "name"], "left_anti")
+    found = scratch_path(spark, "new-names")
+    new.write.parquet(found)
+    names = spark.read.schema(NAMES).parquet(found)
+    number = names.count()
+    if number:
+        # A task leaves one list that is not full.
+        tasks = -(-number // (8 * files_per_list))
+        names.repartition(tasks).write.mode("append").option("maxRecordsPerFile", files_per_list).parquet(lists)
+    return number
+
+
 def _below(files: FileSystem, base: str, folder: str, suffix: str, deep: bool) -> Iterator[tuple[str, str | None]]:
     """The objects of a folder and, if not ``deep``, its folders, which are gone through otherwise."""
     todo = [folder]

@@ -65,10 +65,10 @@ SELECT stream_id AS checkpoint_id, {_SQL_FIELDS} FROM ev_state""")
 def _(spark, sf_dir):
     # The stream is stopped and started again between the groups; what it has read does not come again.
     path, state = scratch_path(spark, "objects"), scratch_path(spark, "state")
-    out = scratch_path(spark, "arrived")
+    lists, out = scratch_path(spark, "lists"), scratch_path(spark, "arrived")
     for rows in _objects(spark, sf_dir):
         sources.write_checkpoint_objects(rows, path)
-        good, _ = sources.stream_checkpoint_files(spark, path)
+        good, _ = sources.stream_checkpoint_files(spark, path, lists=lists)
         arrived = good.select("checkpoint_id", *_FIELDS)
         with sources.many_files(spark):
             run_to_end(streaming.stream_append(arrived, out, state))
